@@ -30,13 +30,19 @@ def calendar_parts(day: Column, weekend: Iterable[int] = WEEKEND_DAYS) -> dict[s
     }
 
 
+# A time of day as the exports write it; other spellings take the slower way through a cast.
+_CANONICAL = "^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$"
+
+
 def clock_text(time: Column) -> Column:
     """A time of day as canonical HH:mm:ss text; anything that is no time of day is an error.
 
     Text, since a TIME column cannot be written to every sink.
     """
     moment = F.concat(F.lit("1970-01-01 "), time).cast("timestamp_ntz")
-    return F.substring(moment.cast("string"), 12, 15)
+    return F.when(time.rlike(_CANONICAL), time).otherwise(
+        F.substring(moment.cast("string"), 12, 15)
+    )
 
 
 def clock_hour(time: Column) -> Column:

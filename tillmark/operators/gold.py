@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tillmark.config import MENU_QUADRANTS, ORDER_TYPES, OTHER_QUADRANT
 from tillmark.functions.numeric import exact_avg, percent, round2, total
+from tillmark.session import materialized
 
 ITEM_KEYS = ("item_id", "item_name", "category", "subcategory", "size")
 MONTH_KEYS = ("location_id", "location_name", "order_year", "order_month")
@@ -82,8 +83,13 @@ def classify_menu(stats: DataFrame, thresholds: DataFrame) -> DataFrame:
     )
 
 
-def mart_menu_performance(items: DataFrame) -> DataFrame:
-    stats = item_stats(items)
+def mart_menu_performance(items: DataFrame, stats_path: str | None = None) -> DataFrame:
+    """The menu matrix.
+
+    Thresholds and classes both need the item figures, which take a pass over all lines. They are
+    written once, at `stats_path` or in scratch, so that the lines are read once.
+    """
+    stats = materialized(item_stats(items), stats_path)
     return classify_menu(stats, menu_thresholds(stats))
 
 

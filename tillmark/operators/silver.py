@@ -23,10 +23,8 @@ def stg_orders(
     Refunds stay in, flagged.
     """
     parts = calendar_parts(F.col("order_date"), weekend)
-    hour = clock_hour(F.col("order_time"))
-    return orders.filter(
-        F.col("order_id").isNotNull() & F.col("location_id").isin(*locations)
-    ).select(
+    known = orders.filter(F.col("order_id").isNotNull() & F.col("location_id").isin(*locations))
+    return known.withColumn("order_hour", clock_hour(F.col("order_time"))).select(
         surrogate_key(F.col("order_id")).alias("surrogate_key"),
         "order_id",
         "location_id",
@@ -34,8 +32,8 @@ def stg_orders(
         "order_date",
         "order_time",
         *[column.alias(name) for name, column in parts.items()],
-        hour.alias("order_hour"),
-        day_part(hour).alias("day_part"),
+        "order_hour",
+        day_part(F.col("order_hour")).alias("day_part"),
         "order_type",
         "cashier_id",
         "subtotal",

@@ -432,6 +432,7 @@ def oracle_sql() -> dict[str, str]:
         "append_new_columns": f"""
             SELECT *, CASE WHEN order_date > {mark} THEN 'L-' || cashier_id END AS loyalty_id
             FROM stg_orders""",
+        "streamed_orders": "SELECT * FROM stg_orders",
         # silver
         "surrogate_key": "SELECT order_id, md5(order_id) AS surrogate_key FROM src_orders",
         "calendar_parts": """

@@ -57,13 +57,6 @@ class RunResult:
     marks: dict[str, date] = field(default_factory=dict)
 
 
-MARTS = {
-    "mart_menu_performance": lambda orders, items: gold.mart_menu_performance(items),
-    "mart_location_comparison": gold.mart_location_comparison,
-    "mart_revenue_trends": lambda orders, items: gold.mart_revenue_trends(orders),
-    "mart_time_analysis": lambda orders, items: gold.mart_time_analysis(orders),
-}
-
 REPORTS = {
     "menu_performance": ("mart_menu_performance", reports.report_menu_performance),
     "location_comparison": ("mart_location_comparison", reports.report_location_comparison),
@@ -129,9 +122,13 @@ def build_silver(
 def build_gold(spark: SparkSession, where: Warehouse) -> dict[str, int]:
     orders = read_table(spark, where.silver("stg_orders"))
     items = read_table(spark, where.silver("stg_order_items"))
-    return {
-        name: replace_table(mart(orders, items), where.gold(name)) for name, mart in MARTS.items()
+    marts = {
+        "mart_menu_performance": gold.mart_menu_performance(items, where.gold("_item_stats")),
+        "mart_location_comparison": gold.mart_location_comparison(orders, items),
+        "mart_revenue_trends": gold.mart_revenue_trends(orders),
+        "mart_time_analysis": gold.mart_time_analysis(orders),
     }
+    return {name: replace_table(mart, where.gold(name)) for name, mart in marts.items()}
 
 
 def all_assertions(spark: SparkSession, where: Warehouse, marks: dict[str, date]) -> DataFrame:

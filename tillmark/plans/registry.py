@@ -17,6 +17,7 @@ from tillmark.session import configure, scratch_path
 from tillmark.sources import bronze, star
 from tillmark.sources.csv_export import scan_csv
 from tillmark.sources.tables import merge_table, read_table
+from tillmark.streaming import arrivals
 
 CORRECTED_FROM = "1998-06-30"
 
@@ -152,6 +153,20 @@ def silver_merge(t: Tables) -> DataFrame:
     return read_table(t.spark, path)
 
 
+def streamed_orders(t: Tables) -> DataFrame:
+    """The orders land in two deliveries; each is picked up and merged into Silver."""
+    root = scratch_path(t.spark, "arrivals")
+    mark = F.lit(star.MARK).cast("date")
+    for delivery in (F.col("order_date") <= mark, F.col("order_date") > mark):
+        t.raw("orders").filter(delivery).write.mode("append").option("header", True).csv(
+            f"{root}/landing"
+        )
+        arrivals.load_orders(
+            t.spark, f"{root}/landing", f"{root}/stg_orders", f"{root}/checkpoint"
+        ).awaitTermination()
+    return read_table(t.spark, f"{root}/stg_orders").drop("_transformed_at")
+
+
 # ---- queries over the lazy layers --------------------------------------------------------------
 
 
@@ -236,6 +251,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "silver_merge": silver_merge,
     "append_new_columns": append_new_columns,
+    "streamed_orders": streamed_orders,
     # silver
     "surrogate_key": lambda t: t.orders.select(
         "order_id", surrogate_key(F.col("order_id")).alias("surrogate_key")

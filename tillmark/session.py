@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the jobs rely on. Sizes and partition counts are left to the cluster:
 # adaptive execution coalesces and splits shuffle partitions from the bytes it measures.
@@ -39,3 +39,14 @@ def scratch_path(spark: SparkSession, purpose: str, name: str | None = None) ->
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         shared = tempfile.mkdtemp(prefix="tillmark-")
     return f"{shared.rstrip('/')}/tillmark/{purpose}-{name or uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Writes an intermediate result that several consumers read, and reads it back.
+
+    Files in shared storage outlive the executors that wrote them, and each reader fetches only
+    the columns it needs.
+    """
+    path = path or scratch_path(df.sparkSession, "held")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,24 +1,28 @@
-"""Path checks through Spark's own file access, so that any storage Spark reads will do."""
+"""Path checks through the Hadoop file system, so that any storage Spark reads will do."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from tillmark.config import RAW_COLUMNS
 
 
+def _file_system(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    located = context._jvm.org.apache.hadoop.fs.Path(path)
+    return located.getFileSystem(context._jsc.hadoopConfiguration()), located
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Looks the path up while planning a read; no data is read."""
-    try:
-        spark.read.text(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    files, located = _file_system(spark, path)
+    return files.exists(located)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    files, located = _file_system(spark, path)
+    files.delete(located, True)
 
 
 def export_path(raw_dir: str, table: str) -> str:

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from tillmark.config import SILVER_PARTITIONS
 from tillmark.operators.incremental import append_new_columns
 from tillmark.session import scratch_path
-from tillmark.sources.paths import path_exists
+from tillmark.sources.paths import path_exists, remove_path
 
 
 def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
@@ -132,16 +132,14 @@ def merge_table(
         rewritten = spark.read.schema(combined).parquet(f"{stage}/rewritten")
         kept = _partitions_of(rewritten, partitions)
         _write_partitions(rewritten, path, partitions, "overwrite")
-        for emptied in set(hit) - set(kept):
-            _empty_partition(rewritten, path, partitions, emptied)
+        for emptied in set(hit) - set(kept):  # overwriting skips partitions without rows
+            remove_path(spark, _partition_path(path, partitions, emptied))
     _write_partitions(batch.filter(~touched), path, partitions, "append")
     return rows
 
 
-def _empty_partition(df: DataFrame, path: str, partitions: tuple[str, ...], row: Row) -> None:
-    """Overwriting partitions skips those without rows, so one that lost its last row is
-    overwritten on its own."""
-    folder = "/".join(
+def _partition_path(path: str, partitions: tuple[str, ...], row: Row) -> str:
+    named = [
         f"{p}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for p, v in zip(partitions, row)
-    )
-    df.limit(0).drop(*partitions).write.mode("overwrite").parquet(f"{path}/{folder}")
+    ]
+    return "/".join([path, *named])
