@@ -1,0 +1,53 @@
+import math
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.conftest import one, rows
+from tillmark.functions.numeric import exact_avg, percent, ratio, round2, total
+
+
+def test_round2_scales_before_rounding(spark):
+    values = [1.005, 0.285, 2.675, -1.005, -2.5, 0.125, -0.125, 0.0, 1e9 + 0.125]
+    df = spark.createDataFrame([(v,) for v in values], "x double").select(
+        "x", round2(F.col("x")).alias("r")
+    )
+    got = {r["x"]: r["r"] for r in rows(df)}
+    assert got[1.005] == 1.0 and got[0.285] == 0.28
+    assert got[0.125] == 0.13 and got[-0.125] == -0.13
+    assert got[-2.5] == -2.5 and got[0.0] == 0.0
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.floats(-1e7, 1e7), min_size=1, max_size=200))
+def test_round2_matches_scaled_half_away(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double").select(
+        "x", round2(F.col("x")).alias("r")
+    )
+    for r in rows(df):
+        scaled = abs(r["x"]) * 100
+        whole = math.floor(scaled)
+        expected = (whole + (1 if scaled - whole >= 0.5 else 0)) / 100
+        assert r["r"] == math.copysign(expected, r["x"]) or r["r"] == expected == 0
+
+
+def test_division_by_zero_and_null(spark):
+    df = spark.sql("select 1 as a, 0 as z, cast(null as int) as n")
+    got = one(df.select(
+        ratio(F.col("a"), F.col("z")).alias("by_zero"),
+        ratio(F.col("n"), F.col("a")).alias("null_over"),
+        percent(F.col("a"), F.col("n")).alias("over_null"),
+    ))
+    assert got == {"by_zero": None, "null_over": None, "over_null": None}
+
+
+def test_exact_avg_and_total_over_nothing(spark):
+    empty = spark.createDataFrame([], "x decimal(10,2)")
+    got = one(empty.agg(exact_avg(F.col("x")).alias("a"), total(F.col("x")).alias("t")))
+    assert got == {"a": None, "t": None}
+
+
+def test_exact_avg_ignores_nulls(spark):
+    df = spark.sql("select cast(x as decimal(10,2)) x from values (1.10), (2.20), (null) t(x)")
+    assert one(df.agg(exact_avg(F.col("x")).alias("a")))["a"] == 3.3 / 2

@@ -1,0 +1,307 @@
+import hashlib
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import by, default_exports, frame, line, one, order, rows
+from tillmark.operators import gold, pricing, reports, typed
+from tillmark.operators.silver import stg_order_items, stg_orders
+
+
+def money(x):
+    return None if x is None else Decimal(x)
+
+
+@pytest.fixture
+def menu(spark):
+    return typed.src_menu(frame(spark, default_exports()["menu"]))
+
+
+def make_orders(spark, *records):
+    return stg_orders(typed.src_orders(frame(spark, list(records))))
+
+
+def make_lines(spark, orders, menu, *records):
+    return stg_order_items(typed.src_order_items(frame(spark, list(records))), orders, menu)
+
+
+# ---- silver --------------------------------------------------------------------------------
+
+
+def test_orders_keep_refunds_and_drop_unknown_sites_and_ids(spark):
+    got = by(
+        make_orders(
+            spark,
+            order(1, "2024-03-08", refund="True"),
+            order(2, "2024-03-08") | {"location_id": "LOC-XXX"},
+            order(3, "2024-03-08") | {"location_id": None},
+            order(4, "2024-03-08") | {"order_id": None},
+            order(5, "2024-03-08", time="17:45:10"),
+        ),
+        "order_id",
+    )
+    assert set(got) == {"O1", "O5"}
+    assert got["O1"]["is_refund"] is True
+    five = got["O5"]
+    assert (five["order_year"], five["order_month"], five["day_of_week"]) == (2024, 3, 5)
+    assert (five["day_name"], five["is_weekend"]) == ("Friday", True)
+    assert (five["order_hour"], five["day_part"]) == (17, "Dinner")
+
+
+def test_surrogate_key_is_md5_of_the_id(spark):
+    (got,) = rows(make_orders(spark, order(7, "2024-03-08")))
+    assert got["surrogate_key"] == hashlib.md5(b"O7").hexdigest()
+
+
+def test_lines_of_refunds_and_empty_lines_are_dropped(spark, menu):
+    orders = make_orders(
+        spark, order(1, "2024-03-08"), order(2, "2024-03-08", refund="True"),
+        order(3, "2024-03-08", refund=None),
+    )
+    got = by(
+        make_lines(
+            spark, orders, menu,
+            line(1, 1), line(2, 2), line(3, 3), line(4, 1, quantity="0"),
+            line(5, 1, quantity="-1"), line(6, 1, quantity=None), line(7, 99),
+        ),
+        "order_item_id",
+    )
+    assert set(got) == {"L1"}
+    assert got["L1"]["location_id"] == "LOC-GRM" and got["L1"]["subcategory"] == "Fries"
+
+
+def test_line_margins(spark, menu):
+    orders = make_orders(spark, order(1, "2024-03-08"))
+    got = by(
+        make_lines(
+            spark, orders, menu,
+            line(1, 1, quantity="2", line_total="20.00"),
+            line(2, 1, line_total="0.00"),
+            line(3, 1, line_total="9.00") | {"item_id": "gone"},
+            line(4, 1, line_total="0.00") | {"item_id": "gone"},
+            line(5, 1, item=1, line_total="7.00"),
+            line(6, 1, line_total=None) | {"line_total": None},
+        ),
+        "order_item_id",
+    )
+    figures = {
+        k: (r["total_cost"], r["gross_profit"], r["margin_pct"]) for k, r in got.items()
+    }
+    assert figures == {
+        "L1": (money("6.00"), money("14.00"), 70.0),
+        "L2": (money("3.00"), money("-3.00"), 0.0),
+        "L3": (None, None, None),
+        "L4": (None, None, 0.0),
+        "L5": (money("8.00"), money("-1.00"), -14.29),
+        "L6": (money("3.00"), None, 0.0),
+    }
+
+
+# ---- gold ----------------------------------------------------------------------------------
+
+STATS = (
+    "item_id string, item_name string, category string, subcategory string, size string,"
+    " total_units_sold bigint, avg_margin_pct double"
+)
+
+
+def test_menu_quadrants(spark):
+    stats = spark.createDataFrame(
+        [
+            ("star", "", "", "", "", 30, 60.0),
+            ("plow", "", "", "", "", 30, 10.0),
+            ("puzzle", "", "", "", "", 10, 60.0),
+            ("dog", "", "", "", "", 10, 10.0),
+            ("unknown", "", "", "", "", 40, None),
+            ("even", "", "", "", "", 24, 35.0),
+        ],
+        STATS,
+    )
+    thresholds = gold.menu_thresholds(stats)
+    assert one(thresholds) == {"avg_units": 24.0, "avg_margin": 35.0}
+    got = by(gold.classify_menu(stats, thresholds), "item_id")
+    assert {k: (r["menu_class"], r["recommendation"]) for k, r in got.items()} == {
+        "star": ("Star", "Keep & Promote"),
+        "plow": ("Plow Horse", "Increase Price"),
+        "puzzle": ("Puzzle", "Remarket"),
+        "dog": ("Dog", "Consider Removing"),
+        "unknown": ("Dog", "Consider Removing"),
+        "even": ("Star", "Keep & Promote"),  # on both averages counts as above
+    }
+
+
+def test_item_stats(spark, menu):
+    orders = make_orders(spark, order(1, "2024-03-08"), order(2, "2024-03-09"))
+    lines = make_lines(
+        spark, orders, menu,
+        line(1, 1, quantity="2", line_total="20.00"), line(2, 1, line_total="9.00"),
+        line(3, 2, line_total="10.00"), line(4, 2, item=1),
+    )
+    got = by(gold.item_stats(lines), "item_id")["M1"]
+    assert (got["total_units_sold"], got["total_orders"]) == (4, 2)
+    assert (got["total_revenue"], got["total_gross_profit"]) == (money("39.00"), money("27.00"))
+    assert got["avg_margin_pct"] == 68.89 and got["avg_cost_price"] == 3.0
+    mart = by(gold.mart_menu_performance(lines), "item_id")
+    assert {i: r["menu_class"] for i, r in mart.items()} == {"M1": "Star", "M2": "Dog"}
+
+
+def test_location_comparison(spark, menu):
+    orders = make_orders(
+        spark,
+        order(1, "2024-03-08", total="30.00"),
+        order(2, "2024-03-09", total="10.00", kind="Takeout", discount="1.50"),
+        order(3, "2024-03-09", total="99.00", refund="True"),
+        order(4, "2024-03-10", site=1, total="60.00", kind="Delivery"),
+    )
+    lines = make_lines(
+        spark, orders, menu,
+        line(1, 1, quantity="2", line_total="20.00"), line(2, 1, line_total="10.00"), line(3, 4),
+    )
+    got = by(gold.mart_location_comparison(orders, lines), "location_id")
+    green = got["LOC-GRM"]
+    # two lines of order 1 do not repeat its total; order 2 has no lines
+    assert green["total_revenue"] == money("40.00") and green["avg_ticket"] == 20.0
+    assert green["total_orders"] == 2 and green["total_discounts"] == money("1.50")
+    assert green["total_gross_profit"] == money("21.00") and green["avg_margin_pct"] == 70.0
+    assert (green["dine_in_orders"], green["takeout_orders"], green["delivery_orders"]) == (1, 1, 0)
+    assert green["revenue_share_pct"] == 40.0
+    assert got["LOC-WTD"]["revenue_share_pct"] == 60.0
+
+
+def test_repeated_order_ids_count_once_but_keep_their_revenue(spark, menu):
+    orders = make_orders(
+        spark, order(1, "2024-03-08", total="10.00"),
+        order(1, "2024-03-08", total="20.00", kind="Takeout"),
+    )
+    lines = make_lines(spark, orders.limit(1), menu, line(1, 1))
+    got = one(gold.monthly_locations(orders, lines))
+    assert got["total_orders"] == 1 and got["total_revenue"] == money("30.00")
+    assert got["avg_ticket"] == 15.0
+    assert (got["dine_in_orders"], got["takeout_orders"]) == (1, 1)
+
+
+def test_revenue_trends(spark):
+    orders = make_orders(
+        spark,
+        order(1, "2023-11-05", total="100.00"),
+        order(2, "2024-01-05", total="50.00"),  # no December: the previous row is November
+        order(3, "2024-02-05", total="0.00"),
+        order(4, "2024-03-05", total="25.00"),
+        order(5, "2024-03-06", site=1, total="75.00"),
+    )
+    got = {
+        (r["location_id"], r["order_year"], r["order_month"]): r
+        for r in rows(gold.mart_revenue_trends(orders))
+    }
+    def figures(site, year, month):
+        r = got[site, year, month]
+        return (r["prev_month_revenue"], r["mom_growth_pct"], r["ytd_revenue"],
+                r["all_locations_revenue"])
+
+    assert figures("LOC-GRM", 2023, 11) == (None, None, money("100"), money("100"))
+    assert figures("LOC-GRM", 2024, 1) == (money("100"), -50.0, money("50"), money("50"))
+    assert figures("LOC-GRM", 2024, 2) == (money("50"), -100.0, money("50"), money("0"))
+    assert figures("LOC-GRM", 2024, 3) == (money("0"), None, money("75"), money("100"))
+    assert figures("LOC-WTD", 2024, 3) == (None, None, money("75"), money("100"))
+
+
+def test_invariants_on_real_tables(spark):
+    from tillmark.plans.registry import Tables
+
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    shares = tables.location_mart.groupBy("order_year", "order_month").agg(
+        F.sum("revenue_share_pct").alias("s")
+    )
+    assert shares.filter(F.abs(F.col("s") - 100) > 0.05).count() == 0
+    trends = tables.trends_mart
+    year_end = trends.groupBy("location_id", "order_year").agg(
+        F.max_by("ytd_revenue", "order_month").alias("last"),
+        F.sum("total_revenue").alias("whole"),
+    )
+    assert year_end.filter("last <> whole").count() == 0
+
+
+def test_heatmap_and_reports(spark):
+    orders = make_orders(
+        spark,
+        order(1, "2024-03-08", total="10.00"), order(2, "2024-03-15", total="20.00"),
+        order(3, "2024-03-08", total="5.00", time="09:00:00"),
+        order(4, "2024-03-09", site=1, total="7.00"),
+        order(5, "2024-04-12", total="1.00"),
+    )
+    mart = gold.mart_time_analysis(orders)
+    friday_noon = [
+        r for r in rows(mart) if (r["day_of_week"], r["order_hour"], r["order_month"]) == (5, 12, 3)
+    ]
+    assert len(friday_noon) == 1 and friday_noon[0]["total_orders"] == 2
+    assert friday_noon[0]["avg_ticket"] == 15.0 and friday_noon[0]["day_part"] == "Lunch"
+    report = [tuple(r) for r in reports.report_time_analysis(mart).collect()]
+    assert report == [
+        ("Green Mount", "Friday", 9, 1, money("5.00")),
+        ("Green Mount", "Friday", 12, 3, money("31.00")),
+        ("Westend", "Saturday", 12, 1, money("7.00")),
+    ]
+
+
+def test_report_orders(spark):
+    marts = spark.sql(
+        "select * from values ('B', 2024, 2, 5.0), ('A', 2024, 2, 9.0), ('A', 2024, 1, null),"
+        " ('B', 2024, 1, 1.0) t(location_id, order_year, order_month, total_revenue)"
+    )
+    def order_of(df):
+        return [(r.location_id, r.order_month) for r in df.collect()]
+
+    assert order_of(reports.report_menu_performance(marts))[:3] == [("A", 2), ("B", 2), ("B", 1)]
+    assert order_of(reports.report_location_comparison(marts)) == [
+        ("B", 1), ("A", 1), ("A", 2), ("B", 2)
+    ]
+    assert order_of(reports.report_revenue_trends(marts)) == [
+        ("A", 1), ("A", 2), ("B", 1), ("B", 2)
+    ]
+
+
+# ---- prices and promotions -----------------------------------------------------------------
+
+
+def test_price_in_force_includes_both_ends(spark, menu):
+    history = spark.createDataFrame(
+        [
+            ("M1", Decimal("8.00"), Decimal("2.00"), date(2024, 1, 1), date(2024, 3, 8)),
+            ("M1", Decimal("10.00"), Decimal("3.00"), date(2024, 3, 9), None),
+        ],
+        "item_id string, selling_price decimal(10,2), cost_price decimal(10,2),"
+        " effective_from date, effective_to date",
+    )
+    orders = make_orders(
+        spark, order(1, "2024-03-08"), order(2, "2024-03-09"), order(3, "2023-12-31")
+    )
+    lines = make_lines(spark, orders, menu, line(1, 1), line(2, 2), line(3, 3), line(4, 1, item=1))
+    got = by(pricing.price_as_of_order(lines, history), "order_item_id")
+    assert {k: (r["price_then"], r["cost_then"]) for k, r in got.items()} == {
+        "L1": (money("8.00"), money("2.00")), "L2": (money("10.00"), money("3.00")),
+        "L3": (None, None), "L4": (None, None),
+    }
+    margins = by(pricing.margin_price_history(lines, history), "item_id")["M1"]
+    assert margins["lines"] == 3 and margins["total_revenue"] == money("30.00")
+    assert margins["profit_current_cost"] == money("21.00")
+    assert margins["profit_historical_cost"] == money("15.00")  # unknown cost adds nothing
+    assert (margins["margin_current_cost"], margins["margin_historical_cost"]) == (70.0, 75.0)
+
+
+def test_promotions(spark, menu):
+    orders = make_orders(spark, order(1, "2024-03-08"), order(2, "2024-03-09"))
+    lines = make_lines(
+        spark, orders, menu,
+        line(1, 1, promo="P1", line_total="9.00", discount_applied="1.00"),
+        line(2, 1, promo="P1", line_total="9.00", discount_applied="1.00"),
+        line(3, 2, promo="P9"), line(4, 2, promo=None),
+    )
+    promotions = spark.sql("select * from values ('P1', 'one'), ('P2', 'two') t(promo_id, promo_name)")
+    got = by(pricing.promo_performance(lines, promotions), "promo_id")
+    assert got["P1"] == {
+        "promo_id": "P1", "promo_name": "one", "lines": 2, "orders": 1, "units": 2,
+        "revenue": money("18.00"), "discount": money("2.00"), "discount_pct": 10.0,
+    }
+    assert got["P2"]["lines"] == 0 and got["P2"]["discount_pct"] is None and set(got) == {"P1", "P2"}

@@ -1,0 +1,144 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import default_exports, line, order, rows, write_exports
+from tillmark.operators import typed
+from tillmark.operators.incremental import high_water_mark
+from tillmark.sources import bronze, exports, state
+from tillmark.sources.csv_export import check_columns, read_export, scan_csv
+from tillmark.sources.paths import check_arrival
+from tillmark.sources.tables import replace_table
+
+
+def test_arrival_names_the_missing_files(spark, tmp_path):
+    raw = write_exports(tmp_path / "raw")
+    check_arrival(spark, raw)
+    partial = tmp_path / "partial"
+    partial.mkdir()
+    (partial / "orders.csv").write_text("order_id\n")
+    with pytest.raises(FileNotFoundError) as error:
+        check_arrival(spark, str(partial))
+    assert "menu.csv" in str(error.value) and "'orders.csv'" not in str(error.value)
+
+
+def test_missing_column_is_an_error_and_extra_columns_stay(spark, tmp_path):
+    records = [order(1, "2024-03-01", loyalty_id="X9")]
+    raw = write_exports(tmp_path / "raw", orders=records)
+    assert "loyalty_id" in read_export(spark, raw, "orders").columns
+    short = [{k: v for k, v in records[0].items() if k not in ("tax_amount", "is_refund")}]
+    raw = write_exports(tmp_path / "short", orders=short)
+    with pytest.raises(ValueError, match=r"orders: missing columns \['tax_amount', 'is_refund'\]"):
+        read_export(spark, raw, "orders")
+
+
+def test_columns_bind_by_name_not_position(spark, tmp_path):
+    swapped = {k: order(1, "2024-03-01")[k] for k in reversed(list(order(1, "2024-03-01")))}
+    raw = write_exports(tmp_path / "raw", orders=[swapped])
+    (got,) = rows(typed.src_orders(read_export(spark, raw, "orders")))
+    assert got["order_id"] == "O1" and got["order_date"] == date(2024, 3, 1)
+
+
+def test_na_texts_and_quoting(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text(
+        'a,b\nNA,"say ""hi"", twice"\nnull,x\n,y\n"",z\nN/A,NaN\nNone,<NA>\nNAN,nap\n'
+    )
+    got = [(r["a"], r["b"]) for r in rows(scan_csv(spark, str(path)))]
+    assert got == [
+        (None, 'say "hi", twice'), (None, "x"), (None, "y"), (None, "z"), (None, None),
+        (None, None), ("NAN", "nap"),
+    ]
+
+
+def test_line_breaks_in_values_need_multiline(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('a,b\n1,"two\nlines"\n')
+    assert rows(scan_csv(spark, str(path), multiline=True)) == [{"a": "1", "b": "two\nlines"}]
+    with pytest.raises(Exception, match="MALFORMED"):
+        scan_csv(spark, str(path)).collect()
+
+
+def test_typed_views(spark, tmp_path):
+    raw = write_exports(
+        tmp_path / "raw",
+        orders=[order(1, "2024-03-01 00:00:00", refund="true", total="11.305")],
+        order_items=[line(1, 1, quantity="2.0"), line(2, 1, quantity="NA")],
+    )
+    (o,) = rows(typed.src_orders(read_export(spark, raw, "orders")))
+    assert o["order_date"] == date(2024, 3, 1) and o["is_refund"] is True
+    assert str(o["total_amount"]) == "11.31"
+    items = rows(typed.src_order_items(read_export(spark, raw, "order_items")))
+    assert [i["quantity"] for i in items] == [2, None] and items[0]["promo_id"] is None
+    menu = default_exports()["menu"]
+    menu[0] = menu[0] | {"item_id": "NA"}
+    raw = write_exports(tmp_path / "gap", menu=menu)
+    assert [m["item_id"] for m in rows(typed.src_menu(read_export(spark, raw, "menu")))] == [
+        "M2", "M3"
+    ]
+    promo = rows(typed.src_promotions(read_export(spark, raw, "promotions")))[0]
+    assert promo["end_date"] == date(2024, 12, 31) and promo["location_id"] is None
+    history = rows(typed.src_menu_price_history(read_export(spark, raw, "menu_price_history")))[0]
+    assert history["effective_to"] is None and history["is_current"] is True
+
+
+def test_bronze_batches_and_retry(spark, tmp_path):
+    root = str(tmp_path / "bronze")
+    first = [order(1, "2024-03-01"), order(2, "2024-03-02")]
+    raw = write_exports(tmp_path / "n1", orders=first, order_items=[line(1, 1), line(2, 2)])
+    for table, n in (("orders", 2), ("order_items", 2), ("menu", 3)):
+        assert bronze.load_batch(spark, read_export(spark, raw, table), root, table, None) == n
+    second = first + [order(3, "2024-03-03")]
+    raw = write_exports(
+        tmp_path / "n2", orders=second,
+        order_items=[line(1, 1), line(2, 2), line(3, 3), line(4, 99)],
+    )
+    for _ in range(2):  # the second time is a retry of the same batch
+        mark = date(2024, 3, 2)  # rows dated on the mark are not loaded again
+        assert bronze.load_batch(spark, read_export(spark, raw, "orders"), root, "orders", mark) == 1
+        assert (
+            bronze.load_batch(spark, read_export(spark, raw, "order_items"), root, "order_items", mark)
+            == 1
+        )
+        assert bronze.load_batch(spark, read_export(spark, raw, "menu"), root, "menu", None) == 3
+    assert bronze.read_bronze(spark, root, "orders").count() == 3
+    assert {r["order_item_id"] for r in rows(bronze.read_bronze(spark, root, "order_items"))} == {
+        "L1", "L2", "L3"
+    }
+    assert bronze.read_batch(spark, root, "menu").count() == 3
+    batch = bronze.read_batch(spark, root, "orders", mark)
+    assert dict(batch.dtypes)["order_date"] == "date"
+
+
+def test_full_rebuild_replaces_and_counts(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert replace_table(spark.range(5), path) == 5
+    assert replace_table(spark.range(2), path) == 2
+    assert replace_table(spark.range(0), str(tmp_path / "none")) == 0
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_load_state(spark, tmp_path):
+    path = str(tmp_path / "state")
+    assert state.read_marks(spark, path) == {}
+    days = spark.sql("select explode(array('2024-03-02', '2024-03-05', null)) as order_date")
+    state.advance_marks(high_water_mark(days), path)
+    assert state.read_marks(spark, path) == {
+        "orders": date(2024, 3, 5), "order_items": date(2024, 3, 5)
+    }
+    state.advance_marks(high_water_mark(days.limit(0)), path)  # nothing loaded, nothing changes
+    assert state.read_marks(spark, path)["orders"] == date(2024, 3, 5)
+    later = spark.sql("select date'2024-04-01' as order_date")
+    state.advance_marks(high_water_mark(later), path)
+    assert state.read_marks(spark, path)["order_items"] == date(2024, 4, 1)
+
+
+def test_report_files(spark, tmp_path):
+    df = spark.sql("select * from values (2, 'b'), (1, 'a, \"x\"'), (3, null) t(n, s)").orderBy("n")
+    path = exports.write_report(df, str(tmp_path), "numbers", date(2024, 3, 1))
+    assert path.endswith("numbers_20240301")
+    text = "".join(p.read_text() for p in sorted((tmp_path / "numbers_20240301").glob("*.csv")))
+    assert text == 'n,s\n1,"a, ""x"""\n2,b\n3,\n'
+    back = spark.read.option("header", True).option("escape", '"').csv(path)
+    assert back.orderBy(F.col("n").cast("int")).first().s == 'a, "x"'

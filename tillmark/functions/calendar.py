@@ -16,7 +16,8 @@ def day_number(day: Column) -> Column:
 
 
 def day_name(day: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in DAY_NAMES]), F.dayofweek(day))
+    # get(), as element_at() on an array of literals does not give null for a null index
+    return F.get(F.array(*[F.lit(n) for n in DAY_NAMES]), day_number(day))
 
 
 def calendar_parts(day: Column, weekend: Iterable[int] = WEEKEND_DAYS) -> dict[str, Column]:
