@@ -136,27 +136,31 @@ def quality_checks(
     )
 
 
-def quality_summary(results: DataFrame) -> DataFrame:
+def _summary_columns() -> list[Column]:
     passed = F.count_if(F.col("status") == "PASS")
     rate = F.try_divide(passed.cast("double"), F.count(F.lit(1)).cast("double")) * 100
-    return results.agg(
+    return [
         F.count(F.lit(1)).alias("total"),
         passed.alias("passed"),
         F.count_if(F.col("status") == "FAIL").alias("failed"),
         F.format_string("%.1f%%", rate).alias("pass_rate"),
-    )
+    ]
+
+
+def quality_summary(results: DataFrame) -> DataFrame:
+    return results.agg(*_summary_columns())
 
 
 def quality_report(results: DataFrame) -> DataFrame:
     """The report document: one row with timestamp, summary and the list of checks.
 
-    Collects one entry per check, so its size is the length of the check list.
+    One pass over the results, so the checks run once. It collects one entry per check, so its
+    size is the length of the check list.
     """
-    summary = quality_summary(results).select(F.struct("*").alias("summary"))
-    listed = results.agg(F.collect_list(F.struct("*")).alias("checks"))
-    return listed.select(
+    document = results.agg(*_summary_columns(), F.collect_list(F.struct("*")).alias("checks"))
+    return document.select(
         F.current_timestamp().alias("run_timestamp"),
-        F.lit(summary.scalar()).alias("summary"),
+        F.struct("total", "passed", "failed", "pass_rate").alias("summary"),
         "checks",
     )
 

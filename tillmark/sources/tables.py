@@ -106,15 +106,15 @@ def merge_table(
     on a normal night is the whole batch. Running the same batch again gives the same table, also
     after a run that broke off half-way: rows it had already added are found by key and replaced.
     """
+    if not table_exists(spark, path):
+        _record_schema(spark, path, batch.schema)
+        return counted(batch, lambda out: _write_partitions(out, path, partitions, "append"))
+
+    # The batch is read for its keys and for its rows; held once, it is computed once.
     stage = scratch_path(spark, "merge", hashlib.md5(path.encode()).hexdigest())
     rows = counted(batch, lambda out: out.write.mode("overwrite").parquet(f"{stage}/batch"))
     batch = spark.read.schema(batch.schema).parquet(f"{stage}/batch")
 
-    if not table_exists(spark, path):
-        _record_schema(spark, path, batch.schema)
-        _write_partitions(batch, path, partitions, "append")
-        return rows
-
     target = read_table(spark, path)
     combined = append_new_columns(target, batch).schema
     if len(combined) > len(target.schema):
