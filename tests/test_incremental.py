@@ -13,6 +13,8 @@ from tillmark.operators.incremental import (
     silver_orders_delta,
     upsert_by_key,
 )
+from tillmark.sources import tables
+from tillmark.sources.paths import remove_path
 from tillmark.sources.tables import merge_table, read_table, table_schema
 
 ORDERS = "order_id string, order_date date"
@@ -162,6 +164,28 @@ def test_merge_matches_the_plain_upsert(spark, tmp_path):
     assert stored(spark, path) == expected
 
 
+def test_merge_survives_a_rewrite_that_broke_off(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    merge_table(spark, path, table(spark, ("a", 1, 2024, 1), ("b", 1, 2024, 2), ("c", 1, 2024, 2)))
+    batch = table(spark, ("b", 2, 2024, 2), ("d", 2, 2024, 3))
+    write = tables._write_partitions
+
+    def breaks_off(df, where, partitions, mode):
+        if mode == "overwrite":  # the old folder is gone, the new one is not there yet
+            remove_path(spark, f"{where}/order_year=2024/order_month=2")
+            raise RuntimeError("lost")
+        return write(df, where, partitions, mode)
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_write_partitions", breaks_off)
+        with pytest.raises(RuntimeError, match="lost"):
+            merge_table(spark, path, batch)
+    merge_table(spark, path, batch)
+    assert stored(spark, path) == [
+        ("a", 1, 2024, 1), ("b", 2, 2024, 2), ("c", 1, 2024, 2), ("d", 2, 2024, 3)
+    ]
+
+
 def test_merge_adds_columns_and_keeps_dropped_ones(spark, tmp_path):
     path = str(tmp_path / "t")
     merge_table(spark, path, table(spark, ("a", 1, 2024, 1), ("b", 1, 2024, 1)))

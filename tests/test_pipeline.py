@@ -131,10 +131,10 @@ def test_a_run_that_breaks_off_between_the_silver_tables(spark, tmp_path, monkey
     raw = write_exports(tmp_path / "one", **NIGHT_ONE)
     merge = pipeline.merge_table
 
-    def only_orders(session, path, batch):
+    def only_orders(session, path, batch, key):
         if path.endswith("stg_order_items"):
             raise RuntimeError("lost")
-        return merge(session, path, batch)
+        return merge(session, path, batch, key)
 
     with monkeypatch.context() as m:
         m.setattr(pipeline, "merge_table", only_orders)

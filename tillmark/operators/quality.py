@@ -80,7 +80,8 @@ def duplicate_orders(orders: DataFrame) -> DataFrame:
 def unmatched_items(items: DataFrame, menu: DataFrame) -> DataFrame:
     """Lines whose item is not on the menu, lines without an item among them.
 
-    Lines are counted per item before the anti-join, so it sees items, not lines.
+    Lines are counted per item first, so an anti-join that has to shuffle moves items, not lines.
+    (While the menu is small enough to broadcast, Spark runs the join before the count.)
     """
     lines = items.groupBy("item_id").agg(F.count(F.lit(1)).alias("lines"))
     return (

@@ -99,6 +99,8 @@ def build_silver(
 
     The batch itself is the delta: it is what Bronze loaded after the mark. Filtering once more
     by the newest day in Silver would lose rows when a run broke off between two tables.
+    Rows are matched by their ids, of which the surrogate keys are hashes: equal matches, but ids
+    mostly grow over time, so that a merge can skip files by them.
     """
     audit = {}
     raw = {
@@ -107,14 +109,17 @@ def build_silver(
     }
     orders = silver.stg_orders(typed.src_orders(raw["orders"]))
     audit["stg_orders"] = merge_table(
-        spark, where.silver("stg_orders"), silver.stamped(orders)
+        spark, where.silver("stg_orders"), silver.stamped(orders), "order_id"
     )
     # Lines are costed against the orders of the batch: the same rows that were just merged.
     items = silver.stg_order_items(
         typed.src_order_items(raw["order_items"]), orders, typed.src_menu(raw["menu"])
     )
     audit["stg_order_items"] = merge_table(
-        spark, where.silver("stg_order_items"), silver.stamped(silver.by_month(items))
+        spark,
+        where.silver("stg_order_items"),
+        silver.stamped(silver.by_month(items)),
+        "order_item_id",
     )
     return audit
 

@@ -17,7 +17,11 @@ from tillmark.sources.paths import path_exists, remove_path
 
 
 def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    """Runs a write and returns its row count, observed on the way instead of by a second scan."""
+    """Runs a write and returns its row count, observed on the way instead of by a second scan.
+
+    `write` must not shuffle: rows are then counted by the tasks that write them, each of which
+    counts once, however often earlier stages are run again after a lost executor.
+    """
     seen = Observation()
     write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
     return int(seen.get.get("rows") or 0)
@@ -80,18 +84,28 @@ def _partitions_of(df: DataFrame, partitions: tuple[str, ...]) -> list[Row]:
     return df.select(*partitions).distinct().collect()  # at most the number of stored partitions
 
 
-def _write_partitions(df: DataFrame, path: str, partitions: tuple[str, ...], mode: str) -> None:
+def _write_partitions(df: DataFrame, path: str, partitions: tuple[str, ...], mode: str) -> int:
     """One set of files per partition. Rebalancing gathers a partition's rows in few tasks and
     splits the tasks of a partition that is too large for one."""
-    (
-        df.hint("rebalance", *partitions)
-        .write.mode(mode)
+    return counted(
+        df.hint("rebalance", *partitions),
+        lambda out: out.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
-        .parquet(path)
+        .parquet(path),
     )
 
 
+def _around(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows between the lowest and the highest of the keys: no match lies outside.
+
+    The bounds reach the Parquet scan as literals. Ids that grow over time then skip nearly all
+    of a table's files; for other ids it reads what it would have read anyway.
+    """
+    low, high = keys.agg(F.min(key), F.max(key)).first()
+    return df.filter(F.col(key).between(F.lit(low), F.lit(high)))
+
+
 def merge_table(
     spark: SparkSession,
     path: str,
@@ -108,11 +122,14 @@ def merge_table(
     """
     if not table_exists(spark, path):
         _record_schema(spark, path, batch.schema)
-        return counted(batch, lambda out: _write_partitions(out, path, partitions, "append"))
+        return _write_partitions(batch, path, partitions, "append")
 
-    # The batch is read for its keys and for its rows; held once, it is computed once.
     stage = scratch_path(spark, "merge", hashlib.md5(path.encode()).hexdigest())
+    _finish_rewrite(spark, path, stage, partitions)
+    # The batch is read for its keys and for its rows; held once, it is computed once.
     rows = counted(batch, lambda out: out.write.mode("overwrite").parquet(f"{stage}/batch"))
+    if not rows:
+        return 0
     batch = spark.read.schema(batch.schema).parquet(f"{stage}/batch")
 
     target = read_table(spark, path)
@@ -121,23 +138,43 @@ def merge_table(
         _record_schema(spark, path, combined)
 
     keys = batch.select(key).distinct()
-    hit = _partitions_of(target.join(keys, key, "left_semi"), partitions)
+    hit = _partitions_of(_around(target, keys, key).join(keys, key, "left_semi"), partitions)
     touched = _within(partitions, hit)
     if hit:
         # The keys to remove are those of the whole batch, the rows to add those that belong here.
         survivors = target.filter(touched).join(keys, key, "left_anti").select(*target.columns)
         append_new_columns(survivors, batch.filter(touched)).write.mode("overwrite").parquet(
-            f"{stage}/rewritten"
+            _rewritten(stage)
         )
-        rewritten = spark.read.schema(combined).parquet(f"{stage}/rewritten")
-        kept = _partitions_of(rewritten, partitions)
-        _write_partitions(rewritten, path, partitions, "overwrite")
+        kept = _finish_rewrite(spark, path, stage, partitions)
         for emptied in set(hit) - set(kept):  # overwriting skips partitions without rows
             remove_path(spark, _partition_path(path, partitions, emptied))
     _write_partitions(batch.filter(~touched), path, partitions, "append")
     return rows
 
 
+def _rewritten(stage: str) -> str:
+    return f"{stage}/rewritten"
+
+
+def _finish_rewrite(
+    spark: SparkSession, path: str, stage: str, partitions: tuple[str, ...]
+) -> list[Row]:
+    """Puts fully staged partitions in place of the old ones; returns which these are.
+
+    Replacing folders is not atomic. The staged copy goes only after all are in place, so the
+    next merge finds it when a run broke off in between, and puts it in place again.
+    """
+    staged = _rewritten(stage)
+    if not path_exists(spark, f"{staged}/_SUCCESS"):
+        return []
+    rewritten = spark.read.schema(table_schema(spark, path)).parquet(staged)
+    kept = _partitions_of(rewritten, partitions)
+    _write_partitions(rewritten, path, partitions, "overwrite")
+    remove_path(spark, staged)
+    return kept
+
+
 def _partition_path(path: str, partitions: tuple[str, ...], row: Row) -> str:
     named = [
         f"{p}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for p, v in zip(partitions, row)
