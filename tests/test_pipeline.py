@@ -76,15 +76,11 @@ def test_two_nights(spark, tmp_path):
         path = f"{Warehouse(root).reports}/{report}_20240402"
         assert spark.read.option("header", True).csv(path).count() > 0
 
-
-def test_a_night_without_new_orders_keeps_the_mark(spark, tmp_path):
-    root = str(tmp_path / "w")
-    raw = write_exports(tmp_path / "one", **NIGHT_ONE)
-    pipeline.run(spark, raw, root, RULES, DAY)
+    # a night without new orders keeps the mark and the tables
     before = silver(spark, root, "stg_orders")
-    again = pipeline.run(spark, raw, root, RULES, DAY)
-    assert again.audit["bronze_orders"] == again.audit["stg_orders"] == 0
-    assert again.marks["orders"] == date(2024, 3, 9)
+    third = pipeline.run(spark, raw, root, RULES, DAY)
+    assert third.audit["bronze_orders"] == third.audit["stg_orders"] == 0
+    assert third.marks["orders"] == date(2024, 4, 1)
     assert silver(spark, root, "stg_orders") == before
 
 
@@ -105,8 +101,7 @@ def test_gate_halts_after_writing_its_report_and_loses_nothing(spark, tmp_path):
     assert read_table(spark, where.silver("stg_orders")).count() == 3
 
 
-@pytest.mark.parametrize("step", ["build_gold", "check_assertions", "write_reports"])
-def test_a_run_that_breaks_off_can_be_started_again(spark, tmp_path, monkeypatch, step):
+def test_a_run_that_breaks_off_can_be_started_again(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "w")
     pipeline.run(spark, write_exports(tmp_path / "one", **NIGHT_ONE), root, RULES, DAY)
     raw = write_exports(tmp_path / "two", **NIGHT_TWO)
@@ -114,11 +109,12 @@ def test_a_run_that_breaks_off_can_be_started_again(spark, tmp_path, monkeypatch
     def lost(*_):
         raise RuntimeError("lost")
 
-    with monkeypatch.context() as m:
-        m.setattr(pipeline, step, lost)
-        with pytest.raises(RuntimeError, match="lost"):
-            pipeline.run(spark, raw, root, RULES, DAY)
-    assert state.read_marks(spark, Warehouse(root).state)["orders"] == date(2024, 3, 9)
+    for step in ("build_gold", "write_reports"):
+        with monkeypatch.context() as m:
+            m.setattr(pipeline, step, lost)
+            with pytest.raises(RuntimeError, match="lost"):
+                pipeline.run(spark, raw, root, RULES, DAY)
+        assert state.read_marks(spark, Warehouse(root).state)["orders"] == date(2024, 3, 9)
     result = pipeline.run(spark, raw, root, RULES, DAY)
     assert result.marks["orders"] == date(2024, 4, 1)
     assert bronze.read_bronze(spark, Warehouse(root).bronze, "orders").count() == 4
