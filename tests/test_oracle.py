@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from tillmark.plans import oracle, registry
 from tillmark.sources.star import COLUMNS
 
 SF = "/root/testdata/sf0.001"
@@ -11,8 +12,8 @@ TYPES = {
     "int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
     "date": "DATE", "boolean": "BOOLEAN",
 }
-QUERIES = __spark_entry__.queries()
-ORACLE = __spark_entry__.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
