@@ -355,11 +355,11 @@ class NearDuplicates:
         over = components(joining, self.store, "tile").select(
             F.col("node").alias("component"), F.col("component").alias("larger")
         )
-        component = F.coalesce("larger", "component", "node")
         nodes = hold(
             nodes.select("key", "node", "least_id").join(found, "node", "left")
+            .withColumn("component", F.coalesce("component", "node"))
             .join(over, "component", "left")
-            .select("key", "node", "least_id", component.alias("component")),
+            .select("key", "least_id", F.coalesce("larger", "component").alias("component")),
             "connected",
         )
         ids = hold(
