@@ -31,7 +31,7 @@ Span = tuple[str, int, int]
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)+")
+_DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)+")
 _NUMBER = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9]){11,}")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -181,7 +181,9 @@ DIGIT_WORDS = {
     "six": "6", "seven": "7", "eight": "8", "nine": "9",
 }
 _NAME = "(?:" + "|".join([*DIGIT_WORDS, "plus"]) + ")"
-_SPELLED = re.compile(rf"(?i)(?<![^\W_])(?:{_NAME}|[0-9+]+)(?:[ ,-]{{1,2}}(?:{_NAME}|[0-9]+))+(?![^\W_])")
+_SPELLED = re.compile(
+    rf"(?i)(?<![\w+])(?:{_NAME}|[0-9+]++)(?:[ ,-]{{1,2}}(?:{_NAME}|[0-9]++))+(?!\w)"
+)
 _TOKEN = re.compile(r"(?i)[a-z]+|[0-9+]+")
 _ANY_NAME = re.compile(rf"(?i)\b{_NAME}[ ,-]{{1,2}}(?:{_NAME}|[0-9])")
 LEAST_SPELLED = 3  # digit words in a run; fewer are prose
@@ -209,8 +211,12 @@ def spelled_digits(text: str) -> list[tuple[int, int, str]]:
 _AT = r"\s?[\[({<]\s?(?:at|@)\s?[\])}>]\s?"
 _DOT = r"\s?[\[({<]\s?(?:dot|punkt|punto|point|\.)\s?[\])}>]\s?"
 _BRACKETED = re.compile(rf"(?i)(?P<at>{_AT})|(?P<dot>{_DOT})")
+# Domain endings that are no common words, for addresses written as words.
+_ENDINGS = "(?:com|org|net|edu|gov|mil|info|biz|io|co|uk|eu|us|ca|au|de|fr|es|ch|nl|pl|pt|ru|jp|cn|br)"
+_LABELS = r"(?:[a-z0-9-]{1,63}(?: dot |\.)){1,8}"
+# "Meet us at example.com" is prose: a bare "at" needs a spoken dot.
 _SPOKEN_MAIL = re.compile(
-    r"(?i)[a-z0-9_%+-](?P<at> (?:at|@) |@)[a-z0-9-]{1,63}(?: dot |\.)(?:[a-z0-9-]{1,63}(?: dot |\.))*[a-z]{2,24}\b"
+    rf"(?i)[a-z0-9_%+-](?: at (?=[a-z0-9.-]* dot )| @ |@){_LABELS}{_ENDINGS}\b"
 )
 _SPOKEN_DOT = re.compile(r"(?i) dot ")
 _SPOKEN_IP = re.compile(r"(?i)\b[0-9]{1,3}(?: dot [0-9]{1,3}){3}\b")
@@ -223,9 +229,12 @@ def disguises(text: str) -> list[tuple[int, int, str]]:
     ] if re.search(r"(?i)[\[({<]\s?(?:at|@|dot|punkt|punto|point|\.)", text) else []
     if " dot " in (lower := text.lower()) or " at " in lower or " @ " in lower:
         for m in _SPOKEN_MAIL.finditer(text):
-            if m["at"] != "@":
-                edits.append((*m.span("at"), "@"))
-            edits += [(*d.span(), ".") for d in _SPOKEN_DOT.finditer(text, m.end("at"), m.end())]
+            start = m.start() + 1  # of the sign or its disguise
+            stop = start + 1
+            if text[start] == " ":
+                stop = text.index(" ", stop) + 1
+                edits.append((start, stop, "@"))
+            edits += [(*d.span(), ".") for d in _SPOKEN_DOT.finditer(text, stop, m.end())]
         for m in _SPOKEN_IP.finditer(text):
             edits += [(*d.span(), ".") for d in _SPOKEN_DOT.finditer(text, *m.span())]
     out: list[tuple[int, int, str]] = []
