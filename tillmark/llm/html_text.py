@@ -3,9 +3,10 @@
 Each block of text passes points to its ancestors: one, one per comma and one per hundred
 characters (three at most), to the parent in full, to the grandparent half, to those above ever
 less. Points are discounted by the share of an element's text that lies in links. The best
-container is kept together with those siblings that score well or read like prose; if it lies in an
-`article` (or the page has one `main`), that is the container. Within it everything stays but what
-by tag, role or name is a menu, header, footer, sidebar, notice, advert, form or comment.
+container is kept together with those siblings that score well or read like prose. A page's only
+outermost `article`, or else its only outermost `main`, is the container whatever the scores; of
+several, the one that holds the best container. Within the container everything stays but what by
+tag, role or name is a menu, header, footer, sidebar, notice, advert, form or comment.
 
 White space within a block is one space; blocks follow in page order, joined by one space.
 
@@ -250,6 +251,14 @@ def _ancestors(element: Element | None) -> Iterator[Element]:
         element = element.parent
 
 
+def _outermost(element: Element, tag: str) -> Element | None:
+    found = None
+    for ancestor in _ancestors(element):
+        if ancestor.tag == tag:
+            found = ancestor
+    return found
+
+
 REACH = 6  # ancestors that a block passes points to
 
 
@@ -291,11 +300,14 @@ def main_containers(found: list[Block]) -> list[Element]:
                     scored.append(ancestor)
     if not scored:
         return []
+    for tag in ("article", "main"):
+        outermost = {id(o): o for e in scored if (o := _outermost(e, tag))}
+        if len(outermost) == 1:
+            return list(outermost.values())
     best = max(scored, key=_rank)
     for tag in ("article", "main"):
-        lifted = [a for a in _ancestors(best) if a.tag == tag]
-        if lifted:
-            return [lifted[-1]]
+        if container := _outermost(best, tag):
+            return [container]
     if best.parent is None or best.tag == "body":
         return [best]
     least = max(2.0, 0.2 * _rank(best))
