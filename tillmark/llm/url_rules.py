@@ -135,7 +135,7 @@ def _blocks(rules: DataFrame, most_bytes: int) -> Iterator[list[Rule]]:
 
 def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow",
           most_bytes: int = 32 << 20) -> DataFrame:
-    """Adds host, path, rule and verdict to every row.
+    """Adds host, path, rule and verdict to every row, in place of columns of these names.
 
     Rules beyond `most_bytes` are taken block by block: each block is broadcast, its sweep keeps
     the better of its own rule and the one found so far. Pass few columns; rows are shuffled once.
@@ -162,4 +162,5 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "a
             store = store or Store(spark, "rules")
             rows = store.hold(rows, f"pass-{number}").sortWithinPartitions("key")
         rows = rows.mapInArrow(_swept(spark.sparkContext.broadcast(block)), rows.schema)
-    return rows.select("row.*", "host", "path", "rule", "verdict")
+    own = ["host", "path", "rule", "verdict"]
+    return rows.select(*[F.col(f"row.`{c}`") for c in columns if c not in own], *own)
