@@ -1,0 +1,143 @@
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tillmark.llm import quality
+
+SF = "/root/testdata/sf0.01"
+DOCS = "doc_id long, text string, score string, quality int, row int"
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    found = quality.report(docs, labels)
+    assert found.columns == ["doc_id", "held_out", "score", "predicted"]
+    rows = found.join(labels, "doc_id").collect()
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    unseen = [r for r in rows if r.held_out]
+    assert len(unseen) > 40
+    assert np.mean([r.predicted == r.quality for r in unseen]) >= 0.95
+
+
+def test_ids_and_languages_are_no_inputs(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.train(docs, labels)
+    once = quality.score(docs, model).select("text", "score")
+    other = quality.score(
+        docs.select((F.col("doc_id") + 7).alias("doc_id"), "text", F.lit("xx").alias("lang")), model
+    ).select("text", "score")
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, other.collect()))
+
+
+def test_held_out_labels_teach_nothing(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    flipped = labels.withColumn(
+        "quality", F.when(quality.fold(F.col("doc_id")) == 0, 1 - F.col("quality"))
+        .otherwise(F.col("quality"))
+    )
+    a, b = (sorted(map(tuple, quality.report(docs, x).collect())) for x in (labels, flipped))
+    assert a == b
+
+
+def test_gradients_are_the_slopes():
+    rng = np.random.default_rng(0)
+    x, firsts, y = rng.normal(size=(12, 5)), np.array([0, 3, 4, 9]), np.array([1.0, 0, 1, 0])
+    shapes = {"W": (5, 4), "b": 4, "V": (4, 3), "U": (4, 3), "w": 3, "c": 4, "d": 1}
+    p = {k: rng.normal(size=s) for k, s in shapes.items()}
+
+    def loss():
+        s = quality._forward(p, x, firsts)["score"]
+        return -np.mean(y * np.log(s) + (1 - y) * np.log(1 - s))
+
+    slopes = quality._gradients(p, x, firsts, y)
+    for name, value in p.items():
+        for at in np.ndindex(value.shape):
+            old = value[at]
+            value[at] = old + 1e-6
+            up = loss()
+            value[at] = old - 1e-6
+            down = loss()
+            value[at] = old
+            assert abs((up - down) / 2e-6 - slopes[name][at]) < 1e-6
+
+
+def test_attention_finds_the_telling_passage():
+    """Bags of noise, some with one passage that marks them: averages hide it, attention doesn't."""
+    rng = np.random.default_rng(4)
+    bags, y = [], []
+    for i in range(500):
+        bag = rng.normal(size=(rng.integers(3, 12), 6))
+        if i % 2:
+            bag[rng.integers(len(bag))] = [6, -6, 0, 0, 0, 0]
+        bags.append(bag)
+        y.append(i % 2)
+    y = np.array(y, float)
+    model = quality.fit(bags[:350], y[:350], steps=300)
+    test = bags[350:]
+    firsts = np.cumsum([0, *map(len, test)])[:-1]
+    found = model.scores(np.concatenate(test), firsts)
+    assert ((found > 0.5) == y[350:]).mean() > 0.95
+    weights = quality._forward(model.weights, model.normal(np.concatenate(test)), firsts)["a"]
+    heaviest = [w.argmax() for w in np.split(weights, firsts[1:])]
+    marked = [int(np.argmax(b[:, 0])) for b in test]
+    assert np.mean([a == b for a, b, t in zip(heaviest, marked, y[350:]) if t]) > 0.9
+
+
+@pytest.mark.parametrize("text", [
+    b"", b" ", b"x", b"  a b", b"a" * 70000, b"\xff\xfe", "é ß".encode(), b"w " * 200, b"\n\n x \n",
+    b"\x00", b"a " * 64, b"a " * 65,
+])
+def test_passages_of_odd_texts(text):
+    found = quality.passages(text)
+    assert found.shape == (max(1, -(-len(text.split()) // quality.PASSAGE)), quality.FEATURES)
+    assert np.isfinite(found).all()
+
+
+def test_passage_features():
+    found = quality.passages(b"Dog dog dog CAT!!")[0]
+    names = list(quality._CLASSES)
+    assert found[names.index("upper")] == 4 / 17
+    k = len(names)
+    assert found[k + 4] == 1 / 4  # as the word before
+    assert found[k + 5] == 3 / 4  # distinct
+    assert quality.passages(b"a a b")[0][k + 5] == pytest.approx(2 / 3)
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, "s", 9, 1) for i, t in rows], DOCS).repartition(2)
+
+
+def labels(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+GOOD, BAD = "Plain words of a calm text, as they come. " * 5, "$$$ ### BUY!! BUY!! " * 20
+
+
+def test_odd_rows(spark):
+    rows = [(i, GOOD if i % 2 else BAD) for i in range(80)]
+    odd = [(None, None), (1000, None), (1001, ""), (1002, "x" * 200000), (1003, "w " * 60000), (5, GOOD)]
+    marks = [(i, i % 2, 0) for i in range(80)] + [(3, None, 0), (4, 7, 1), (None, 1, 0), (5, 1, 0)]
+    found = quality.report(docs(spark, rows + odd), labels(spark, marks)).collect()
+    assert len(found) == 86 and all(0 <= r.score <= 1 for r in found)
+    verdicts = {r.doc_id: r.predicted for r in found}
+    assert all(verdicts[i] == i % 2 for i in range(80))
+
+
+def test_labels_of_one_kind_or_none(spark):
+    rows = docs(spark, [(i, GOOD) for i in range(12)])
+    assert {r.score for r in quality.report(rows, labels(spark, [])).collect()} == {0.5}
+    ones = labels(spark, [(i, 1, 0) for i in range(12)])
+    assert {r.score for r in quality.report(rows, ones).collect()} == {1.0}
+    assert quality.report(docs(spark, []), ones).collect() == []
+
+
+def test_rejected_documents_go(spark):
+    df = docs(spark, [(i, GOOD if i % 2 else BAD) for i in range(80)])
+    marks = labels(spark, [(i, i % 2, 0) for i in range(80)])
+    kept = quality.keep_good(df, marks)
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(1, 80, 2))

@@ -1,0 +1,93 @@
+import base64
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillmark.llm import warc
+from tillmark.llm.store import Store
+
+SCHEMA = "page_id long, url string, html string, digest string, record_type int, body string"
+
+
+def digest(text):
+    return base64.b32encode(hashlib.sha1((text or "").encode()).digest()).decode()
+
+
+def brute(rows, least=0):
+    out = []
+    for page, _, body in rows:
+        size = len((body or "").encode())
+        same = [p for p, _, b in rows if p is not None and (b or "") == (body or "")]
+        first = min(same) if same and size >= least else page
+        again = page is not None and page != first
+        out.append((page, size, digest(body), "revisit" if again else "response",
+                    first if again else None))
+    return sorted(out, key=repr)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(p, u, h, "d", 1, "b") for p, u, h in rows], SCHEMA).repartition(3)
+
+
+ROWS = [
+    (5, "http://a/5", "<p>same</p>"), (2, "http://a/2", "<p>same</p>"), (9, "http://a/9", "<p>same</p>"),
+    (1, "http://b", None), (3, None, ""), (4, "http://c\r\nX-Page-ID: 7", "é\r\n\r\nWARC/1.1\r\n\r\nx\r\n\r\n"),
+    (6, "u", "Content-Length: 3\r\n\r\n"), (7, "u", "\r\n\r\n"), (8, "u", "x" * 300000), (8, "u", "other"),
+    (2, "http://a/2", "<p>same</p>"), (None, "n", "<p>same</p>"), (None, "n", "lone"), (10, "u", "\x00 "),
+]
+
+
+def test_archives_read_back(spark):
+    found = warc.archive_pages(frame(spark, ROWS))
+    assert found.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert sorted(map(tuple, found.collect()), key=repr) == brute(ROWS)
+
+
+def test_a_payload_of_most_rows(spark):
+    rows = [(i, "u", "hot" if i % 3 else f"page {i}") for i in range(1500)]
+    assert sorted(map(tuple, warc.archive_pages(frame(spark, rows)).collect()), key=repr) == brute(rows)
+
+
+def test_least_size(spark):
+    store = Store(spark, "test")
+    pages = frame(spark, ROWS)
+    warc.write_archives(pages, store.path("archives"), store, least_bytes=5)
+    found = warc.resolve(warc.read_archives(spark, store.path("archives")))
+    assert sorted(map(tuple, found.collect()), key=repr) == brute(ROWS, 5)
+
+
+def test_empty_table(spark):
+    assert warc.archive_pages(frame(spark, [])).collect() == []
+
+
+def test_records_follow_the_format(spark):
+    store = Store(spark, "test")
+    warc.write_archives(frame(spark, ROWS[:3]), store.path("archives"), store, records_per_file=1)
+    files = spark.read.format("binaryFile").load(store.path("archives")).collect()
+    assert len(files) == 3
+    kinds = {}
+    for f in files:
+        content = bytes(f.content)
+        assert content.startswith(b"WARC/1.1\r\n") and content.endswith(b"\r\n\r\n")
+        (fields, block), = warc.records(content)
+        kinds.setdefault(fields["warc-type"], []).append(fields)
+        assert bytes(block).startswith(b"HTTP/1.1 200 OK\r\n")
+        assert (b"<p>same</p>" in bytes(block)) == (fields["warc-type"] == "response")
+    original, = kinds["response"]
+    for fields in kinds["revisit"]:
+        assert fields["warc-refers-to"] == original["warc-record-id"]
+        assert fields["warc-refers-to-target-uri"] == "http://a/2"
+        assert fields["warc-profile"] == warc.PROFILE
+        assert fields["warc-payload-digest"] == original["warc-payload-digest"]
+
+
+def test_damage_is_noticed(spark):
+    with pytest.raises(ValueError):
+        list(warc.records(b"WARC/1.1\r\nContent-Length: 2\r\n\r\nabc\r\n\r\n"))
+
+
+def test_digest(spark):
+    df = spark.createDataFrame([("a",), ("",), ("é" * 1000,)], "t string")
+    for row in df.select("t", warc.payload_digest(F.col("t")).alias("d")).collect():
+        assert row.d == digest(row.t)
