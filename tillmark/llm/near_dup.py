@@ -29,12 +29,13 @@ smallest non-null id in it, null if there is none, and `kept` compares null-safe
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.llm.batches import LOWER, extended, pieces, utf8
@@ -298,6 +299,26 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+# Spark filters the larger side of a join by a Bloom filter of the smaller one from these sizes on.
+BLOOM = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64m",
+}
+
+
+@contextlib.contextmanager
+def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 # ---- the operator ----------------------------------------------------------------------------
 
 
@@ -307,7 +328,8 @@ class NearDuplicates:
 
     def __init__(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text"):
         self.columns, self.text = docs.columns, text
-        self.store = Store(docs.sparkSession, "near")
+        self.spark = docs.sparkSession
+        self.store = Store(self.spark, "near")
         rows = docs.select(
             F.struct(
                 F.lit(0).alias("__row"), *[F.col(f"`{c}`") for c in docs.columns if c != text]
@@ -347,11 +369,7 @@ class NearDuplicates:
         # Step 4: what may still join two components.
         tiles = self._tiles(members, found, sketches)
         sets = self._sets_of(tiles.select("node"), "tile")
-        joining = (
-            tiles.join(sets, "node")
-            .repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-            .mapInArrow(_joining, "a long, b long")
-        )
+        joining = self._by_tile(tiles.join(sets, "node")).mapInArrow(_joining, "a long, b long")
         over = components(joining, self.store, "tile").select(
             F.col("node").alias("component"), F.col("component").alias("larger")
         )
@@ -367,8 +385,8 @@ class NearDuplicates:
         )
         classes = hold(nodes.join(ids, "component").select("key", "component", "component_id"),
                        "classes")
-        self.store.drop("nodes", "members", "near", "star-sets", "tiles", "tile-sets",
-                        "connected", "ids")
+        self.store.drop("nodes", "members", "near", "star-wanted", "star-sets", "tiles",
+                        "tile-wanted", "tile-sets", "connected", "ids")
         return classes
 
     def _members(self, nodes: DataFrame) -> DataFrame:
@@ -402,12 +420,27 @@ class NearDuplicates:
         )
 
     def _sets_of(self, nodes: DataFrame, name: str) -> DataFrame:
-        """Full sets of some nodes, from the text of the row that a node is named after."""
-        wanted = nodes.distinct()
-        texts = self.documents.select(F.col("number").alias("node"), "text").join(wanted, "node")
-        return self.store.hold(
-            texts.select("node", "text").mapInArrow(_sets, "node long, set binary"), f"{name}-sets"
+        """Full sets of some nodes, from the text of the row that a node is named after.
+
+        Only texts that pass Spark's Bloom filter of the wanted nodes (8 MB at most) are shuffled.
+        """
+        wanted = self.store.hold(nodes.distinct(), f"{name}-wanted")
+        texts = self.documents.select(F.col("number").alias("node"), "text").join(
+            # Numbers aren't negative; Spark wants a filter that looks selective.
+            wanted.filter("node >= 0"), "node"
         )
+        with _settings(self.spark, BLOOM):
+            return self.store.hold(
+                texts.select("node", "text").mapInArrow(_sets, "node long, set binary"),
+                f"{name}-sets",
+            )
+
+    def _by_tile(self, rows: DataFrame) -> DataFrame:
+        """Tiles together and in order. A stated number of partitions is not reduced: what a tile
+        costs is comparisons, not bytes."""
+        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        tile = ("band", "i", "j")
+        return rows.repartition(partitions, *tile).sortWithinPartitions(*tile)
 
     def _tiles(self, members: DataFrame, found: DataFrame, sketches: DataFrame) -> DataFrame:
         """Nodes with their candidate partners, by tile (band, i, j)."""
@@ -438,7 +471,7 @@ class NearDuplicates:
         others = F.when(is_major, F.sequence(F.lit(0), minors - 1)).otherwise(
             F.sequence(F.lit(0), everyone - 1)
         )
-        tiled = (
+        tiled = self._by_tile(
             rows.withColumn("chunk", chunk)
             .select("band", "place", "node", "component", "chunk", F.explode(others).alias("other"))
             .select(
@@ -448,7 +481,6 @@ class NearDuplicates:
                 (F.col("chunk") >= F.col("other")).alias("is_right"),
             )
             .join(sketches, "node")
-            .repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
         )
         out = self.store.hold(
             tiled.select("band", "i", "j", "place", "node", "component", "n", "sketch", "is_left",
