@@ -95,22 +95,60 @@ def test_no_unpartitioned_window_and_no_cross_join(spark):
 
 def test_thresholds_read_the_lines_once(stored):
     """The item figures are held, so the classified mart scans them and not the lines."""
-    text = plan(gold.mart_menu_performance(stored[1]))
-    assert "held-" in text and "margin_pct#" not in text.split("avg_margin_pct")[0]
-    assert "/items" not in text
+    tables = Tables(stored[1].sparkSession, SF)
+    tables.stg_order_items = stored[1]
+    text = plan(tables.menu_mart)
+    assert "item_stats-" in text and "/items" not in text
 
 
 def test_location_mart_counts_orders_without_repeating_rows(stored):
-    text = plan(gold.mart_location_comparison(*stored))
+    text = plan(gold.mart_location_comparison(gold.monthly_locations(*stored)))
     assert "Expand" not in text
     # both sides of the join, the sites by month, the share window
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 4
 
 
 def test_row_checks_scan_each_table_once(spark):
-    menu = Tables(spark, SF).raw("menu")
+    tables = Tables(spark, SF)
+    menu, items = tables.raw("menu"), tables.raw("order_items")
     checks = quality.count_violations(menu, quality.menu_checks(QualityRules()))
     assert plan(checks).count("FileScan") == 1
+    assert plan(quality.quality_checks_items(items, menu, QualityRules())).count("lineitem") == 1
+
+
+def test_silver_rows_are_tested_in_one_scan(stored):
+    text = plan(quality.row_assertions(stored[0], "t", ["order_id", "location_id"], {"subtotal": 0}))
+    assert text.count("FileScan") == 1 and "hashpartitioning" not in text
+    keys = stored[0].filter("order_month = 3").select("order_id")
+    text = plan(quality.silver_assertions(*stored, keys, stored[1].select("order_item_id")))
+    # per table: one scan for the rows, one for the keys of the batch, and the batch's own
+    assert text.count("FileScan") == 6 and text.count("LeftSemi") == 2
+
+
+def test_no_plan_deals_rows_out_at_random(spark):
+    tables = Tables(spark, SF)
+    for df in (tables.stg_order_items, tables.item_stats, tables.location_mart, tables.checks(),
+               tables.promotions, tables.trends_mart):
+        assert "RoundRobin" not in plan(df)
+
+
+def test_a_hot_null_item_meets_a_shuffled_menu(hot_lines, many_orders, large_menu, conf):
+    conf(
+        autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__advisoryPartitionSizeInBytes="64KB",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="128KB",
+        adaptive__skewJoin__skewedPartitionFactor="1.5",
+        adaptive__coalescePartitions__enabled="false", shuffle__partitions="16",
+    )
+    lines = hot_lines.withColumn(
+        "item_id", F.when(F.col("item_id") != "I0", F.col("item_id"))
+    )
+    joined = silver.join_items_menu(lines, large_menu)
+    assert "SortMergeJoin(skew=true)" in final_plan(joined).split("Initial Plan")[0]
+    assert joined.count() == 120_000
+    nulls = joined.filter("item_id is null")
+    assert nulls.count() == lines.filter("item_id is null").count() >= 40_000
+    assert nulls.filter("cost_price is not null").count() == 0
 
 
 def test_lines_are_counted_per_item_before_a_shuffled_anti_join(spark, conf):
@@ -196,10 +234,11 @@ def test_hot_order_and_hot_item_are_split(hot_lines, many_orders, large_menu, co
 def test_hot_item_spreads_before_it_is_counted(hot_lines, many_orders, large_menu):
     """Rows of one item meet by (item, order) first, so they are shared by all tasks."""
     lines = silver.stg_order_items(hot_lines, many_orders, large_menu)
-    text = plan(gold.item_stats(lines))
+    stats = gold.item_stats(gold.monthly_items(silver.by_month(lines)))
+    text = plan(stats)
     shuffles = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", text)
     assert any(s.startswith("order_id#") or "order_id#" in s for s in shuffles)
-    got = {r["item_id"]: r["total_orders"] for r in rows(gold.item_stats(lines))}
+    got = {r["item_id"]: r["total_orders"] for r in rows(stats)}
     direct = lines.filter("item_id = 'I0'").select("order_id").distinct().count()
     assert got["I0"] == direct
 

@@ -98,6 +98,35 @@ def test_each_item_and_menu_check_counts_its_violations(spark):
     }
 
 
+def test_own_checks_and_upper_bounds(spark):
+    from pyspark.sql import functions as F
+
+    own = [
+        quality.Check("orders", "few_discounts", F.col("discount_amount").cast("double") > 0, 1, at_most=True),
+        quality.Check("orders", "one_takeout", F.col("order_type") == "Takeout", 1),
+        quality.Check("order_items", "few_free_lines", F.col("line_total").cast("double") == 0, 0,
+                      at_most=True),
+        quality.Check("menu", "two_large", F.col("size") == "L", 2, at_most=True),
+    ]
+    found = quality.quality_checks(
+        frame(spark, [order(1, "2024-03-08"), order(2, "2024-03-08", kind="Takeout")]),
+        frame(spark, [line(1, 1, line_total="0"), line(2, 2)]),
+        frame(spark, default_exports()["menu"]), RULES, own,
+    )
+    got = by(found, "check")
+    assert len(got) == 22
+    assert {c.name: (got[c.name]["result"], got[c.name]["status"]) for c in own} == {
+        "few_discounts": (0, "PASS"), "one_takeout": (1, "PASS"), "few_free_lines": (1, "FAIL"),
+        "two_large": (1, "PASS"),
+    }
+
+
+def test_no_lines_at_all(spark):
+    empty = frame(spark, [line(1, 1)]).limit(0)
+    found = quality.quality_checks_items(empty, frame(spark, default_exports()["menu"]), RULES)
+    assert {r["result"] for r in rows(found)} == {0}
+
+
 def test_summary_and_report_document(spark, tmp_path):
     found = spark.sql(
         "select * from values ('a', 't', 0L, 0L, 'PASS'), ('b', 't', 2L, 0L, 'FAIL'),"

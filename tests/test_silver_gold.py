@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import by, default_exports, frame, line, one, order, rows
 from tillmark.operators import gold, pricing, reports, typed
+from tillmark.operators.silver import by_month
 from tillmark.operators.silver import stg_order_items, stg_orders
 
 
@@ -139,11 +140,11 @@ def test_item_stats(spark, menu):
         line(1, 1, quantity="2", line_total="20.00"), line(2, 1, line_total="9.00"),
         line(3, 2, line_total="10.00"), line(4, 2, item=1),
     )
-    got = by(gold.item_stats(lines), "item_id")["M1"]
+    got = by(gold.item_stats(gold.monthly_items(by_month(lines))), "item_id")["M1"]
     assert (got["total_units_sold"], got["total_orders"]) == (4, 2)
     assert (got["total_revenue"], got["total_gross_profit"]) == (money("39.00"), money("27.00"))
     assert got["avg_margin_pct"] == 68.89 and got["avg_cost_price"] == 3.0
-    mart = by(gold.mart_menu_performance(lines), "item_id")
+    mart = by(gold.mart_menu_performance(gold.item_stats(gold.monthly_items(by_month(lines)))), "item_id")
     assert {i: r["menu_class"] for i, r in mart.items()} == {"M1": "Star", "M2": "Dog"}
 
 
@@ -159,7 +160,7 @@ def test_location_comparison(spark, menu):
         spark, orders, menu,
         line(1, 1, quantity="2", line_total="20.00"), line(2, 1, line_total="10.00"), line(3, 4),
     )
-    got = by(gold.mart_location_comparison(orders, lines), "location_id")
+    got = by(gold.mart_location_comparison(gold.monthly_locations(orders, lines)), "location_id")
     green = got["LOC-GRM"]
     # two lines of order 1 do not repeat its total; order 2 has no lines
     assert green["total_revenue"] == money("40.00") and green["avg_ticket"] == 20.0
@@ -193,7 +194,7 @@ def test_revenue_trends(spark):
     )
     got = {
         (r["location_id"], r["order_year"], r["order_month"]): r
-        for r in rows(gold.mart_revenue_trends(orders))
+        for r in rows(gold.mart_revenue_trends(gold.monthly_revenue(orders)))
     }
     def figures(site, year, month):
         r = got[site, year, month]
@@ -247,18 +248,22 @@ def test_heatmap_and_reports(spark):
 
 def test_report_orders(spark):
     marts = spark.sql(
-        "select * from values ('B', 2024, 2, 5.0), ('A', 2024, 2, 9.0), ('A', 2024, 1, null),"
-        " ('B', 2024, 1, 1.0) t(location_id, order_year, order_month, total_revenue)"
+        "select *, location_id location_name, location_id item_id, 'n' item_name, 'c' category,"
+        " 's' subcategory, 'S' size from values ('B', 2024, 2, 5.0), ('A', 2024, 2, 9.0),"
+        " ('A', 2024, 1, null), ('B', 2024, 1, 1.0), ('C', 2024, 2, 9.0)"
+        " t(location_id, order_year, order_month, total_revenue)"
     )
     def order_of(df):
         return [(r.location_id, r.order_month) for r in df.collect()]
 
-    assert order_of(reports.report_menu_performance(marts))[:3] == [("A", 2), ("B", 2), ("B", 1)]
+    assert order_of(reports.report_menu_performance(marts))[:4] == [
+        ("A", 2), ("C", 2), ("B", 2), ("B", 1)
+    ]
     assert order_of(reports.report_location_comparison(marts)) == [
-        ("B", 1), ("A", 1), ("A", 2), ("B", 2)
+        ("B", 1), ("A", 1), ("A", 2), ("C", 2), ("B", 2)
     ]
     assert order_of(reports.report_revenue_trends(marts)) == [
-        ("A", 1), ("A", 2), ("B", 1), ("B", 2)
+        ("A", 1), ("A", 2), ("B", 1), ("B", 2), ("C", 2)
     ]
 
 
@@ -268,10 +273,10 @@ def test_report_orders(spark):
 def test_price_in_force_includes_both_ends(spark, menu):
     history = spark.createDataFrame(
         [
-            ("M1", Decimal("8.00"), Decimal("2.00"), date(2024, 1, 1), date(2024, 3, 8)),
-            ("M1", Decimal("10.00"), Decimal("3.00"), date(2024, 3, 9), None),
+            ("p1", "M1", Decimal("8.00"), Decimal("2.00"), date(2024, 1, 1), date(2024, 3, 8)),
+            ("p2", "M1", Decimal("10.00"), Decimal("3.00"), date(2024, 3, 9), None),
         ],
-        "item_id string, selling_price decimal(10,2), cost_price decimal(10,2),"
+        "price_history_id string, item_id string, selling_price decimal(10,2), cost_price decimal(10,2),"
         " effective_from date, effective_to date",
     )
     orders = make_orders(
@@ -290,6 +295,31 @@ def test_price_in_force_includes_both_ends(spark, menu):
     assert (margins["margin_current_cost"], margins["margin_historical_cost"]) == (70.0, 75.0)
 
 
+def test_one_price_per_day_where_periods_touch_overlap_and_nest(spark):
+    history = spark.createDataFrame(
+        [
+            ("a", "M1", 1, date(2024, 1, 1), date(2024, 2, 1)),
+            ("b", "M1", 2, date(2024, 2, 1), date(2024, 5, 31)),  # touches the first
+            ("c", "M1", 3, date(2024, 3, 1), date(2024, 3, 10)),  # inside the second
+            ("d", "M1", 4, date(2024, 5, 1), date(2024, 6, 30)),  # overlaps its end
+            ("e", "M1", 5, date(2024, 5, 1), date(2024, 5, 2)),  # same start
+            ("f", "M1", 6, None, None), ("g", None, 7, date(2024, 1, 1), None),
+            ("h", "M2", 8, date(2024, 1, 1), None), ("h", "M2", 8, date(2024, 1, 1), None),
+        ],
+        "price_history_id string, item_id string, selling_price int, effective_from date,"
+        " effective_to date",
+    ).withColumn("cost_price", F.col("selling_price"))
+    days = [(2023, 12, 31), (2024, 1, 31), (2024, 2, 1), (2024, 2, 29), (2024, 3, 1), (2024, 3, 10),
+            (2024, 3, 11), (2024, 5, 1), (2024, 5, 2), (2024, 5, 3), (2024, 6, 30), (2024, 7, 1)]
+    lines = spark.createDataFrame([("M1", date(*d)) for d in days] + [("M2", date(2024, 1, 1)), (
+        None, date(2024, 1, 1))], "item_id string, order_date date")
+    got = pricing.price_as_of_order(lines, history).collect()
+    assert len(got) == 14
+    assert [r.price_then for r in sorted((r for r in got if r.item_id == "M1"), key=lambda r: r.order_date)] \
+        == [None, 1, 2, 2, 3, 3, 2, 5, 5, 4, 4, None]
+    assert {r.item_id: r.price_then for r in got if r.item_id != "M1"} == {"M2": 8, None: None}
+
+
 def test_promotions(spark, menu):
     orders = make_orders(spark, order(1, "2024-03-08"), order(2, "2024-03-09"))
     lines = make_lines(
@@ -304,4 +334,6 @@ def test_promotions(spark, menu):
         "promo_id": "P1", "promo_name": "one", "lines": 2, "orders": 1, "units": 2,
         "revenue": money("18.00"), "discount": money("2.00"), "discount_pct": 10.0,
     }
-    assert got["P2"]["lines"] == 0 and got["P2"]["discount_pct"] is None and set(got) == {"P1", "P2"}
+    assert got["P2"]["lines"] == 0 and got["P2"]["discount_pct"] is None 
+    unknown = got["P9"]
+    assert (unknown["promo_name"], unknown["lines"]) == (None, 1) and set(got) == {"P1", "P2", "P9"}

@@ -51,7 +51,7 @@ def clock_hour(time: Column) -> Column:
 
 
 def day_part(hour: Column) -> Column:
-    part = F.when(F.lit(False), F.lit(None).cast("string"))
-    for name, first, last in DAY_PARTS:
-        part = part.when(hour.between(first, last), F.lit(name))
-    return part.otherwise(F.lit(OTHER_DAY_PART))
+    part = F.lit(OTHER_DAY_PART)
+    for name, first, last in DAY_PARTS:  # the bands don't overlap
+        part = F.when(hour.between(first, last), F.lit(name)).otherwise(part)
+    return part

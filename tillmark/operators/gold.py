@@ -2,7 +2,10 @@
 
 Raw rows are never shuffled by location or item alone. Groupings with a distinct order count
 first meet on (keys, order_id), so a site or item that holds a third of all rows spreads over
-all tasks, and only one partial row per task and group moves on. Windows run over monthly rows.
+all tasks, and only one partial row per task and group moves on.
+
+Everything that reads orders or lines is by month; the marts are made from the monthly figures, as
+are all windows. So a night recomputes the months that it touched.
 """
 
 from __future__ import annotations
@@ -12,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tillmark.config import MENU_QUADRANTS, ORDER_TYPES, OTHER_QUADRANT
 from tillmark.functions.numeric import exact_avg, percent, round2, total
-from tillmark.session import materialized
 
 ITEM_KEYS = ("item_id", "item_name", "category", "subcategory", "size")
 MONTH_KEYS = ("location_id", "location_name", "order_year", "order_month")
@@ -29,16 +31,42 @@ def not_refunded(orders: DataFrame) -> DataFrame:
 # ---- menu ----------------------------------------------------------------------------------
 
 
-def item_stats(items: DataFrame) -> DataFrame:
-    margin = F.col("margin_pct").cast("decimal(18,2)")
-    return items.groupBy(*ITEM_KEYS).agg(
+# Averages of the item figures and what they are taken over.
+ITEM_AVERAGES = {
+    "avg_margin_pct": "margin_pct", "avg_selling_price": "unit_price", "avg_cost_price": "cost_price",
+}
+
+
+def monthly_items(items: DataFrame) -> DataFrame:
+    """Item by month: sums and counts that add up over months, as an order has one month."""
+    averaged = {
+        name: F.col(column).cast("decimal(18,2)") for name, column in ITEM_AVERAGES.items()
+    }
+    return items.groupBy(*ITEM_KEYS, "order_year", "order_month").agg(
         F.sum("quantity").alias("total_units_sold"),
         F.countDistinct("order_id").alias("total_orders"),
         total(F.col("line_total")).alias("total_revenue"),
         total(F.col("gross_profit")).alias("total_gross_profit"),
-        round2(exact_avg(margin)).alias("avg_margin_pct"),
-        round2(exact_avg(F.col("unit_price"))).alias("avg_selling_price"),
-        round2(exact_avg(F.col("cost_price"))).alias("avg_cost_price"),
+        *[total(c).alias(f"{name}_sum") for name, c in averaged.items()],
+        *[F.count(c).alias(f"{name}_n") for name, c in averaged.items()],
+    )
+
+
+def item_stats(monthly: DataFrame) -> DataFrame:
+    """Figures of each item over all months."""
+    return monthly.groupBy(*ITEM_KEYS).agg(
+        F.sum("total_units_sold").alias("total_units_sold"),
+        F.sum("total_orders").alias("total_orders"),
+        total(F.col("total_revenue")).alias("total_revenue"),
+        total(F.col("total_gross_profit")).alias("total_gross_profit"),
+        *[
+            round2(
+                F.try_divide(
+                    F.sum(f"{name}_sum").cast("double"), F.sum(f"{name}_n").cast("double")
+                )
+            ).alias(name)
+            for name in ITEM_AVERAGES
+        ],
     )
 
 
@@ -63,33 +91,20 @@ def classify_menu(stats: DataFrame, thresholds: DataFrame) -> DataFrame:
     )
     popular = F.col("total_units_sold") >= F.col("avg_units")
     profitable = F.col("avg_margin_pct") >= F.col("avg_margin")
-    quadrant = F.when(F.lit(False), F.lit(None).cast("int"))
-    for number, (is_popular, is_profitable, _, _) in enumerate(MENU_QUADRANTS):
-        quadrant = quadrant.when(
-            (popular == F.lit(is_popular)) & (profitable == F.lit(is_profitable)), F.lit(number)
-        )
-    last = len(MENU_QUADRANTS)
-    names = [q[2] for q in MENU_QUADRANTS] + [OTHER_QUADRANT[0]]
-    advice = [q[3] for q in MENU_QUADRANTS] + [OTHER_QUADRANT[1]]
-    return (
-        placed.withColumn("_quadrant", quadrant.otherwise(F.lit(last)))
-        .withColumns(
-            {
-                "menu_class": F.get(F.array(*map(F.lit, names)), F.col("_quadrant")),
-                "recommendation": F.get(F.array(*map(F.lit, advice)), F.col("_quadrant")),
-            }
-        )
-        .drop("_quadrant")
+    placement = F.struct(*[F.lit(text).alias(f"_{i}") for i, text in enumerate(OTHER_QUADRANT)])
+    for is_popular, is_profitable, name, advice in MENU_QUADRANTS:
+        there = (popular == F.lit(is_popular)) & (profitable == F.lit(is_profitable))
+        placement = F.when(
+            there, F.struct(F.lit(name).alias("_0"), F.lit(advice).alias("_1"))
+        ).otherwise(placement)
+    return placed.withColumns(
+        {"menu_class": placement["_0"], "recommendation": placement["_1"]}
     )
 
 
-def mart_menu_performance(items: DataFrame, stats_path: str | None = None) -> DataFrame:
-    """The menu matrix.
-
-    Thresholds and classes both need the item figures, which take a pass over all lines. They are
-    written once, at `stats_path` or in scratch, so that the lines are read once.
-    """
-    stats = materialized(item_stats(items), stats_path)
+def mart_menu_performance(stats: DataFrame) -> DataFrame:
+    """The menu matrix of item figures. Thresholds and classes both read them, so they had better
+    be a stored table: computed on the fly they take two passes over all lines."""
     return classify_menu(stats, menu_thresholds(stats))
 
 
@@ -159,8 +174,8 @@ def revenue_share(monthly: DataFrame) -> DataFrame:
     )
 
 
-def mart_location_comparison(orders: DataFrame, items: DataFrame) -> DataFrame:
-    return revenue_share(monthly_locations(orders, items))
+def mart_location_comparison(monthly: DataFrame) -> DataFrame:
+    return revenue_share(monthly)
 
 
 # ---- trends and heatmap --------------------------------------------------------------------
@@ -215,9 +230,10 @@ def all_locations_revenue(monthly: DataFrame) -> DataFrame:
     return monthly.withColumn("all_locations_revenue", month_total())
 
 
-def mart_revenue_trends(orders: DataFrame) -> DataFrame:
-    return all_locations_revenue(ytd_revenue(mom_growth(monthly_revenue(orders))))
+def mart_revenue_trends(monthly: DataFrame) -> DataFrame:
+    return all_locations_revenue(ytd_revenue(mom_growth(monthly)))
 
 
 def mart_time_analysis(orders: DataFrame) -> DataFrame:
+    """Monthly by itself: the month is one of its keys."""
     return sales_by(orders, HEATMAP_KEYS)

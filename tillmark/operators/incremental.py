@@ -11,6 +11,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillmark.config import SILVER_PARTITIONS
+
 
 def high_water_mark(orders: DataFrame) -> DataFrame:
     """One row per incrementally loaded table with the latest order date; none without orders."""
@@ -42,22 +44,34 @@ def items_after(items: DataFrame, orders: DataFrame, mark: date | str | Column |
     )
 
 
-def latest_day(target: DataFrame) -> Column:
-    """The newest order date of a table, as a scalar subquery; null when the table is empty."""
-    return target.agg(F.max("order_date")).scalar()
-
+def latest_day(target: DataFrame) -> date | None:
+    """The newest order date of a table partitioned by month; None when it is empty.
 
-def silver_orders_delta(orders: DataFrame, target: DataFrame) -> DataFrame:
-    """Typed orders newer than anything in Silver; nothing when Silver is empty."""
-    return orders_after(orders, latest_day(target))
+    Reads the dates of the newest month only; the months themselves are partition values.
+    """
+    months = target.filter(F.col("order_month").isNotNull()).select(*SILVER_PARTITIONS)
+    newest = months.distinct().orderBy(*[F.desc(c) for c in SILVER_PARTITIONS]).first()
+    if newest is None:
+        return None
+    there = [F.col(c) == F.lit(newest[c]) for c in SILVER_PARTITIONS]
+    return target.filter(there[0] & there[1]).agg(F.max("order_date")).first()[0]
 
 
-def silver_items_delta(orders: DataFrame, target: DataFrame) -> DataFrame:
-    """Silver orders newer than any costed line; these are the orders to cost lines for.
+def silver_delta(orders: DataFrame, target: DataFrame) -> DataFrame:
+    """Orders newer than anything in a Silver table; nothing while that is empty.
 
-    Costed lines hold no refunds, so a last day of refunds only is offered again.
+    With typed orders and Silver orders these are the orders to add. With Silver orders and costed
+    lines they are the orders to cost lines for (lines hold no refunds, so a last day of refunds
+    only is offered again); their own months then prune the scan.
     """
-    return orders_after(orders, latest_day(target))
+    day = latest_day(target)
+    if day is None:
+        return orders.filter(F.lit(False))
+    fresh = orders_after(orders, day)
+    if set(SILVER_PARTITIONS) <= set(orders.columns):
+        year, month = (F.col(c) for c in SILVER_PARTITIONS)
+        fresh = fresh.filter((year > day.year) | (year == day.year) & (month >= day.month))
+    return fresh
 
 
 def append_new_columns(target: DataFrame, batch: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmark.functions.numeric import exact_avg, percent, round2, total
@@ -12,23 +12,53 @@ from tillmark.operators.silver import line_margin
 def price_as_of_order(lines: DataFrame, history: DataFrame) -> DataFrame:
     """Costed lines with the price and cost in force on the order date, null where none was.
 
-    Both ends of a price's period count. The join is on the item with the dates as a further
-    condition, so Spark hashes or sorts by item instead of comparing all pairs.
+    One row per line: where periods touch or overlap, the one that began last counts. The join is
+    on the item with the dates as a further condition, so Spark hashes or sorts by item instead of
+    comparing all pairs.
     """
-    periods = history.select(
-        F.col("item_id").alias("_item"),
-        F.col("selling_price").alias("price_then"),
-        F.col("cost_price").alias("cost_then"),
-        "effective_from",
-        "effective_to",
-    )
     day = F.col("order_date")
     in_force = (
         (F.col("item_id") == F.col("_item"))
-        & (F.col("effective_from") <= day)
-        & (F.col("effective_to").isNull() | (F.col("effective_to") >= day))
+        & (F.col("_since") <= day)
+        & (F.col("_until").isNull() | (F.col("_until") > day))
+    )
+    return lines.join(price_steps(history), in_force, "left").drop("_item", "_since", "_until")
+
+
+def price_steps(history: DataFrame) -> DataFrame:
+    """The history without overlaps: _item, _since, _until (exclusive, null: for ever), price_then,
+    cost_then. Works on the history alone, whose periods per item are few.
+
+    Both ends of a period count. Steps begin where a period begins or the day after one ends; of
+    the periods around a step's first day the one that began last counts, and of those that began
+    on one day the one with the greater `price_history_id`.
+    """
+    periods = history.filter(
+        F.col("effective_from").isNotNull() & F.col("item_id").isNotNull()
+    ).select(
+        F.col("item_id").alias("_item"), "effective_from",
+        F.date_add("effective_to", 1).alias("_end"),
+        F.struct("effective_from", "price_history_id", "selling_price", "cost_price").alias("_price"),
+    )
+    steps = periods.select(
+        "_item", F.explode(F.array("effective_from", "_end")).alias("_since")
+    ).filter(F.col("_since").isNotNull()).distinct()
+    around = (F.col("effective_from") <= F.col("_since")) & (
+        F.col("_end").isNull() | (F.col("_end") > F.col("_since"))
+    )
+    following = Window.partitionBy("_item").orderBy("_since")
+    return (
+        steps.withColumn("_until", F.lead("_since").over(following))
+        .join(periods, "_item")
+        .filter(around)
+        .groupBy("_item", "_since", "_until")
+        .agg(F.max("_price").alias("_price"))
+        .select(
+            "_item", "_since", "_until",
+            F.col("_price.selling_price").alias("price_then"),
+            F.col("_price.cost_price").alias("cost_then"),
+        )
     )
-    return lines.join(periods, in_force, "left").drop("_item", "effective_from", "effective_to")
 
 
 def margin_price_history(lines: DataFrame, history: DataFrame) -> DataFrame:
@@ -54,7 +84,8 @@ def margin_price_history(lines: DataFrame, history: DataFrame) -> DataFrame:
 def promo_performance(lines: DataFrame, promotions: DataFrame) -> DataFrame:
     """Per promotion: lines, orders, units, revenue and discount; zero where it was never used.
 
-    Lines are aggregated per promotion before they meet the promotions.
+    A promotion that only lines name has no `promo_name`. Lines are aggregated per promotion
+    before they meet the promotions.
     """
     used = (
         lines.filter(F.col("promo_id").isNotNull())
@@ -68,7 +99,7 @@ def promo_performance(lines: DataFrame, promotions: DataFrame) -> DataFrame:
         )
     )
     zero = F.lit(0)
-    return promotions.join(used, "promo_id", "left").select(
+    return promotions.join(used, "promo_id", "full").select(
         "promo_id",
         "promo_name",
         *[F.coalesce(c, zero).cast("bigint").alias(c) for c in ("lines", "orders", "units")],

@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.numeric import TOTAL_MONEY
+from tillmark.operators.gold import ITEM_KEYS
+
+
+# Ties are settled by the columns that name a row, so that a report comes in one order only.
+
+
+def _by(*columns: str) -> list[Column]:
+    return [F.asc_nulls_last(c) for c in columns]
 
 
 def report_menu_performance(mart: DataFrame) -> DataFrame:
-    return mart.orderBy(F.desc_nulls_last("total_revenue"))
+    return mart.orderBy(F.desc_nulls_last("total_revenue"), *_by(*ITEM_KEYS))
 
 
 def report_location_comparison(mart: DataFrame) -> DataFrame:
     return mart.orderBy(
-        F.asc_nulls_last("order_year"),
-        F.asc_nulls_last("order_month"),
+        *_by("order_year", "order_month"),
         F.desc_nulls_last("total_revenue"),
+        *_by("location_id", "location_name"),
     )
 
 
 def report_revenue_trends(mart: DataFrame) -> DataFrame:
-    return mart.orderBy(
-        *[F.asc_nulls_last(c) for c in ("location_id", "order_year", "order_month")]
-    )
+    return mart.orderBy(*_by("location_id", "order_year", "order_month", "location_name"))
 
 
 def report_time_analysis(mart: DataFrame) -> DataFrame:
@@ -34,5 +40,5 @@ def report_time_analysis(mart: DataFrame) -> DataFrame:
             F.sum("total_orders").alias("total_orders"),
             F.sum("total_revenue").cast(TOTAL_MONEY).alias("total_revenue"),
         )
-        .orderBy(*[F.asc_nulls_last(c) for c in ("day_name", "order_hour", "location_name")])
+        .orderBy(*_by("day_name", "order_hour", "location_name"))
     )

@@ -18,6 +18,11 @@ def money(name: str) -> Column:
     return F.col(name).cast(MONEY)
 
 
+def _ingested(raw: DataFrame) -> list[str]:
+    """When Bronze loaded the row, where the rows come from Bronze."""
+    return ["_ingested_at"] if "_ingested_at" in raw.columns else []
+
+
 def src_orders(raw: DataFrame) -> DataFrame:
     return raw.select(
         "order_id",
@@ -30,6 +35,7 @@ def src_orders(raw: DataFrame) -> DataFrame:
         *[money(c).alias(c) for c in ("subtotal", "discount_amount", "tax_amount", "total_amount")],
         "payment_method",
         F.col("is_refund").cast("boolean").alias("is_refund"),
+        *_ingested(raw),
     )
 
 
@@ -44,6 +50,7 @@ def src_order_items(raw: DataFrame) -> DataFrame:
         whole_number("quantity").alias("quantity"),
         *[money(c).alias(c) for c in ("unit_price", "discount_applied", "line_total")],
         "promo_id",
+        *_ingested(raw),
     )
 
 

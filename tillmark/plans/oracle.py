@@ -7,15 +7,46 @@ values cut to ten places.
 
 from __future__ import annotations
 
-from tillmark.sources.star import MARK, RULES
+from collections.abc import Iterable
+
+from tillmark.config import LOCATION_CODES, MENU_QUADRANTS, ORDER_TYPES, OTHER_QUADRANT
+from tillmark.sources.star import MARK, PRICE_PERIODS, RULES, SITES, UNKNOWN_STEP
+
+
+def _text(value: str | None) -> str:
+    return "NULL" if value is None else f"'{value}'"
+
+
+def _texts(values: Iterable[str]) -> str:
+    return ", ".join(map(_text, values))
+
+
+_SITE = "CASE r_regionkey " + " ".join(
+    f"WHEN {key} THEN {_text(code)}" for key, code in enumerate(SITES)
+) + " END"
+
+
+def _quadrant(field: int, other: str) -> str:
+    """The class (2) or the recommendation (3) of an item."""
+    cases = " ".join(
+        f"WHEN total_units_sold {'>=' if q[0] else '<'} avg_units"
+        f" AND avg_margin_pct {'>=' if q[1] else '<'} avg_margin THEN {_text(q[field])}"
+        for q in MENU_QUADRANTS
+    )
+    return f"CASE {cases} ELSE {_text(other)} END"
+
+
+_PERIODS = ", ".join(
+    f"({n}, CAST({factor} AS DOUBLE), CAST({_text(since)} AS DATE), CAST({_text(until)} AS DATE))"
+    for n, factor, since, until in PRICE_PERIODS
+)
 
 _RAW = f"""
 raw_orders AS (
   SELECT 'O-' || o_orderkey AS order_id,
     CASE WHEN o_orderkey % 1009 = 0 THEN NULL
          WHEN o_orderkey % 503 = 7 THEN 'LOC-XXX'
-         ELSE (['LOC-GRM', 'LOC-WTD', 'LOC-DUN', 'LOC-WIN', 'LOC-PTC'])[r_regionkey + 1]
-    END AS location_id,
+         ELSE {_SITE} END AS location_id,
     r_name AS location_name,
     CAST(o_orderdate AS DATE) AS order_date,
     printf('%02d:%02d:%02d', (o_orderkey * 7919 % 86400) // 3600,
@@ -73,16 +104,14 @@ raw_history AS (
     round(cost_price * factor, 2) AS cost_price,
     since AS effective_from, until AS effective_to, until IS NULL AS is_current,
     'repricing' AS change_reason
-  FROM raw_menu, (VALUES
-    (1, CAST(0.8 AS DOUBLE), DATE '1995-01-01', DATE '1996-12-31'),
-    (2, CAST(0.9 AS DOUBLE), DATE '1997-01-01', DATE '1999-05-31'),
-    (3, CAST(1.0 AS DOUBLE), DATE '1999-06-01', CAST(NULL AS DATE))) AS t(n, factor, since, until)
+  FROM raw_menu, (VALUES {_PERIODS}) AS t(n, factor, since, until)
 ),
 raw_promotions AS (
-  SELECT DISTINCT CAST(round(l_discount * 100) AS INTEGER) AS step FROM lineitem WHERE l_discount > 0
+  SELECT DISTINCT CAST(round(l_discount * 100) AS INTEGER) AS step FROM lineitem
+  WHERE l_discount > 0 AND CAST(round(l_discount * 100) AS INTEGER) <> {UNKNOWN_STEP}
 )"""
 
-_SRC = """
+_SRC = f"""
 src_orders AS (
   SELECT order_id, location_id, location_name, order_date, order_time, order_type, cashier_id,
     CAST(subtotal AS DECIMAL(10,2)) AS subtotal,
@@ -107,7 +136,7 @@ src_menu AS (
   FROM raw_menu WHERE item_id IS NOT NULL
 ),
 src_locations AS (
-  SELECT (['LOC-GRM', 'LOC-WTD', 'LOC-DUN', 'LOC-WIN', 'LOC-PTC'])[r_regionkey + 1] AS location_id,
+  SELECT {_SITE} AS location_id,
     r_name AS location_name, '1 Main St' AS address,
     CAST(40 + 10 * r_regionkey AS INTEGER) AS seating_capacity,
     DATE '1994-01-01' AS opened_date, r_name AS manager_name, '555-0100' AS phone,
@@ -129,7 +158,7 @@ src_promotions AS (
   FROM raw_promotions
 )"""
 
-_SILVER = """
+_SILVER = f"""
 calendar AS (
   SELECT *, md5(order_id) AS surrogate_key,
     CAST(year(order_date) AS INTEGER) AS order_year,
@@ -152,7 +181,7 @@ stg_orders AS (
     payment_method, is_refund
   FROM calendar
   WHERE order_id IS NOT NULL
-    AND list_contains(['LOC-GRM', 'LOC-WTD', 'LOC-DUN', 'LOC-WIN', 'LOC-PTC'], location_id)
+    AND location_id IN ({_texts(LOCATION_CODES)})
 ),
 sales AS (SELECT * FROM stg_orders WHERE NOT is_refund),
 costed AS (
@@ -176,7 +205,7 @@ stg_order_items AS (
   FROM costed
 )"""
 
-_GOLD = """
+_GOLD = f"""
 item_stats AS (
   SELECT item_id, item_name, category, subcategory, size,
     CAST(sum(quantity) AS BIGINT) AS total_units_sold,
@@ -196,16 +225,9 @@ menu_thresholds AS (
   FROM item_stats
 ),
 mart_menu_performance AS (
-  SELECT p.* EXCLUDE (quadrant),
-    ['Dog', 'Puzzle', 'Plow Horse', 'Star'][1 + quadrant] AS menu_class,
-    ['Consider Removing', 'Remarket', 'Increase Price', 'Keep & Promote'][1 + quadrant]
-      AS recommendation
-  FROM (
-    SELECT s.*, t.avg_units, t.avg_margin,
-      CASE WHEN avg_margin_pct IS NULL THEN 0
-           ELSE CAST(total_units_sold >= avg_units AS INTEGER) * 2
-                + CAST(avg_margin_pct >= avg_margin AS INTEGER) END AS quadrant
-    FROM item_stats s, menu_thresholds t) p
+  SELECT *, {_quadrant(2, OTHER_QUADRANT[0])} AS menu_class,
+    {_quadrant(3, OTHER_QUADRANT[1])} AS recommendation
+  FROM item_stats, menu_thresholds
 ),
 order_profit AS (
   SELECT order_id, CAST(sum(gross_profit) AS DECIMAL(38,2)) AS gross_profit,
@@ -283,11 +305,9 @@ def _checks(orders: str) -> str:
         ("orders_no_null_location", "bronze_orders", 0,
          f"(SELECT count(*) FROM {orders} WHERE location_id IS NULL)"),
         ("orders_valid_locations", "bronze_orders", 0,
-         f"(SELECT count(*) FROM {orders} WHERE NOT list_contains("
-         "['LOC-GRM', 'LOC-WTD', 'LOC-DUN', 'LOC-WIN', 'LOC-PTC'], location_id))"),
+         f"(SELECT count(*) FROM {orders} WHERE location_id NOT IN ({_texts(LOCATION_CODES)}))"),
         ("orders_valid_order_types", "bronze_orders", 0,
-         f"(SELECT count(*) FROM {orders} WHERE NOT list_contains("
-         "['Dine-In', 'Takeout', 'Delivery'], order_type))"),
+         f"(SELECT count(*) FROM {orders} WHERE order_type NOT IN ({_texts(ORDER_TYPES)}))"),
         ("orders_tax_positive", "bronze_orders", 0,
          f"(SELECT count(*) FROM {orders} WHERE NOT is_refund AND tax_amount < 0)"),
         ("orders_total_matches_subtotal", "bronze_orders", 0,
@@ -361,10 +381,16 @@ def _union(*parts: str) -> str:
 
 
 _COSTED_AS_OF = """
-  SELECT l.*, h.selling_price AS price_then, h.cost_price AS cost_then
+  SELECT l.*, h.price_then, h.cost_then
   FROM stg_order_items l
-  LEFT JOIN src_history h ON h.item_id = l.item_id
-    AND l.order_date BETWEEN h.effective_from AND coalesce(h.effective_to, DATE '9999-12-31')"""
+  LEFT JOIN (
+    SELECT day.item_id, order_date, arg_max(selling_price, effective_from) AS price_then,
+      arg_max(cost_price, effective_from) AS cost_then
+    FROM (SELECT DISTINCT item_id, order_date FROM stg_order_items) day
+    JOIN src_history p ON p.item_id = day.item_id
+      AND order_date BETWEEN effective_from AND coalesce(effective_to, DATE '9999-12-31')
+    GROUP BY ALL) h
+  ON h.item_id = l.item_id AND h.order_date = l.order_date"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -380,13 +406,16 @@ def oracle_sql() -> dict[str, str]:
         "src_promotions": "SELECT * FROM src_promotions",
         "src_menu_price_history": "SELECT * FROM src_history",
         "bronze_load": f"""
-            SELECT CASE WHEN order_date > {mark} THEN '{MARK}' ELSE 'start' END AS batch_from,
-              count(*) AS orders, min(order_date) AS first_day, max(order_date) AS last_day,
-              CAST(sum(lines) AS BIGINT) AS lines
-            FROM raw_orders
-            LEFT JOIN (SELECT order_id, count(*) AS lines FROM raw_order_items GROUP BY 1)
-              USING (order_id)
-            GROUP BY 1""",
+            SELECT *, CASE WHEN order_date > {mark} THEN '{MARK}' ELSE 'start' END AS batch_from
+            FROM raw_orders""",
+        "bronze_lines": f"""
+            SELECT l.*, CASE WHEN order_date > {mark} THEN '{MARK}' ELSE 'start' END AS batch_from
+            FROM raw_order_items l JOIN raw_orders USING (order_id)""",
+        "load_state": """
+            SELECT t AS "table", d AS high_water
+            FROM (SELECT max(order_date) AS d FROM raw_orders),
+                 (VALUES ('orders'), ('order_items')) AS v(t)""",
+        "rebuild_table": "SELECT * FROM stg_orders",
         "load_audit": _union(
             *[
                 f"SELECT '{name}' AS \"table\", count(*) AS rows FROM {table}"
@@ -433,6 +462,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT *, CASE WHEN order_date > {mark} THEN 'L-' || cashier_id END AS loyalty_id
             FROM stg_orders""",
         "streamed_orders": "SELECT * FROM stg_orders",
+        "streamed_order_items": "SELECT * FROM stg_order_items",
         # silver
         "surrogate_key": "SELECT order_id, md5(order_id) AS surrogate_key FROM src_orders",
         "calendar_parts": """
@@ -473,6 +503,8 @@ def oracle_sql() -> dict[str, str]:
         "mart_revenue_trends": "SELECT * FROM mart_revenue_trends",
         "mart_time_analysis": "SELECT * FROM mart_time_analysis",
         # reports
+        "gold_by_month": "SELECT * FROM mart_location_comparison",
+        "report_files": "SELECT * FROM mart_revenue_trends",
         "report_menu_performance": "SELECT * FROM mart_menu_performance ORDER BY total_revenue DESC",
         "report_location_comparison": """
             SELECT * FROM mart_location_comparison
@@ -551,7 +583,7 @@ def oracle_sql() -> dict[str, str]:
                     FROM ({_COSTED_AS_OF})))
             GROUP BY item_id""",
         "promo_performance": """
-            SELECT p.promo_id, p.promo_name,
+            SELECT promo_id, p.promo_name,
               count(i.order_item_id) AS lines, count(DISTINCT i.order_id) AS orders,
               CAST(coalesce(sum(i.quantity), 0) AS BIGINT) AS units,
               CAST(coalesce(sum(i.line_total), 0) AS DECIMAL(38,2)) AS revenue,
@@ -559,7 +591,8 @@ def oracle_sql() -> dict[str, str]:
               round(CAST(sum(i.discount_applied) AS DOUBLE)
                 / nullif(CAST(sum(i.line_total) + sum(i.discount_applied) AS DOUBLE), 0) * 100, 2)
                 AS discount_pct
-            FROM src_promotions p LEFT JOIN stg_order_items i USING (promo_id)
-            GROUP BY p.promo_id, p.promo_name""",
+            FROM src_promotions p
+            FULL JOIN (SELECT * FROM stg_order_items WHERE promo_id IS NOT NULL) i USING (promo_id)
+            GROUP BY promo_id, p.promo_name""",
     }
     return {name: _sql(select) for name, select in selects.items()}

@@ -2,24 +2,35 @@
 
 Arrival check, Bronze load, quality gate, Silver, Gold, assertions, reports; only then does the
 mark move on. A run that stops anywhere can be started again and picks up the same batch: Bronze
-overwrites the batch's folder, Silver replaces by key, Gold and reports are rebuilt.
+overwrites the batch's folder, Silver replaces by key, and reports are rebuilt. Months are noted
+before Silver changes in them, and stay noted until Gold has been recomputed for them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillmark.config import RAW_COLUMNS, QualityRules
+from tillmark.config import RAW_COLUMNS, SILVER_PARTITIONS, QualityRules
 from tillmark.operators import gold, quality, reports, silver, typed
 from tillmark.operators.incremental import high_water_mark
 from tillmark.session import configure
 from tillmark.sources import bronze, exports, state
 from tillmark.sources.csv_export import read_export
-from tillmark.sources.paths import check_arrival
-from tillmark.sources.tables import merge_table, read_table, replace_table
+from tillmark.sources.paths import check_arrival, path_exists, remove_path
+from tillmark.sources.tables import (
+    Merged,
+    merge_table,
+    read_table,
+    replace_partitions,
+    replace_table,
+    table_exists,
+    within,
+)
 
 
 class QualityGateError(Exception):
@@ -42,6 +53,18 @@ class Warehouse:
     def gold(self, mart: str) -> str:
         return f"{self.root}/gold/{mart}"
 
+    def monthly(self, name: str) -> str:
+        """Figures by month, of which the marts are made."""
+        return f"{self.root}/gold/monthly/{name}"
+
+    @property
+    def touched(self) -> str:
+        return f"{self.root}/state/touched_months"
+
+    @property
+    def audit(self) -> str:
+        return f"{self.root}/state/load_audit"
+
     @property
     def state(self) -> str:
         return f"{self.root}/state/high_water"
@@ -77,14 +100,15 @@ def load_bronze(
 
 
 def quality_gate(
-    spark: SparkSession, where: Warehouse, marks: dict[str, date], rules: QualityRules, day: date
+    spark: SparkSession, where: Warehouse, marks: dict[str, date], rules: QualityRules, day: date,
+    own: Iterable[quality.Check] = (),
 ) -> None:
     """Checks the batch just loaded; writes the report, then raises if a check failed."""
     batch = {
         t: bronze.read_batch(spark, where.bronze, t, marks.get(t))
         for t in ("orders", "order_items", "menu")
     }
-    results = quality.quality_checks(batch["orders"], batch["order_items"], batch["menu"], rules)
+    results = quality.quality_checks(batch["orders"], batch["order_items"], batch["menu"], rules, own)
     report = quality.quality_report(results)
     path = exports.write_quality_report(report, where.reports, day)
     summary = spark.read.schema(report.schema).json(path).select("summary.*").first()
@@ -108,30 +132,80 @@ def build_silver(
         for t in ("orders", "order_items", "menu")
     }
     orders = silver.stg_orders(typed.src_orders(raw["orders"]))
-    audit["stg_orders"] = merge_table(
-        spark, where.silver("stg_orders"), silver.stamped(orders), "order_id"
-    )
+    audit["stg_orders"] = merge_silver(spark, where, "stg_orders", silver.stamped(orders), "order_id")
     # Lines are costed against the orders of the batch: the same rows that were just merged.
     items = silver.stg_order_items(
         typed.src_order_items(raw["order_items"]), orders, typed.src_menu(raw["menu"])
     )
-    audit["stg_order_items"] = merge_table(
-        spark,
-        where.silver("stg_order_items"),
-        silver.stamped(silver.by_month(items)),
-        "order_item_id",
+    # Lines go by their order: all costed lines of an order in the batch are replaced.
+    audit["stg_order_items"] = merge_silver(
+        spark, where, "stg_order_items", silver.stamped(silver.by_month(items)), "order_id",
+        raw["orders"].select("order_id").filter("order_id is not null"),
     )
     return audit
 
 
+def merge_silver(
+    spark: SparkSession, where: Warehouse, table: str, batch: DataFrame, key: str,
+    keys: DataFrame | None = None,
+) -> int:
+    def note(months: tuple[tuple, ...]) -> None:
+        rows = spark.createDataFrame(months, "order_year int, order_month int")
+        rows.write.mode("append").json(where.touched)
+
+    merged: Merged = merge_table(
+        spark, where.silver(table), batch, key, keys=keys, before=note
+    )
+    return merged.rows
+
+
+MONTHLY: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
+    "items": lambda orders, items: gold.monthly_items(items),
+    "locations": gold.monthly_locations,
+    "revenue": lambda orders, items: gold.monthly_revenue(orders),
+    "hours": lambda orders, items: gold.mart_time_analysis(orders),
+}
+
+
+def touched_months(spark: SparkSession, where: Warehouse) -> list[tuple] | None:
+    """Months to compute again; None for all of them, before the first time."""
+    if not all(table_exists(spark, where.monthly(name)) for name in MONTHLY):
+        return None
+    if not path_exists(spark, where.touched):
+        return []
+    noted = spark.read.schema("order_year int, order_month int").json(where.touched)
+    return [tuple(r) for r in noted.distinct().collect()]  # at most the months of Silver
+
+
+def update_months(spark: SparkSession, where: Warehouse) -> None:
+    """Recomputes the monthly figures of the touched months, from these months only."""
+    months = touched_months(spark, where)
+    if months == []:
+        return
+    orders, items = (
+        read_table(spark, where.silver(t)) for t in ("stg_orders", "stg_order_items")
+    )
+    if months is not None:
+        orders, items = (df.filter(within(SILVER_PARTITIONS, months)) for df in (orders, items))
+    for name, figures in MONTHLY.items():
+        replace_partitions(
+            figures(orders, items), where.monthly(name), SILVER_PARTITIONS, months or ()
+        )
+    remove_path(spark, where.touched)
+
+
 def build_gold(spark: SparkSession, where: Warehouse) -> dict[str, int]:
-    orders = read_table(spark, where.silver("stg_orders"))
-    items = read_table(spark, where.silver("stg_order_items"))
+    """The marts, from monthly figures; only those of touched months are computed anew."""
+    update_months(spark, where)
+    monthly = {name: read_table(spark, where.monthly(name)) for name in MONTHLY}
+    replace_table(gold.item_stats(monthly["items"]), where.gold("_item_stats"))
     marts = {
-        "mart_menu_performance": gold.mart_menu_performance(items, where.gold("_item_stats")),
-        "mart_location_comparison": gold.mart_location_comparison(orders, items),
-        "mart_revenue_trends": gold.mart_revenue_trends(orders),
-        "mart_time_analysis": gold.mart_time_analysis(orders),
+        "mart_menu_performance": gold.mart_menu_performance(
+            spark.read.parquet(where.gold("_item_stats"))
+        ),
+        "mart_location_comparison": gold.mart_location_comparison(monthly["locations"]),
+        "mart_revenue_trends": gold.mart_revenue_trends(monthly["revenue"]),
+        "mart_time_analysis": monthly["hours"],
     }
     return {name: replace_table(mart, where.gold(name)) for name, mart in marts.items()}
 
@@ -153,6 +227,8 @@ def all_assertions(spark: SparkSession, where: Warehouse, marks: dict[str, date]
             quality.silver_assertions(
                 read_table(spark, where.silver("stg_orders")),
                 read_table(spark, where.silver("stg_order_items")),
+                raw["orders"].select("order_id"),
+                raw["order_items"].select("order_item_id"),
             ),
             quality.gold_assertions(spark.read.parquet(where.gold("mart_menu_performance"))),
         ]
@@ -173,24 +249,63 @@ def write_reports(spark: SparkSession, where: Warehouse, day: date) -> None:
         )
 
 
+def record_audit(
+    spark: SparkSession, where: Warehouse, counts: dict[str, int], day: date
+) -> None:
+    """Appends the rows written to each table."""
+    rows = [(day, table, n) for table, n in counts.items()]
+    (
+        spark.createDataFrame(rows, "run_day date, table string, rows long")
+        .withColumn("loaded_at", F.current_timestamp())
+        .coalesce(1)
+        .write.mode("append")
+        .json(where.audit)
+    )
+
+
+def read_audit(spark: SparkSession, where: Warehouse) -> DataFrame:
+    return spark.read.schema(
+        "run_day date, table string, rows long, loaded_at timestamp"
+    ).json(where.audit)
+
+
+STEPS = ("ingest", "gate", "silver", "gold", "reports")
+
+
 def run(
     spark: SparkSession,
     raw_dir: str,
     root: str,
     rules: QualityRules = QualityRules(),
     day: date | None = None,
+    steps: Iterable[str] = STEPS,
+    checks: Iterable[quality.Check] = (),
 ) -> RunResult:
+    """The given steps of a night. The mark moves on with the last one, so that steps which are
+    run one by one work on the same batch."""
     configure(spark)
+    steps = set(steps)
     where, day = Warehouse(root.rstrip("/")), day or date.today()
-    check_arrival(spark, raw_dir)
     marks = state.read_marks(spark, where.state)
-    result = RunResult(audit=load_bronze(spark, raw_dir, where, marks))
-    quality_gate(spark, where, marks, rules, day)
-    result.audit |= build_silver(spark, where, marks)
-    result.audit |= build_gold(spark, where)
-    check_assertions(spark, where, marks)
-    write_reports(spark, where, day)
-    loaded = bronze.read_batch(spark, where.bronze, "orders", marks.get("orders"))
-    state.advance_marks(high_water_mark(loaded), where.state)
-    result.marks = state.read_marks(spark, where.state)
+    result = RunResult(marks=marks)
+
+    def wrote(counts: dict[str, int]) -> None:
+        result.audit |= counts
+        record_audit(spark, where, counts, day)
+
+    if "ingest" in steps:
+        check_arrival(spark, raw_dir)
+        wrote(load_bronze(spark, raw_dir, where, marks))
+    if "gate" in steps:
+        quality_gate(spark, where, marks, rules, day, checks)
+    if "silver" in steps:
+        wrote(build_silver(spark, where, marks))
+    if "gold" in steps:
+        wrote(build_gold(spark, where))
+        check_assertions(spark, where, marks)
+    if "reports" in steps:
+        write_reports(spark, where, day)
+        loaded = bronze.read_batch(spark, where.bronze, "orders", marks.get("orders"))
+        state.advance_marks(high_water_mark(loaded), where.state)
+        result.marks = state.read_marks(spark, where.state)
     return result

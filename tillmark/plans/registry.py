@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +14,10 @@ from tillmark.functions.keys import surrogate_key
 from tillmark.functions.numeric import round2
 from tillmark.operators import gold, incremental, pricing, quality, reports, silver, typed
 from tillmark.plans import pipeline
-from tillmark.session import configure, scratch_path
-from tillmark.sources import bronze, star
+from tillmark.session import configure, materialized, scratch_path
+from tillmark.sources import bronze, exports, star, state
 from tillmark.sources.csv_export import scan_csv
-from tillmark.sources.tables import merge_table, read_table
+from tillmark.sources.tables import merge_table, read_table, replace_table
 from tillmark.streaming import arrivals
 
 CORRECTED_FROM = "1998-06-30"
@@ -68,17 +69,25 @@ class Tables:
     def monthly(self) -> DataFrame:
         return gold.monthly_revenue(self.stg_orders)
 
+    @cached_property
+    def item_stats(self) -> DataFrame:
+        return gold.item_stats(gold.monthly_items(silver.by_month(self.stg_order_items)))
+
     @cached_property
     def menu_mart(self) -> DataFrame:
-        return gold.mart_menu_performance(self.stg_order_items)
+        # Held, so that the lines are read once.
+        stats = materialized(self.item_stats, scratch_path(self.spark, "item_stats"))
+        return gold.mart_menu_performance(stats)
 
     @cached_property
     def location_mart(self) -> DataFrame:
-        return gold.mart_location_comparison(self.stg_orders, self.stg_order_items)
+        return gold.mart_location_comparison(
+            gold.monthly_locations(self.stg_orders, self.stg_order_items)
+        )
 
     @cached_property
     def trends_mart(self) -> DataFrame:
-        return gold.mart_revenue_trends(self.stg_orders)
+        return gold.mart_revenue_trends(self.monthly)
 
     @cached_property
     def time_mart(self) -> DataFrame:
@@ -93,6 +102,19 @@ class Tables:
             F.col("order_date") > F.lit(CORRECTED_FROM).cast("date")
         ).withColumn("payment_method", F.lit("Voucher"))
 
+    def misdated(self, orders: DataFrame) -> DataFrame:
+        """Typed orders as they were first sent: some with a date two months too early."""
+        late = F.col("order_date") > F.lit(CORRECTED_FROM).cast("date")
+        return orders.withColumn(
+            "order_date", F.when(late, F.add_months("order_date", -2)).otherwise(F.col("order_date"))
+        )
+
+    def stored(self, name: str, df: DataFrame) -> DataFrame:
+        """As a Silver table on disk."""
+        path = scratch_path(self.spark, name)
+        merge_table(self.spark, path, df)
+        return read_table(self.spark, path)
+
     def checks(self) -> DataFrame:
         return quality.quality_checks(
             self.resent, self.raw("order_items"), self.raw("menu"), star.RULES
@@ -111,7 +133,7 @@ def csv_scan(t: Tables) -> DataFrame:
     return typed.src_orders(scan_csv(t.spark, path))
 
 
-def bronze_load(t: Tables) -> DataFrame:
+def bronze_load(t: Tables, table: str) -> DataFrame:
     """Two nights: a first load of the export as it stood at the mark, then the whole export."""
     root = scratch_path(t.spark, "bronze")
     first = t.up_to_mark(t.raw("orders"))
@@ -120,18 +142,7 @@ def bronze_load(t: Tables) -> DataFrame:
     for orders, items, mark in ((first, known, None), (t.raw("orders"), lines, star.MARK)):
         bronze.load_batch(t.spark, orders, root, "orders", mark)
         bronze.load_batch(t.spark, items, root, "order_items", mark)
-    batches = bronze.read_bronze(t.spark, root, "orders").groupBy("batch_from").agg(
-        F.count(F.lit(1)).alias("orders"),
-        F.min("order_date").alias("first_day"),
-        F.max("order_date").alias("last_day"),
-    )
-    counts = bronze.read_bronze(t.spark, root, "order_items").groupBy("batch_from").agg(
-        F.count(F.lit(1)).alias("lines")
-    )
-    return batches.join(counts, "batch_from").select(
-        F.col("batch_from").cast("string").alias("batch_from"),
-        "orders", "first_day", "last_day", "lines",
-    )
+    return bronze.read_bronze(t.spark, root, table).drop(bronze.INGESTED)
 
 
 def load_audit(t: Tables) -> DataFrame:
@@ -143,12 +154,54 @@ def load_audit(t: Tables) -> DataFrame:
     }
     audit |= pipeline.build_silver(t.spark, where, {})
     audit |= pipeline.build_gold(t.spark, where)
-    return t.spark.createDataFrame(list(audit.items()), "table string, rows bigint")
+    pipeline.record_audit(t.spark, where, audit, date(2001, 12, 31))
+    return pipeline.read_audit(t.spark, where).select("table", "rows")
+
+
+def load_state(t: Tables) -> DataFrame:
+    """The marks after two nights."""
+    path = scratch_path(t.spark, "state")
+    for orders in (t.up_to_mark(t.raw("orders")), t.raw("orders")):
+        state.advance_marks(incremental.high_water_mark(orders), path)
+    return state.current_marks(t.spark, path)
+
+
+def rebuild_table(t: Tables) -> DataFrame:
+    """A table that is written twice; the second time is what counts."""
+    path = scratch_path(t.spark, "rebuilt")
+    for df in (t.up_to_mark(t.stg_orders), t.stg_orders):
+        replace_table(df, path)
+    return t.spark.read.parquet(path)
+
+
+def report_files(t: Tables) -> DataFrame:
+    """The trends report, read back from its dated CSV folder."""
+    report = reports.report_revenue_trends(t.trends_mart)
+    path = exports.write_report(
+        report, scratch_path(t.spark, "reports"), "revenue_trends", date(2001, 12, 31)
+    )
+    return t.spark.read.schema(report.schema).option("header", True).csv(path)
+
+
+def gold_by_month(t: Tables) -> DataFrame:
+    """Two nights: all orders as first sent, then the corrected months alone."""
+    where = pipeline.Warehouse(scratch_path(t.spark, "months"))
+    first = silver.stg_orders(t.misdated(t.orders))
+    batch = t.stg_orders.filter(F.col("order_date") > F.lit(CORRECTED_FROM).cast("date"))
+    for orders in (first, batch):
+        items = silver.by_month(silver.stg_order_items(t.items, orders, t.menu))
+        pipeline.merge_silver(t.spark, where, "stg_orders", orders, "order_id")
+        pipeline.merge_silver(
+            t.spark, where, "stg_order_items", items, "order_id", orders.select("order_id")
+        )
+        pipeline.build_gold(t.spark, where)
+    return t.spark.read.parquet(where.gold("mart_location_comparison"))
 
 
 def silver_merge(t: Tables) -> DataFrame:
+    """The second batch moves orders to the months that they belong to."""
     path = scratch_path(t.spark, "silver")
-    merge_table(t.spark, path, t.up_to_mark(t.stg_orders))
+    merge_table(t.spark, path, silver.stg_orders(t.up_to_mark(t.misdated(t.orders))))
     merge_table(t.spark, path, t.corrected())
     return read_table(t.spark, path)
 
@@ -167,6 +220,33 @@ def streamed_orders(t: Tables) -> DataFrame:
     return read_table(t.spark, f"{root}/stg_orders").drop("_transformed_at")
 
 
+def streamed_order_items(t: Tables) -> DataFrame:
+    """Lines land before their orders; some orders are sent again with another date, or as the
+    refunds that they are."""
+    root = scratch_path(t.spark, "arrivals")
+    lines = arrivals.Lines(f"{root}/bronze", f"{root}/stg_order_items", t.menu)
+    orders = t.raw("orders")
+    late = F.col("order_date") > F.lit(CORRECTED_FROM).cast("date")
+    known = F.col("order_date") <= F.lit(star.MARK).cast("date")
+    first = t.misdated(orders.filter(known)).withColumn(
+        "is_refund", F.when(late, F.lit(False)).otherwise(F.col("is_refund"))
+    )
+    t.raw("order_items").write.option("header", True).csv(f"{root}/lines")
+
+    def load_orders(delivery: DataFrame) -> None:
+        delivery.write.mode("append").option("header", True).csv(f"{root}/orders")
+        arrivals.load_orders(
+            t.spark, f"{root}/orders", f"{root}/stg_orders", f"{root}/c1", lines
+        ).awaitTermination()
+
+    arrivals.load_order_items(
+        t.spark, f"{root}/lines", lines, f"{root}/stg_orders", f"{root}/c2"
+    ).awaitTermination()
+    load_orders(first)
+    load_orders(orders.filter(late))
+    return read_table(t.spark, lines.silver).drop("_transformed_at", "order_year", "order_month")
+
+
 # ---- queries over the lazy layers --------------------------------------------------------------
 
 
@@ -179,7 +259,8 @@ def append_new_columns(t: Tables) -> DataFrame:
 
 
 def silver_items_delta(t: Tables) -> DataFrame:
-    fresh = incremental.silver_items_delta(t.stg_orders, t.up_to_mark(t.stg_order_items))
+    costed = t.stored("costed", silver.by_month(t.up_to_mark(t.stg_order_items)))
+    fresh = incremental.silver_delta(t.stored("orders", t.stg_orders), costed)
     return silver.stg_order_items(t.items, fresh, t.menu)
 
 
@@ -236,14 +317,17 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "src_locations": lambda t: typed.src_locations(t.raw("locations")),
     "src_promotions": lambda t: t.promotions,
     "src_menu_price_history": lambda t: t.history,
-    "bronze_load": bronze_load,
+    "bronze_load": lambda t: bronze_load(t, "orders"),
+    "bronze_lines": lambda t: bronze_load(t, "order_items"),
     "load_audit": load_audit,
+    "load_state": load_state,
+    "rebuild_table": rebuild_table,
     # incremental load
     "incremental_orders": lambda t: incremental.orders_after(t.orders, star.MARK),
     "incremental_order_items": lambda t: incremental.items_after(t.items, t.orders, star.MARK),
     "high_water_mark": lambda t: incremental.high_water_mark(t.raw("orders")),
     "silver_orders_delta": lambda t: silver.stg_orders(
-        incremental.silver_orders_delta(t.orders, t.up_to_mark(t.stg_orders))
+        incremental.silver_delta(t.orders, t.stored("orders", t.up_to_mark(t.stg_orders)))
     ),
     "silver_items_delta": silver_items_delta,
     "upsert_by_key": lambda t: incremental.upsert_by_key(
@@ -252,6 +336,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "silver_merge": silver_merge,
     "append_new_columns": append_new_columns,
     "streamed_orders": streamed_orders,
+    "streamed_order_items": streamed_order_items,
     # silver
     "surrogate_key": lambda t: t.orders.select(
         "order_id", surrogate_key(F.col("order_id")).alias("surrogate_key")
@@ -270,8 +355,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "stg_order_items": lambda t: t.stg_order_items,
     # gold
-    "item_stats": lambda t: gold.item_stats(t.stg_order_items),
-    "menu_thresholds": lambda t: gold.menu_thresholds(gold.item_stats(t.stg_order_items)),
+    "item_stats": lambda t: t.item_stats,
+    "menu_thresholds": lambda t: gold.menu_thresholds(t.item_stats),
     "mart_menu_performance": lambda t: t.menu_mart,
     "order_profit": lambda t: gold.order_profit(t.stg_order_items),
     "join_preaggregated": join_preaggregated,
@@ -295,10 +380,12 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "mart_revenue_trends": lambda t: t.trends_mart,
     "mart_time_analysis": lambda t: t.time_mart,
+    "gold_by_month": gold_by_month,
     # reports
     "report_menu_performance": lambda t: reports.report_menu_performance(t.menu_mart),
     "report_location_comparison": lambda t: reports.report_location_comparison(t.location_mart),
     "report_revenue_trends": lambda t: reports.report_revenue_trends(t.trends_mart),
+    "report_files": report_files,
     "report_time_analysis": lambda t: reports.report_time_analysis(t.time_mart),
     # quality
     "quality_checks": lambda t: t.checks(),

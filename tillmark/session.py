@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillmark.sources.paths import remove_path
+
 # Runtime settings the jobs rely on. Sizes and partition counts are left to the cluster:
 # adaptive execution coalesces and splits shuffle partitions from the bytes it measures.
 SETTINGS = {
@@ -26,27 +29,29 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_path(spark: SparkSession, purpose: str, name: str | None = None) -> str:
-    """A path for intermediate tables, in the shared folder the cluster names.
+def scratch_path(spark: SparkSession, purpose: str) -> str:
+    """A new path for intermediate tables, in the shared folder the cluster names.
 
-    Without a name it is a new one; with a name it is the same on every run, so what a run leaves
-    there is overwritten by the next. Only a local session whose settings name no folder falls
-    back to a temporary one of this machine.
+    What lies there is removed when the program ends, as lazy results may read it until then.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tillmark-")
-    return f"{shared.rstrip('/')}/tillmark/{purpose}-{name or uuid.uuid4().hex}"
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    path = f"{shared.rstrip('/')}/tillmark/{purpose}-{uuid.uuid4().hex}"
+    atexit.register(_discard, spark, path)
+    return path
+
+
+def _discard(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have been stopped
+        remove_path(spark, path)
 
 
-def materialized(df: DataFrame, path: str | None = None) -> DataFrame:
+def materialized(df: DataFrame, path: str) -> DataFrame:
     """Writes an intermediate result that several consumers read, and reads it back.
 
     Files in shared storage outlive the executors that wrote them, and each reader fetches only
     the columns it needs.
     """
-    path = path or scratch_path(df.sparkSession, "held")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -25,6 +25,17 @@ RULES = QualityRules(
 # The mark that splits the orders into a first load and a batch.
 MARK = "1998-12-31"
 
+# The discount, in percent, of a promotion that the lines name and the promotions lack.
+UNKNOWN_STEP = 7
+
+# Price periods: number, factor, first and last day.
+PRICE_PERIODS = (
+    (1, 0.8, "1995-01-01", "1997-01-01"),
+    (2, 0.9, "1997-01-01", "1999-05-31"),
+    (3, 0.7, "1998-06-01", "1998-08-31"),
+    (4, 1.0, "1999-07-01", None),
+)
+
 # Region key -> site code.
 SITES = ("LOC-GRM", "LOC-WTD", "LOC-DUN", "LOC-WIN", "LOC-PTC")
 
@@ -49,17 +60,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order lines, which take by far the most work per table.
-
-    Where they come in fewer pieces than there are cores, as one small file does, the rows are
-    spread over all cores first; a table of many files is read as it lies, without a shuffle.
-    """
-    df = table(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _site(region: Column) -> Column:
     return F.get(F.array(*[F.lit(s) for s in SITES]), region)
 
@@ -132,7 +132,7 @@ def raw_orders_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantity, price = F.col("l_quantity"), F.col("l_extendedprice")
     return (
-        lines(spark, sf_dir)
+        table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .select(
             F.concat_ws(
@@ -195,11 +195,12 @@ def raw_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One promotion per discount step that occurs in the lines."""
+    """One promotion per discount step that occurs in the lines, but for one step."""
     steps = (
         table(spark, sf_dir, "lineitem")
         .filter(F.col("l_discount") > 0)
         .select(F.round(F.col("l_discount") * 100).cast("int").alias("step"))
+        .filter(F.col("step") != UNKNOWN_STEP)
         .distinct()
     )
     name = F.concat(F.lit("P-"), F.col("step").cast("string"))
@@ -217,14 +218,16 @@ def raw_promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_menu_price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three successive prices of every menu row."""
-    steps = F.expr(
-        "array(named_struct('n', 1, 'factor', 0.8D, 'since', date'1995-01-01',"
-        " 'until', date'1996-12-31'),"
-        " named_struct('n', 2, 'factor', 0.9D, 'since', date'1997-01-01',"
-        " 'until', date'1999-05-31'),"
-        " named_struct('n', 3, 'factor', 1.0D, 'since', date'1999-06-01',"
-        " 'until', cast(null as date)))"
+    """Four prices of every menu row: the second touches the first, the third overlaps it and ends
+    inside it, the fourth follows the gap after it."""
+    steps = F.array(
+        *[
+            F.struct(
+                F.lit(n).alias("n"), F.lit(factor).alias("factor"),
+                F.lit(since).cast("date").alias("since"), F.lit(until).cast("date").alias("until"),
+            )
+            for n, factor, since, until in PRICE_PERIODS
+        ]
     )
     menu = raw_menu(spark, sf_dir).select(
         "item_id", "selling_price", "cost_price", F.explode(steps).alias("step")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,6 @@ from pyspark.sql.types import StructType
 
 from tillmark.config import SILVER_PARTITIONS
 from tillmark.operators.incremental import append_new_columns
-from tillmark.session import scratch_path
 from tillmark.sources.paths import path_exists, remove_path
 
 
@@ -52,6 +51,15 @@ def table_schema(spark: SparkSession, path: str) -> StructType:
     return max(known, key=len)
 
 
+def union_schema(spark: SparkSession, path: str) -> StructType:
+    """All columns that any schema on record has."""
+    columns = {}
+    for row in spark.read.text(_schema_path(path)).collect():  # one row per change of columns
+        for column in StructType.fromJson(json.loads(row.value)):
+            columns.setdefault(column.name, column)
+    return StructType(list(columns.values()))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The table with all columns on record; older files give null for newer columns.
 
@@ -60,6 +68,13 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(table_schema(spark, path)).parquet(path)
 
 
+def record_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Notes columns that are not on record yet."""
+    known = union_schema(spark, path).names if table_exists(spark, path) else []
+    if not set(schema.names) <= set(known):
+        _record_schema(spark, path, schema)
+
+
 def _record_schema(spark: SparkSession, path: str, schema: StructType) -> None:
     """Appends, never replaces: a lost job cannot leave the table without a schema."""
     (
@@ -74,7 +89,7 @@ def _partition_key(partitions: tuple[str, ...]) -> Column:
     return F.concat_ws("/", *[F.coalesce(F.col(p).cast("string"), F.lit("-")) for p in partitions])
 
 
-def _within(partitions: tuple[str, ...], rows: list[Row]) -> Column:
+def within(partitions: tuple[str, ...], rows: Iterable[tuple]) -> Column:
     """Rows of the given partitions; refers to partition columns only, so it prunes the scan."""
     names = ["/".join("-" if v is None else str(v) for v in row) for row in rows]
     return _partition_key(partitions).isin(*names) if names else F.lit(False)
@@ -106,77 +121,132 @@ def _around(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key).between(F.lit(low), F.lit(high)))
 
 
+@dataclass(frozen=True)
+class Merged:
+    """What a merge did: rows of the batch, and the partitions that differ since."""
+
+    rows: int
+    partitions: tuple[tuple, ...]
+
+
 def merge_table(
     spark: SparkSession,
     path: str,
     batch: DataFrame,
     key: str = "surrogate_key",
     partitions: tuple[str, ...] = SILVER_PARTITIONS,
-) -> int:
-    """Upserts a batch into a partitioned table; returns the number of batch rows.
-
-    Only partitions that hold a key of the batch are rewritten, wherever the new row of that key
-    belongs (a corrected order may have changed month). All other batch rows are appended, which
-    on a normal night is the whole batch. Running the same batch again gives the same table, also
-    after a run that broke off half-way: rows it had already added are found by key and replaced.
+    keys: DataFrame | None = None,
+    before: Callable[[tuple[tuple, ...]], None] = lambda partitions: None,
+) -> Merged:
+    """Upserts a batch into a partitioned table.
+
+    All rows with a key of the batch are replaced, and those with one of `keys`: a key that the
+    batch brings no rows for loses the rows it had. Only partitions that hold such a key are
+    rewritten, wherever the new row of that key belongs (a corrected order may have changed
+    month). All other batch rows are appended, which on a normal night is the whole batch.
+
+    The batch is staged inside the table's folder, which any later run finds. A merge that broke
+    off is completed first: staged partitions are put in place, and the staged batch is merged
+    once more, which leaves the same table however far it had come. `before` is told the
+    partitions of an existing table that are about to change.
     """
     if not table_exists(spark, path):
         _record_schema(spark, path, batch.schema)
-        return _write_partitions(batch, path, partitions, "append")
-
-    stage = scratch_path(spark, "merge", hashlib.md5(path.encode()).hexdigest())
-    _finish_rewrite(spark, path, stage, partitions)
+        rows = _write_partitions(batch, path, partitions, "append")
+        return Merged(rows, tuple(map(tuple, _partitions_of(read_table(spark, path), partitions))))
+
+    stage = _stage(path)
+    if path_exists(spark, f"{stage}/keys/_SUCCESS"):
+        _finish_rewrite(spark, path, partitions)
+        _merge_staged(spark, path, key, partitions, before)
+    remove_path(spark, stage)
     # The batch is read for its keys and for its rows; held once, it is computed once.
     rows = counted(batch, lambda out: out.write.mode("overwrite").parquet(f"{stage}/batch"))
-    if not rows:
-        return 0
-    batch = spark.read.schema(batch.schema).parquet(f"{stage}/batch")
+    staged = spark.read.schema(batch.schema).parquet(f"{stage}/batch")
+    gone = staged.select(key) if keys is None else staged.select(key).union(keys.select(key))
+    gone.distinct().write.mode("overwrite").parquet(f"{stage}/keys")
+    changed = _merge_staged(spark, path, key, partitions, before)
+    remove_path(spark, stage)
+    return Merged(rows, changed)
+
+
+def _stage(path: str) -> str:
+    return f"{path}/_stage"  # hidden from readers of the table
 
+
+def _merge_staged(
+    spark: SparkSession,
+    path: str,
+    key: str,
+    partitions: tuple[str, ...],
+    before: Callable[[tuple[tuple, ...]], None],
+) -> tuple[tuple, ...]:
+    stage = _stage(path)
+    batch, keys = (spark.read.parquet(f"{stage}/{part}") for part in ("batch", "keys"))
     target = read_table(spark, path)
     combined = append_new_columns(target, batch).schema
     if len(combined) > len(target.schema):
         _record_schema(spark, path, combined)
 
-    keys = batch.select(key).distinct()
     hit = _partitions_of(_around(target, keys, key).join(keys, key, "left_semi"), partitions)
-    touched = _within(partitions, hit)
+    changed = tuple({*map(tuple, hit), *map(tuple, _partitions_of(batch, partitions))})
+    if not changed:
+        return changed
+    before(changed)
+    touched = within(partitions, hit)
     if hit:
-        # The keys to remove are those of the whole batch, the rows to add those that belong here.
+        # The keys to remove are all of them, the rows to add those that belong here.
         survivors = target.filter(touched).join(keys, key, "left_anti").select(*target.columns)
+        kind = StructType([target.schema[p] for p in partitions])
+        spark.createDataFrame(hit, kind).write.mode("overwrite").parquet(f"{stage}/hit")
         append_new_columns(survivors, batch.filter(touched)).write.mode("overwrite").parquet(
-            _rewritten(stage)
+            f"{stage}/rewritten"
         )
-        kept = _finish_rewrite(spark, path, stage, partitions)
-        for emptied in set(hit) - set(kept):  # overwriting skips partitions without rows
-            remove_path(spark, _partition_path(path, partitions, emptied))
+        _finish_rewrite(spark, path, partitions)
     _write_partitions(batch.filter(~touched), path, partitions, "append")
-    return rows
+    return changed
 
 
-def _rewritten(stage: str) -> str:
-    return f"{stage}/rewritten"
+def _finish_rewrite(spark: SparkSession, path: str, partitions: tuple[str, ...]) -> None:
+    """Puts fully staged partitions in place of the old ones and clears those left without rows.
 
-
-def _finish_rewrite(
-    spark: SparkSession, path: str, stage: str, partitions: tuple[str, ...]
-) -> list[Row]:
-    """Puts fully staged partitions in place of the old ones; returns which these are.
-
-    Replacing folders is not atomic. The staged copy goes only after all are in place, so the
-    next merge finds it when a run broke off in between, and puts it in place again.
+    Replacing folders is not atomic. The staged copy goes last, so after a run that broke off in
+    between the next merge finds it, and puts it in place again.
     """
-    staged = _rewritten(stage)
+    staged = f"{_stage(path)}/rewritten"
     if not path_exists(spark, f"{staged}/_SUCCESS"):
-        return []
+        return
     rewritten = spark.read.schema(table_schema(spark, path)).parquet(staged)
     kept = _partitions_of(rewritten, partitions)
+    hit = spark.read.parquet(f"{_stage(path)}/hit").collect()  # at most the stored partitions
     _write_partitions(rewritten, path, partitions, "overwrite")
+    _clear(spark, path, partitions, {*map(tuple, hit)} - {*map(tuple, kept)})
     remove_path(spark, staged)
-    return kept
 
 
-def _partition_path(path: str, partitions: tuple[str, ...], row: Row) -> str:
+def _clear(
+    spark: SparkSession, path: str, partitions: tuple[str, ...], emptied: Iterable[tuple]
+) -> None:
+    """Overwriting skips partitions that get no rows; these go by their folder."""
+    for values in emptied:
+        remove_path(spark, _partition_path(path, partitions, values))
+
+
+def replace_partitions(
+    df: DataFrame, path: str, partitions: tuple[str, ...], replaced: Iterable[tuple]
+) -> None:
+    """Writes rows of the `replaced` partitions in place of what these hold.
+
+    Not atomic: a caller that breaks off has to replace the same partitions again.
+    """
+    record_schema(df.sparkSession, path, df.schema)
+    _clear(df.sparkSession, path, partitions, replaced)
+    _write_partitions(df, path, partitions, "overwrite")
+
+
+def _partition_path(path: str, partitions: tuple[str, ...], values: tuple) -> str:
     named = [
-        f"{p}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for p, v in zip(partitions, row)
+        f"{p}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}"
+        for p, v in zip(partitions, values)
     ]
     return "/".join([path, *named])
