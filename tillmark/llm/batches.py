@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 # A-Z to a-z in UTF-8 bytes, all else unchanged.
@@ -27,6 +28,12 @@ def pieces(
         start = stop
 
 
+def bounded(spark: SparkSession, most_bytes: int = 8 << 20) -> None:
+    """From now on Arrow batches stop at about `most_bytes`, so that rows with long texts don't
+    come by the ten thousand. A single row may be larger."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most_bytes))
+
+
 def utf8(texts: pa.Array) -> list[bytes]:
     """The texts as bytes, null as empty."""
     return [t or b"" for t in texts.cast(pa.large_binary()).to_pylist()]

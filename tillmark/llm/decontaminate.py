@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.batches import LOWER, pieces, utf8
+from tillmark.llm.batches import LOWER, bounded, pieces, utf8
 from tillmark.llm.store import Store
 
 # Bytes of a word after lower-casing; all others separate words.
@@ -226,6 +226,7 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     """`row` (all columns of docs), `text` and `match`: word counts, hit words, item ids in order,
     and the code points of the hit passages (runs of neighbouring hit words)."""
     spark = docs.sparkSession
+    bounded(spark)
     rows = docs.select(
         F.struct(
             F.lit(0).alias("__row"), *[F.col(f"`{c}`") for c in docs.columns if c != text]

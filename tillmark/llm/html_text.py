@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.batches import extended, pieces, strings
+from tillmark.llm.batches import bounded, extended, pieces, strings
 
 # ---- fixed values: what tags mean ------------------------------------------------------------
 
@@ -358,6 +358,7 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract(pages: DataFrame, page: str = "html", name: str = "text") -> DataFrame:
     """All columns but the page itself, and its main text under `name`."""
+    bounded(pages.sparkSession)
     others = [c for c in pages.columns if c != page]
     rows = pages.select(
         F.struct(F.lit(0).alias("__row"), *[F.col(f"`{c}`") for c in others]).alias("row"),

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm.batches import LOWER, extended, pieces, utf8
+from tillmark.llm.batches import LOWER, bounded, extended, pieces, utf8
 from tillmark.llm.graph import components
 from tillmark.llm.store import Store
 
@@ -58,7 +58,7 @@ class _WordHashes(dict):
     """Hashes of words, remembered; of bounded size."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 20:
+        if len(self) > 1 << 18:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -329,6 +329,7 @@ class NearDuplicates:
     def __init__(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text"):
         self.columns, self.text = docs.columns, text
         self.spark = docs.sparkSession
+        bounded(self.spark)
         self.store = Store(self.spark, "near")
         rows = docs.select(
             F.struct(

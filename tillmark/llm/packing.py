@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tillmark.llm.batches import pieces, strings
+from tillmark.llm.batches import bounded, pieces, strings
 
 MOST_OPEN = 4096
 PIECES = (
@@ -238,5 +238,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end: int =
     `tokenizer` is the path of a byte-level tokenizer file, the same on every machine; `end` is
     the id appended to each document.
     """
+    bounded(docs.sparkSession)
     rows = docs.selectExpr(f"cast(`{doc_id}` as long) doc_id", f"`{text}` text")
     return rows.mapInArrow(_packed(tokenizer, size, end), PIECES)

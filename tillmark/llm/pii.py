@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.batches import extended, pieces, strings
+from tillmark.llm.batches import bounded, extended, pieces, strings
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -321,6 +321,7 @@ def _found(redact: bool):
 
 
 def _rows(docs: DataFrame, text: str) -> DataFrame:
+    bounded(docs.sparkSession)
     return docs.select(
         F.struct(
             F.lit(0).alias("__row"), *[F.col(f"`{c}`") for c in docs.columns if c != text]
