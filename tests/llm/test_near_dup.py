@@ -168,6 +168,6 @@ def test_components_of_long_paths_and_stars(spark):
     assert found == expected
 
 
-def test_no_task_gets_a_bucket_and_nothing_is_broadcast_by_hint(spark):
+def test_rows_from_an_expression(spark):
     rows = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("a b c d e f").alias("text"))
     assert near_dup.report(rows).filter("kept").count() == 1

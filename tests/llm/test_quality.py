@@ -96,6 +96,14 @@ def test_passages_of_odd_texts(text):
     assert np.isfinite(found).all()
 
 
+def test_long_texts_are_described_in_slices(monkeypatch):
+    text = b" ".join(b"w%d, X%d" % (i % 7, i) + b"y" * (i % 40) for i in range(3000)) + b" \n"
+    whole = quality.passages(b"  " + text)
+    for size in (1, 1000, 50_000):
+        monkeypatch.setattr(quality, "SLICE", size)
+        assert np.allclose(quality.passages(b"  " + text), whole)
+
+
 def test_passage_features():
     found = quality.passages(b"Dog dog dog CAT!!")[0]
     names = list(quality._CLASSES)

@@ -72,7 +72,7 @@ def test_weights(spark):
 
 def test_null_and_empty_key_differ(spark):
     df = spark.createDataFrame([(None,), ("",)], "k string").select(
-        *[sharding.rendezvous(F.concat(F.col("k"), F.lit("")), n).alias(str(n)) for n in range(2, 40)]
+        *[sharding.rendezvous(F.concat(F.col("k"), F.lit("")), n).alias(str(n)) for n in range(2, 9)]
     )
     null, empty = map(tuple, df.collect())
     assert null != empty

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.batches import extended, pieces, utf8
+from tillmark.llm.batches import bounded, extended, pieces, utf8
 
 PASSAGE = 64
 SAMPLE = 3000
@@ -47,27 +47,43 @@ _POWERS = np.cumprod(np.full(256, 0x9E3779B97F4A7C15 | 1, np.uint64), dtype=np.u
 FEATURES = len(_CLASSES) + 11
 
 
+SLICE = 1 << 20  # bytes described at once; a single passage may be longer
+
+
 def passages(text: bytes) -> np.ndarray:
     """One row of features per passage; a text without words has one row."""
     raw = np.frombuffer(text, np.uint8)
-    space = _SPACE[raw]
-    inner = ~space
     # First byte of each word, and the byte after its last.
-    edges = np.flatnonzero(np.diff(inner, prepend=False, append=False))
+    edges = np.flatnonzero(np.diff(~_SPACE[raw], prepend=False, append=False))
     starts, stops = edges[::2], edges[1::2]
-    out = np.zeros((max(1, -(-len(starts) // PASSAGE)), FEATURES))
     if not len(starts):
+        out = np.zeros((1, FEATURES))
         out[0, -1] = 1
         return out
+    bounds = np.append(starts[::PASSAGE], len(raw))
+    bounds[0] = 0
+    parts, first = [], 0
+    while first < len(bounds) - 1:
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + SLICE, "right")) - 1)
+        own = slice(first * PASSAGE, last * PASSAGE)
+        a, b = bounds[first], bounds[last]
+        parts.append(_described(raw[a:b], starts[own] - a, stops[own] - a))
+        first = last
+    return np.concatenate(parts)
+
+
+def _described(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """The features of some passages of whole words."""
+    n = -(-len(starts) // PASSAGE)
+    out = np.zeros((n, FEATURES))
     first = starts[::PASSAGE].copy()
     first[0] = 0
     counts = np.diff([*first, len(raw)]).astype(float)
-    n = len(out)
     for i, members in enumerate(_IN_CLASS):
         out[:, i] = np.add.reduceat(members[raw], first, dtype=np.int64) / counts
     # A number per word: a polynomial over its bytes.
     value = (raw.astype(np.uint64) + np.uint64(1)) * _POWERS[_places(starts, len(raw)) & 255]
-    value[space] = 0
+    value[_SPACE[raw]] = 0
     word = np.add.reduceat(value, starts)
     word ^= word >> np.uint64(29)
     of = np.arange(len(word)) // PASSAGE
@@ -77,6 +93,7 @@ def passages(text: bytes) -> np.ndarray:
     mean = np.bincount(of, length, n) / words
     same = np.zeros(len(word), bool)
     same[1:] = word[1:] == word[:-1]
+    same[heads] = False
     order = np.lexsort((word, of))
     w, o = word[order], of[order]
     new = np.ones(len(w), bool)
@@ -210,6 +227,7 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
           label: str = "quality", most: int = SAMPLE) -> Model | float:
     """A model, or the constant score where the labels are of one kind."""
+    bounded(docs.sparkSession)
     marked = labels.select(
         F.col(doc_id).cast("long").alias("id"), F.col(label).cast("int").alias("quality")
     ).filter((fold(F.col("id")) != 0) & F.col("quality").isin(0, 1) & F.col("id").isNotNull())
@@ -251,6 +269,7 @@ def _scored(shared):
 
 def score(docs: DataFrame, model: Model | float, text: str = "text") -> DataFrame:
     """`row` (the other columns), `text` and `score`, 0 to 1."""
+    bounded(docs.sparkSession)
     rows = docs.select(
         F.struct(
             F.lit(0).alias("__row"), *[F.col(f"`{c}`") for c in docs.columns if c != text]
