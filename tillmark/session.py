@@ -38,10 +38,14 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     if not shared:
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     path = f"{shared.rstrip('/')}/tillmark/{purpose}-{uuid.uuid4().hex}"
-    atexit.register(_discard, spark, path)
+    discard_at_exit(spark, path)
     return path
 
 
+def discard_at_exit(spark: SparkSession, path: str) -> None:
+    atexit.register(_discard, spark, path)
+
+
 def _discard(spark: SparkSession, path: str) -> None:
     with contextlib.suppress(Exception):  # the session may have been stopped
         remove_path(spark, path)
