@@ -56,7 +56,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Store(spark, "pipeline")
     docs = queries.table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
         docs = store.hold(stage(spark, docs, sf_dir), name)
+        if before:
+            store.drop(before)
+        before = name
     name, stage = STAGES[-1]
     return stage(spark, docs, sf_dir)

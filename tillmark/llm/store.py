@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillmark.session import discard_at_exit
 from tillmark.sources.paths import remove_path
 
 
@@ -14,7 +15,7 @@ class Store:
 
     Written tables survive the executors that wrote them, and every reader fetches only the
     columns it needs. Whoever runs an operator drops the tables that nothing reads any more;
-    those behind a returned DataFrame stay.
+    those behind a returned DataFrame stay until the program ends.
     """
 
     def __init__(self, spark: SparkSession, purpose: str):
@@ -23,6 +24,7 @@ class Store:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         self.spark = spark
         self.root = f"{shared.rstrip('/')}/tillmark/{purpose}-{uuid.uuid4().hex}"
+        discard_at_exit(spark, self.root)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
