@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.llm import decontaminate, near_dup, pii, quality, queries
+from tillmark.llm.ship import ship
 from tillmark.llm.store import Store
 
 
@@ -54,6 +55,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     store = Store(spark, "pipeline")
     docs = queries.table(spark, sf_dir, "documents")
     before = None

@@ -20,6 +20,7 @@ from tillmark.llm import (
     url_rules,
     warc,
 )
+from tillmark.llm.ship import ship
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RULES = [
@@ -97,7 +98,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_topk, op2_sharding, op3_packing, op4_decontaminate, op5_html_text, op6_pii, op7_warc,
         op8_near_dup, op9_quality, op10_url_rules,
     ]
-    return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: _shipped(f) for f in own} | {"pipeline": corpus_pipeline.run}
+
+
+def _shipped(query: Callable[[SparkSession, str], DataFrame]):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 # ---- SQL -------------------------------------------------------------------------------------
