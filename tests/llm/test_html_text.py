@@ -43,6 +43,18 @@ def test_sections_of_main():
     assert main_text(page) == "One, two. Three, four, five."
 
 
+def test_a_lone_article_or_main_beside_the_text_loses():
+    body = "<p>Text, that, goes, on, for, a, while, indeed.</p>" * 5
+    for tag in ("article", "main"):
+        page = f"<body><{tag}><p>A teaser, for more.</p></{tag}><div id=post>{body}</div></body>"
+        assert main_text(page) == " ".join(["Text, that, goes, on, for, a, while, indeed."] * 5)
+
+
+def test_article_wins_over_a_little_more_text_beside_it():
+    page = "<div><article><p>One, two, three.</p></article><div><p>A, b, c, d.</p></div></div>"
+    assert main_text(page) == "One, two, three."
+
+
 def test_comments_as_articles_go():
     page = ("<article><p>Text, of the page.</p><article class=comment><p>Yes, yes, yes, yes</p>"
             "</article></article>")

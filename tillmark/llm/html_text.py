@@ -2,11 +2,12 @@
 
 Each block of text passes points to its ancestors: one, one per comma and one per hundred
 characters (three at most), to the parent in full, to the grandparent half, to those above ever
-less. Points are discounted by the share of an element's text that lies in links. The best
-container is kept together with those siblings that score well or read like prose. A page's only
-outermost `article`, or else its only outermost `main`, is the container whatever the scores; of
-several, the one that holds the best container. Within the container everything stays but what by
-tag, role or name is a menu, header, footer, sidebar, notice, advert, form or comment.
+less. Points are discounted by the share of an element's text that lies in links. An outermost
+`article`, or `main` outside of one, has its text's points in full, and its rank counts half as much
+again. The best container decides: if it lies in an `article`, or else in a `main`, that is kept;
+otherwise it is kept together with those siblings that score well or read like prose. Within the
+container everything stays but what by tag, role or name is a menu, header, footer, sidebar, notice,
+advert, form or comment.
 
 White space within a block is one space; blocks follow in page order, joined by one space.
 
@@ -52,6 +53,9 @@ ENDS_PARAGRAPH = frozenset(
     " nav ol p pre section table ul".split()
 )
 BOUNDS = frozenset("article main section div td th table ul ol body html aside nav".split())
+PARAGRAPHS = frozenset("p pre blockquote li h1 h2 h3 h4 h5 h6 dd".split())
+PROSE = frozenset("p h1 h2 h3 blockquote pre".split())
+SEMANTIC = frozenset(("article", "main"))
 UNWANTED_ROLES = frozenset(
     "navigation banner contentinfo complementary search menu menubar dialog alert alertdialog"
     " form toolbar".split()
@@ -259,23 +263,37 @@ def _outermost(element: Element, tag: str) -> Element | None:
     return found
 
 
-REACH = 6  # ancestors that a block passes points to
+BONUS = 1.5  # by which the rank of an `article` or `main` counts more
+
+
+def _semantic(element: Element) -> Element | None:
+    """The outermost article that an element lies in, else the outermost main."""
+    return _outermost(element, "article") or _outermost(element, "main")
 
 
 def score(found: list[Block]) -> None:
+    """Points, text and linked text of all ancestors. An article or main has the points of what it
+    is the outermost one of in full, since it stands for all of it."""
+    at: dict[int, list] = {}  # what blocks give to one element: element, points, chars, linked
     for block in found:
         if block.dropped:
             continue
         points = 1 + block.text.count(",") + min(len(block.text) / 100, 3)
         near = block.holder
         # A paragraph, heading or cell is no container itself; its parent is the first to score.
-        if near.tag in ("p", "pre", "blockquote", "li", "h1", "h2", "h3", "h4", "h5", "h6", "dd"):
+        if near.tag in PARAGRAPHS:
             near = near.parent or near
+        sums = at.setdefault(id(near), [near, 0.0, 0, 0])
+        sums[1] += points
+        sums[2] += len(block.text)
+        sums[3] += block.linked
+    for near, points, chars, linked in at.values():
+        whole = _semantic(near)
         for level, ancestor in enumerate(_ancestors(near)):
-            ancestor.chars += len(block.text)
-            ancestor.linked += block.linked
-            if level < REACH:
-                ancestor.score += points / (1, 2, 6, 9, 12, 15)[level]
+            ancestor.chars += chars
+            ancestor.linked += linked
+            less = 1 if ancestor is whole or not level else 2 if level == 1 else 3 * level
+            ancestor.score += points / less
 
 
 def density(element: Element) -> float:
@@ -286,9 +304,7 @@ def _rank(element: Element) -> float:
     return element.score * (1 - density(element))
 
 
-def main_containers(found: list[Block]) -> list[Element]:
-    """The best container and those of its siblings that belong to it."""
-    score(found)
+def _scored(found: list[Block]) -> list[Element]:
     scored, seen = [], set()
     for block in found:
         if not block.dropped:
@@ -298,24 +314,28 @@ def main_containers(found: list[Block]) -> list[Element]:
                 seen.add(id(ancestor))
                 if ancestor.score:
                     scored.append(ancestor)
+    return scored
+
+
+def main_containers(found: list[Block]) -> list[Element]:
+    """The best container and those of its siblings that belong to it."""
+    score(found)
+    scored = _scored(found)
     if not scored:
         return []
-    for tag in ("article", "main"):
-        outermost = {id(o): o for e in scored if (o := _outermost(e, tag))}
-        if len(outermost) == 1:
-            return list(outermost.values())
-    best = max(scored, key=_rank)
-    for tag in ("article", "main"):
-        if container := _outermost(best, tag):
-            return [container]
+    outermost = {id(s) for e in scored if (s := _semantic(e))}
+    best = max(scored, key=lambda e: _rank(e) * (BONUS if id(e) in outermost else 1))
+    if container := _semantic(best):
+        return [container]
     if best.parent is None or best.tag == "body":
         return [best]
     least = max(2.0, 0.2 * _rank(best))
     kept = []
     for sibling in best.parent.children:
-        if isinstance(sibling, str) or sibling.unwanted:
+        # An article beside the container is a text of its own.
+        if isinstance(sibling, str) or sibling.unwanted or sibling.tag in SEMANTIC:
             continue
-        prose = sibling.tag in ("p", "h1", "h2", "h3", "blockquote", "pre") or _rank(sibling) >= least
+        prose = sibling.tag in PROSE or _rank(sibling) >= least
         if sibling is best or prose and density(sibling) < 0.5:
             kept.append(sibling)
     return kept
