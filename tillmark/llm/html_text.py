@@ -4,10 +4,11 @@ Each block of text passes points to its ancestors: one, one per comma and one pe
 characters (three at most), to the parent in full, to the grandparent half, to those above ever
 less. Points are discounted by the share of an element's text that lies in links. An outermost
 `article`, or `main` outside of one, has its text's points in full, and its rank counts half as much
-again. The best container decides: if it lies in an `article`, or else in a `main`, that is kept;
-otherwise it is kept together with those siblings that score well or read like prose. Within the
+again. The best container decides: if it lies in an `article`, or else in a `main`, that is it. It
+is lifted to an ancestor that holds half as much again in points outside of links, whatever lies in
+between, and kept together with those siblings that score well or read like prose. Within the
 container everything stays but what by tag, role or name is a menu, header, footer, sidebar, notice,
-advert, form or comment.
+advert, form or comment, and lists of links in a container that was lifted to.
 
 White space within a block is one space; blocks follow in page order, joined by one space.
 
@@ -88,12 +89,12 @@ DEEPEST = 512  # the limit that browsers have
 
 
 class Element:
-    __slots__ = ("tag", "parent", "children", "unwanted", "score", "chars", "linked")
+    __slots__ = ("tag", "parent", "children", "unwanted", "score", "whole", "chars", "linked")
 
     def __init__(self, tag: str, parent: Element | None, unwanted: bool):
         self.tag, self.parent, self.unwanted = tag, parent, unwanted
         self.children: list[Element | str] = []
-        self.score, self.chars, self.linked = 0.0, 0, 0
+        self.score, self.whole, self.chars, self.linked = 0.0, 0.0, 0, 0
 
 
 def _words(name: str) -> list[str]:
@@ -264,6 +265,7 @@ def _outermost(element: Element, tag: str) -> Element | None:
 
 
 BONUS = 1.5  # by which the rank of an `article` or `main` counts more
+MORE = 1.5  # times its points that an ancestor holds in all if the container is to be lifted
 
 
 def _semantic(element: Element) -> Element | None:
@@ -273,7 +275,8 @@ def _semantic(element: Element) -> Element | None:
 
 def score(found: list[Block]) -> None:
     """Points, text and linked text of all ancestors. An article or main has the points of what it
-    is the outermost one of in full, since it stands for all of it."""
+    is the outermost one of in full, since it stands for all of it. `whole` is the sum in full of
+    the points outside of links, whatever lies in between."""
     at: dict[int, list] = {}  # what blocks give to one element: element, points, chars, linked
     for block in found:
         if block.dropped:
@@ -283,16 +286,18 @@ def score(found: list[Block]) -> None:
         # A paragraph, heading or cell is no container itself; its parent is the first to score.
         if near.tag in PARAGRAPHS:
             near = near.parent or near
-        sums = at.setdefault(id(near), [near, 0.0, 0, 0])
+        sums = at.setdefault(id(near), [near, 0.0, 0, 0, 0.0])
         sums[1] += points
         sums[2] += len(block.text)
         sums[3] += block.linked
-    for near, points, chars, linked in at.values():
-        whole = _semantic(near)
+        sums[4] += points * (1 - block.linked / len(block.text))
+    for near, points, chars, linked, unlinked in at.values():
+        semantic = _semantic(near)
         for level, ancestor in enumerate(_ancestors(near)):
             ancestor.chars += chars
             ancestor.linked += linked
-            less = 1 if ancestor is whole or not level else 2 if level == 1 else 3 * level
+            ancestor.whole += unlinked
+            less = 1 if ancestor is semantic or not level else 2 if level == 1 else 3 * level
             ancestor.score += points / less
 
 
@@ -317,36 +322,112 @@ def _scored(found: list[Block]) -> list[Element]:
     return scored
 
 
-def main_containers(found: list[Block]) -> list[Element]:
-    """The best container and those of its siblings that belong to it."""
+def _page(element: Element) -> bool:
+    return element.parent is None or element.tag == "body"
+
+
+def _elements(element: Element) -> list[Element]:
+    return [c for c in element.children if not isinstance(c, str) and not c.unwanted]
+
+
+def _lifted(best: Element) -> Element:
+    """The container, lifted while an ancestor holds half as much again in all: text in wrappers of
+    its own leaves no points to the container that they share. Leaving an article or main takes
+    more. If most of what was reached lies in one container, it is that one."""
+    main, above = best, best.parent
+    while above is not None:
+        more = 1 + BONUS if main.tag in SEMANTIC else MORE
+        if above.whole >= more * main.whole > 0:
+            main = above = _semantic(above) or above
+        above = above.parent
+    while main is not best and main.tag not in SEMANTIC:
+        inner = max(_elements(main), key=lambda e: e.whole, default=main)
+        if inner.whole * MORE <= main.whole or inner is main or inner.tag in PARAGRAPHS:
+            break
+        main = inner
+    return main
+
+
+def _wrapped(element: Element) -> Element:
+    """The outermost element that holds nothing else."""
+    while not _page(element) and element.parent.chars == element.chars:
+        element = element.parent
+    return element
+
+
+def _inner(element: Element) -> Element:
+    """The innermost element, down to a paragraph, that holds all there is."""
+    while element.tag not in PARAGRAPHS:
+        inner = _elements(element)
+        if len(inner) != 1 or any(isinstance(c, str) and c.strip() for c in element.children):
+            break
+        element = inner[0]
+    return element
+
+
+def _peak(element: Element) -> float:
+    """The best rank within."""
+    best, stack = 0.0, [element]
+    while stack:
+        now = stack.pop()
+        best = max(best, _rank(now))
+        stack.extend(c for c in _elements(now) if c.score)
+    return best
+
+
+def _alike(beside: list[Element], main: Element, least: float) -> list[Element]:
+    """Those that score well or read like prose, wrapped if the container is a wrapped paragraph.
+    An article or main beside another container is a text of its own."""
+    wrapped = _inner(main).tag in PROSE
+    return [
+        e for e in beside
+        if e is main or density(e) < 0.5 and (e.tag not in SEMANTIC or main.tag in SEMANTIC) and (
+            e.tag in PROSE or wrapped and _inner(e).tag in PROSE or _peak(e) >= least
+        )
+    ]
+
+
+def main_containers(found: list[Block]) -> tuple[list[Element], list[Element]]:
+    """The best container and those of its siblings that belong to it; children of it that don't."""
     score(found)
     scored = _scored(found)
     if not scored:
-        return []
+        return [], []
     outermost = {id(s) for e in scored if (s := _semantic(e))}
     best = max(scored, key=lambda e: _rank(e) * (BONUS if id(e) in outermost else 1))
-    if container := _semantic(best):
-        return [container]
-    if best.parent is None or best.tag == "body":
-        return [best]
-    least = max(2.0, 0.2 * _rank(best))
-    kept = []
-    for sibling in best.parent.children:
-        # An article beside the container is a text of its own.
-        if isinstance(sibling, str) or sibling.unwanted or sibling.tag in SEMANTIC:
-            continue
-        prose = sibling.tag in PROSE or _rank(sibling) >= least
-        if sibling is best or prose and density(sibling) < 0.5:
-            kept.append(sibling)
-    return kept
+    best = _semantic(best) or best
+    main = _lifted(best)
+    if main.tag in SEMANTIC:
+        return [main], []
+    if main is best:
+        main = _wrapped(best)
+        if _page(main):
+            return [main], []
+        return _alike(_elements(main.parent), main, max(2.0, 0.2 * _rank(best))), []
+    inner = _elements(main)
+    lists = [e for e in inner if density(e) >= 0.5]
+    if not _page(main):
+        return _alike(_elements(main.parent), main, max(2.0, 0.2 * main.whole)), lists
+    # Of a whole page, what reaches from the first to the last of the containers alike.
+    first = max(inner, key=_peak, default=main)
+    alike = {id(e) for e in _alike(inner, first, max(2.0, 0.2 * _peak(first)))}
+    places = [i for i, e in enumerate(inner) if id(e) in alike]
+    if places:
+        between = range(places[0], places[-1] + 1)
+        lists = [
+            e for i, e in enumerate(inner)
+            if id(e) not in alike and (i not in between or density(e) >= 0.5 or e.tag in SEMANTIC)
+        ]
+    return [main], lists
 
 
 def main_text(page: str) -> str:
     found = blocks(parse(page))
-    kept = {id(e) for e in main_containers(found)}
+    containers, left_out = main_containers(found)
+    kept = {id(e) for e in containers}
     if not kept:
         return ""
-    inside: dict[int, bool] = {}
+    inside = {id(e): False for e in left_out}
 
     def belongs(element: Element) -> bool:
         path = []
