@@ -129,5 +129,17 @@ def test_round_trip_of_odd_rows(spark, reference):
             assert part == ids[start:start + len(part)]
 
 
+@pytest.mark.parametrize("text", [
+    "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "<|endoftext| >",
+    "a  <|endoftext|>  \n", "it's<|endoftext|>'s", "<|endoftext|>" + " " * 1_000_000 + "b",
+])
+def test_added_tokens_get_their_ids(spark, text):
+    unmodified = Tokenizer.from_file(queries.TOKENIZER)
+    expected = unmodified.encode(text, add_special_tokens=False).ids + [1]
+    found = sorted(packed(spark, [(1, text)]), key=lambda p: p.start)
+    assert [i for p in found for i in np.frombuffer(p.ids, "<u4").tolist()] == expected
+    assert {p.doc_tokens for p in found} == {len(expected)}
+
+
 def test_empty_table(spark):
     assert packed(spark, []) == []

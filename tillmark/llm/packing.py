@@ -137,17 +137,24 @@ def pack(documents: Iterator[tuple[object, np.ndarray]], size: int,
 # ---- tokens ----------------------------------------------------------------------------------
 
 
-def encoder(path: str):
+def encoder(path: str, special: bool = False):
     """A function from a text to its ids, of the byte-level vocabulary in a tokenizer file.
 
     The vocabulary's ids are also its merge order, which is all that the faster library needs.
-    Strings of special tokens in a text are ordinary text. One text at a time, on one thread.
+    With `special`, as in the operator, the file's added tokens in a text get their own ids, as the
+    tokenizers library gives them; without, they are ordinary text. One text at a time, on one
+    thread.
     """
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
         described = json.load(f)
-    special = {t["content"] for t in described.get("added_tokens", ())}
+    added = {t["content"]: t for t in described.get("added_tokens", ())}
+    # What the faster library can't tell apart: tokens that take blanks, or hold one another.
+    odd = [
+        t for t, how in added.items() if how.get("lstrip") or how.get("rstrip")
+        or how.get("single_word") or any(o != t and (o in t or t in o) for o in added)
+    ] if special else []
     # Byte-level vocabularies write a byte as a printable character: itself where it is one, else
     # the next free code point from 256 on.
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -156,25 +163,32 @@ def encoder(path: str):
     ranks = {
         bytes(byte_of[c] for c in token): number
         for token, number in described["model"]["vocab"].items()
-        if token not in special
+        if token not in added
     }
     encoding = tiktoken.Encoding(
-        "documents", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}
+        "documents", pat_str=SPLIT, mergeable_ranks=ranks,
+        special_tokens={t: how["id"] for t, how in added.items()} if special else {},
     )
 
     slow = None
 
-    def ids(text: str) -> np.ndarray:
+    def slowly(text: str) -> np.ndarray:
         nonlocal slow
+        if slow is None:
+            from tokenizers import Tokenizer
+
+            slow = Tokenizer.from_file(path)
+            slow.encode_special_tokens = not special
+        return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def ids(text: str) -> np.ndarray:
+        if any(t in text for t in odd):
+            return slowly(text)
         try:
-            return np.asarray(encoding.encode_to_numpy(text, disallowed_special=()), np.uint32)
+            found = encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=())
+            return np.asarray(found, np.uint32)
         except ValueError:  # a run of about a million blanks is too long for the fast splitter
-            if slow is None:
-                from tokenizers import Tokenizer
-
-                slow = Tokenizer.from_file(path)
-                slow.encode_special_tokens = True
-            return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+            return slowly(text)
 
     return ids
 
@@ -184,7 +198,7 @@ _ENCODERS: dict[str, object] = {}
 
 def _encoder(path: str):
     if path not in _ENCODERS:
-        _ENCODERS[path] = encoder(path)
+        _ENCODERS[path] = encoder(path, special=True)
     return _ENCODERS[path]
 
 
