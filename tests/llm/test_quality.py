@@ -149,3 +149,23 @@ def test_rejected_documents_go(spark):
     kept = quality.keep_good(df, marks)
     assert kept.columns == df.columns
     assert sorted(r.doc_id for r in kept.collect()) == list(range(1, 80, 2))
+
+
+def test_the_sample_is_drawn_from_labelled_documents_that_are_there(spark):
+    df = docs(spark, [(i, GOOD if i % 2 else BAD) for i in range(60)])
+    marks = labels(spark, [(i, i % 2, 0) for i in range(20000)])
+    model = quality.train(df, marks, most=30)
+    assert isinstance(model, quality.Model)
+    verdicts = {r.doc_id: r.score > 0.5 for r in quality.score(df, model).select("row.doc_id", "score").collect()}
+    assert all(verdicts[i] == i % 2 for i in range(60))
+
+
+def test_copies_of_an_id_push_no_document_out(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda bags, y: seen.append((len(bags), sorted(set(y)))))
+    for parts in (1, 3):
+        rows = [(1, f"{GOOD} {i}") for i in range(300)] + [(i, GOOD if i % 2 else BAD) for i in range(2, 40)]
+        df = docs(spark, rows).repartition(parts)
+        quality.train(df, labels(spark, [(i, i % 2, 0) for i in range(1, 40)]), most=60)
+    kept = sum(r.fold != 0 for r in spark.range(1, 40).select(quality.fold(F.col("id")).alias("fold")).collect())
+    assert seen == [(kept, [0.0, 1.0])] * 2

@@ -5,7 +5,8 @@ by what its characters and words look like and encoded by a hidden layer. Gated
 softmax of w . (tanh(V h) * sigmoid(U h)), weights the passages; the weighted sum of their encodings
 is scored by a logistic output. Everything is learned together, from labels of documents alone.
 
-The model is fitted on the driver on a bounded sample, the `SAMPLE` labelled documents whose ids
+The model is fitted on the driver on a bounded sample, those `SAMPLE` of the labelled documents that
+are there whose ids
 hash lowest, with at most `SAMPLE_PASSAGES` evenly spread passages each. Scoring takes every passage
 of every text, in one pass without a shuffle.
 
@@ -232,16 +233,19 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         F.col(doc_id).cast("long").alias("id"), F.col(label).cast("int").alias("quality")
     ).filter((fold(F.col("id")) != 0) & F.col("quality").isin(0, 1) & F.col("id").isNotNull())
     marked = marked.groupBy("id").agg(F.min("quality").alias("quality"))
-    # At most `most` rows of two numbers: their broadcast has a fixed bound.
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    # Of the labelled ids that are there, at most `most` rows of two numbers: their broadcast has a
+    # fixed bound.
+    marked = marked.join(texts.select("id").distinct(), "id", "left_semi")
     chosen = marked.orderBy(F.xxhash64("id"), "id").limit(most)
-    sample = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(
-        F.broadcast(chosen), "id"
-    )
+    # A repeated id stands for one text, the same on each run.
+    sample = texts.join(F.broadcast(chosen), "id").groupBy("id", "quality").agg(
+        F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    ).select("id", "quality", "least.text")
     rows = sample.select("id", "quality", "text").mapInArrow(
         _sampled, "id long, quality int, bag binary"
     )
-    # A repeated id gives several rows; the bound holds for them too.
-    rows = sorted(rows.limit(2 * most).collect())
+    rows = sorted(rows.collect())
     y = np.array([r.quality for r in rows], float)
     if not len(y) or y.min() == y.max():
         return float(y.mean()) if len(y) else 0.5
