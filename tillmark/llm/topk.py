@@ -6,12 +6,15 @@ total of a query is a safe cutoff, since k rows reach it. Phase 2 broadcasts it:
 partial scores all lie under cutoff / lists can't reach the cutoff, so only list entries at or
 above that are sufficient. Phase 3 resolves the totals of those rows exactly and keeps the best.
 
+Both passes compute the partial scores of every row in every list, as nothing keeps lists in order;
+the threshold spares totals, not products.
+
 The lists of a row lie in one task, so totals need no exchange; what leaves a task is at most
 `k` rows per query and list. Queries come in blocks of bounded size, each against all rows.
 
 Defined cases: vectors that are null or hold a null or non-finite component take no part; a
 shorter vector counts as padded with zeros. A query isn't compared with rows of its own id. Of
-several rows with one query id the smallest vector asks. Totals are exact within 64 bits.
+several rows with one query id the smallest vector that takes part asks. Totals are exact within 64 bits.
 """
 
 from __future__ import annotations
@@ -116,15 +119,14 @@ def _heads(queries, k, lists, scale):
         heads = _Entries(k * lists)
         floor = np.iinfo(np.int64).min
         for ids, parts, own in _blocks(batches, queries.value, lists, scale):
-            total = sum(parts)
             chosen = np.zeros(own.shape, bool)
             n = min(k, len(ids))
             for part in parts:
-                part[own] = floor
-                top = np.argpartition(part, len(ids) - n, axis=0)[len(ids) - n:]
+                ranked = np.where(own, floor, part)
+                top = np.argpartition(ranked, len(ids) - n, axis=0)[len(ids) - n:]
                 np.put_along_axis(chosen, top, True, axis=0)
             row, query = np.nonzero(chosen & ~own)
-            heads.add(query, ids[row], total[row, query])
+            heads.add(query, ids[row], sum(part[row, query] for part in parts))
         yield heads.batch()
 
     return run
@@ -141,14 +143,24 @@ def _resolved(queries, cutoffs, k, lists, scale):
             sufficient = parts[0] >= threshold
             for part in parts[1:]:
                 sufficient |= part >= threshold
-            total = sum(parts)
-            row, query = np.nonzero(sufficient & (total >= cutoff) & ~own)
-            found.add(query, ids[row], total[row, query])
+            row, query = np.nonzero(sufficient & ~own)
+            total = sum(part[row, query] for part in parts)
+            keep = total >= cutoff[query]
+            found.add(query[keep], ids[row[keep]], total[keep])
         yield found.batch()
 
     return run
 
 
+def _usable(vector: Column) -> Column:
+    """Whether a vector takes part: null components would be the smallest ones."""
+    def finite(x: Column) -> Column:
+        x = x.cast("double")
+        return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+
+    return F.coalesce(F.forall(vector, finite), F.lit(False))
+
+
 def exact_top_k(vectors: DataFrame, is_query: Column, id: str = "vec_id",
                 vector: str = "embedding", k: int = 5, lists: int = 4, scale: int = 256,
                 block: int = 4096) -> DataFrame:
@@ -163,7 +175,10 @@ def exact_top_k(vectors: DataFrame, is_query: Column, id: str = "vec_id",
         F.col(id).cast("long").alias("id"), F.col(vector).alias("vector"),
         is_query.alias("asks"),
     )
-    asking = rows.filter("asks").groupBy("id").agg(F.min("vector").alias("vector"))
+    asking = (
+        rows.filter("asks").filter(_usable(F.col("vector"))).groupBy("id")
+        .agg(F.min("vector").alias("vector"))
+    )
     blocks = max(1, -(-asking.count() * 2 // block))  # half full, so none is over by chance
     store = Store(spark, "topk")
     out = None
