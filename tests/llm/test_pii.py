@@ -89,6 +89,26 @@ def test_base_spans_stay_beside_added_ones():
     assert added(text) == [("email", "c [at] d [dot] org")]
 
 
+@pytest.mark.parametrize("text,expected", [
+    ("ask john dot doe at example dot com now", [("email", "john dot doe at example dot com")]),
+    ("a dot b dot c at d dot e dot org", [("email", "a dot b dot c at d dot e dot org")]),
+    ("john dot doe [at] example [dot] com", [("email", "john dot doe [at] example [dot] com")]),
+    ("x at y dot org z dot w at v dot net", [("email", "x at y dot org"), ("email", "z dot w at v dot net")]),
+    ("jane@mail.example [dot] com", [("email", "jane@mail.example [dot] com")]),
+    ("plus quatre neuf trois zéro un deux trois quatre cinq six", [
+        ("phone", "plus quatre neuf trois zéro un deux trois quatre cinq six")]),
+    ("plus vier neun drei null eins zwei drei vier FÜNF sechs", [
+        ("phone", "plus vier neun drei null eins zwei drei vier FÜNF sechs")]),
+    ("más cuatro nueve tres cero uno dos tres cuatro cinco seis", [
+        ("phone", "más cuatro nueve tres cero uno dos tres cuatro cinco seis")]),
+    ("jane at mail dot example", [("email", "jane at mail dot example")]),
+])
+def test_disguises_are_found_whole(text, expected):
+    assert added(text) == expected
+    assert base(text) == naive(text)
+    assert pii.redacted(expected[0][1], pii.find(expected[0][1])) == f"[{expected[0][0].upper()}]"
+
+
 @given(st.text(max_size=60), st.data())
 @settings(max_examples=200, deadline=None)
 def test_rewritten_places_map_back(text, data):

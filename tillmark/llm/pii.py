@@ -1,10 +1,10 @@
 """Personal data by offset-preserving deobfuscation.
 
-Identifiers are first sought in a text as it stands (the base spans). Then three transducers
+Identifiers are first sought in a text as it stands (the base spans). Then four transducers
 rewrite it, each keeping for every piece where it came from: look-alike and compatibility
 characters become ASCII and invisible ones vanish; runs of spelled digits become digits; "at" and
-"dot" in disguise become @ and full stops. The same detectors run on the result, and what they
-find is mapped back to the source and added, unless it touches a base span of its kind.
+"dot" in brackets, then bare ones inside of addresses, become @ and full stops. The same detectors run on the result, and what they
+find is mapped back to the source and added, unless a base span of its kind covers it.
 
 All passes are linear in the text's length. Spans count code points, ends exclusive.
 
@@ -175,22 +175,27 @@ def homoglyphs(text: str) -> list[tuple[int, int, str]]:
     return [(a, b, new) for a, b, c in found if (new := plain_character(c)) != c]
 
 
-# Names of the digits.
+# Names of the digits in English, French, German and Spanish, and of the plus sign.
 DIGIT_WORDS = {
-    "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5",
-    "six": "6", "seven": "7", "eight": "8", "nine": "9",
+    name: digit for digit, names in {
+        "0": "zero oh zéro null cero", "1": "one un une eins ein uno una", "2": "two deux zwei zwo dos",
+        "3": "three trois drei tres", "4": "four quatre vier cuatro", "5": "five cinq fünf fuenf cinco",
+        "6": "six sechs seis", "7": "seven sept sieben siete", "8": "eight huit acht ocho",
+        "9": "nine neuf neun nueve",
+    }.items() for name in names.split()
 }
-_NAME = "(?:" + "|".join([*DIGIT_WORDS, "plus"]) + ")"
+PLUS_WORDS = ("plus", "más", "mas")
+_NAME = "(?:" + "|".join([*DIGIT_WORDS, *PLUS_WORDS]) + ")"
 _SPELLED = re.compile(
     rf"(?i)(?<![\w+])(?:{_NAME}|[0-9+]++)(?:[ ,-]{{1,2}}(?:{_NAME}|[0-9]++))+(?!\w)"
 )
-_TOKEN = re.compile(r"(?i)[a-z]+|[0-9+]+")
+_TOKEN = re.compile(r"[^\W\d_]+|[0-9+]+")
 _ANY_NAME = re.compile(rf"(?i)\b{_NAME}[ ,-]{{1,2}}(?:{_NAME}|[0-9])")
 LEAST_SPELLED = 3  # digit words in a run; fewer are prose
 
 
 def spelled_digits(text: str) -> list[tuple[int, int, str]]:
-    """Runs of digit words, mixed with digits or not; a leading "plus" is a plus sign."""
+    """Runs of digit words, mixed with digits or not; "plus" is a plus sign."""
     if not _ANY_NAME.search(text):
         return []
     edits = []
@@ -200,7 +205,7 @@ def spelled_digits(text: str) -> list[tuple[int, int, str]]:
             continue
         for i, token in enumerate(tokens):
             word = token.group().lower()
-            new = "+" if word == "plus" else DIGIT_WORDS.get(word, word)
+            new = "+" if word in PLUS_WORDS else DIGIT_WORDS.get(word, word)
             # With the separator after it, so that the digits meet.
             stop = tokens[i + 1].start() if i + 1 < len(tokens) else token.end()
             edits.append((token.start(), stop, new))
@@ -212,7 +217,11 @@ _AT = r"\s?[\[({<]\s?(?:at|@)\s?[\])}>]\s?"
 _DOT = r"\s?[\[({<]\s?(?:dot|punkt|punto|point|\.)\s?[\])}>]\s?"
 _BRACKETED = re.compile(rf"(?i)(?P<at>{_AT})|(?P<dot>{_DOT})")
 # Domain endings that are no common words, for addresses written as words.
-_ENDINGS = "(?:com|org|net|edu|gov|mil|info|biz|io|co|uk|eu|us|ca|au|de|fr|es|ch|nl|pl|pt|ru|jp|cn|br)"
+_ENDINGS = (
+    "(?:com|org|net|edu|gov|mil|info|biz|io|co|uk|eu|us|ca|au|de|fr|es|ch|nl|pl|pt|ru|jp|cn|br"
+    "|ar|bg|cl|cz|dk|ee|fi|gr|hk|hr|hu|ie|il|ir|kr|kz|lt|lu|lv|mx|nz|ph|ro|rs|sg|sk|th|tr|tw|ua|vn|za"
+    "|aero|coop|mobi|museum|xyz|dev|app|example)"
+)
 _LABELS = r"(?:[a-z0-9-]{1,63}(?: dot |\.)){1,8}"
 # "Meet us at example.com" is prose: a bare "at" needs a spoken dot.
 _SPOKEN_MAIL = re.compile(
@@ -222,12 +231,18 @@ _SPOKEN_DOT = re.compile(r"(?i) dot ")
 _SPOKEN_IP = re.compile(r"(?i)\b[0-9]{1,3}(?: dot [0-9]{1,3}){3}\b")
 
 
-def disguises(text: str) -> list[tuple[int, int, str]]:
-    """[at], (dot) and the like anywhere; bare words only inside what reads as one address."""
-    edits = [
-        (m.start(), m.end(), "@" if m["at"] else ".") for m in _BRACKETED.finditer(text)
-    ] if re.search(r"(?i)[\[({<]\s?(?:at|@|dot|punkt|punto|point|\.)", text) else []
+def bracketed(text: str) -> list[tuple[int, int, str]]:
+    """[at], (dot) and the like anywhere."""
+    if not re.search(r"(?i)[\[({<]\s?(?:at|@|dot|punkt|punto|point|\.)", text):
+        return []
+    return [(m.start(), m.end(), "@" if m["at"] else ".") for m in _BRACKETED.finditer(text)]
+
+
+def spoken(text: str) -> list[tuple[int, int, str]]:
+    """Bare words, only inside what reads as one address."""
+    edits = []
     if " dot " in (lower := text.lower()) or " at " in lower or " @ " in lower:
+        free = 0
         for m in _SPOKEN_MAIL.finditer(text):
             start = m.start() + 1  # of the sign or its disguise
             stop = start + 1
@@ -235,6 +250,16 @@ def disguises(text: str) -> list[tuple[int, int, str]]:
                 stop = text.index(" ", stop) + 1
                 edits.append((start, stop, "@"))
             edits += [(*d.span(), ".") for d in _SPOKEN_DOT.finditer(text, stop, m.end())]
+            # The local part goes back over spoken dots.
+            at = m.start()
+            while at >= free:
+                while at > free and text[at - 1] in _LOCAL:
+                    at -= 1
+                if at - 6 < free or not _SPOKEN_DOT.match(text, at - 5) or text[at - 6] not in _LOCAL:
+                    break
+                edits.append((at - 5, at, "."))
+                at -= 6
+            free = m.end()
         for m in _SPOKEN_IP.finditer(text):
             edits += [(*d.span(), ".") for d in _SPOKEN_DOT.finditer(text, *m.span())]
     out: list[tuple[int, int, str]] = []
@@ -244,7 +269,7 @@ def disguises(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-TRANSDUCERS = (homoglyphs, spelled_digits, disguises)
+TRANSDUCERS = (homoglyphs, spelled_digits, bracketed, spoken)
 
 
 def added_spans(text: str, base: list[Span]) -> list[Span]:
@@ -264,8 +289,9 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
         for step in reversed(steps):
             start, stop = step.back(start, stop)
         near = taken[kind]
-        i = bisect_right(near, (start, stop))
-        if (i == len(near) or near[i][0] >= stop) and (i == 0 or near[i - 1][1] <= start):
+        # Base spans of a kind lie apart, so the last to begin by here is the only one to cover it.
+        i = bisect_right(near, (start, len(text)))
+        if i == 0 or near[i - 1][1] < stop:
             out.append((kind, start, stop))
     return out
 
