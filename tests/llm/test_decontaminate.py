@@ -100,6 +100,19 @@ def test_spans_are_cut_out(spark, most_bytes):
     assert texts[10] == "é   x" and texts[4] == "an ITEM tiny"
 
 
+@pytest.mark.parametrize("most_bytes", [256 << 20, 400])
+def test_items_without_an_id_leave_no_document(spark, most_bytes):
+    rows = [(1, f"x {LONG} y"), (2, "other words"), (3, "tiny item"), (4, "tiny item and clean words")]
+    bench = [(None, LONG), (None, "clean words"), (7, "tiny item"), (8, None), (None, None)]
+    docs, items = frames(spark, rows, bench)
+    kept = decontaminate.remove(docs, items, most_bytes=most_bytes)
+    assert [r.doc_id for r in kept.collect()] == [2]
+    found = decontaminate.report(docs, items, unnamed=True, most_bytes=most_bytes).collect()
+    assert {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in found} == {
+        1: (40, 0, True), 2: (0, 0, False), 3: (2, 1, True), 4: (4, 1, True)}
+    assert run(spark, rows, bench, most_bytes=most_bytes) == brute(rows, bench)
+
+
 def test_hash_collisions_are_told_apart(monkeypatch):
     import numpy as np
 

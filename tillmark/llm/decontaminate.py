@@ -9,7 +9,8 @@ matched window are hit.
 The benchmark's size is taken first; beyond `most_bytes` it goes in blocks of items, each broadcast
 for a pass of its own over a written table, and the hits of the passes are united.
 
-Defined cases: a null text has no words. An item without words, or without an id, matches nothing.
+Defined cases: a null text has no words. An item without words matches nothing. An item without an
+id matches nothing in the report, as in its SQL; for removal its windows are hits without a name.
 A document without words is not contaminated. Repeated items count once by id.
 """
 
@@ -72,9 +73,9 @@ class Index:
     names: list[str]  # item ids as strings
 
 
-def build_index(items: list[tuple[str, bytes]], n: int) -> Index:
+def build_index(items: list[tuple[str | None, bytes]], n: int) -> Index:
     vocabulary: dict[bytes, int] = {}
-    names = sorted({name for name, _ in items})
+    names = sorted({name for name, _ in items if name is not None})
     place = {name: i for i, name in enumerate(names)}
     by_length: dict[int, dict[tuple, set[int]]] = {}
     for name, text in items:
@@ -83,7 +84,9 @@ def build_index(items: list[tuple[str, bytes]], n: int) -> Index:
         if length:
             found = by_length.setdefault(length, {})
             for start in range(len(numbers) - length + 1):
-                found.setdefault(tuple(numbers[start:start + length]), set()).add(place[name])
+                owners = found.setdefault(tuple(numbers[start:start + length]), set())
+                if name is not None:
+                    owners.add(place[name])
     windows = []
     for length, found in by_length.items():
         matrix = np.array(list(found), np.int64).reshape(-1, length)
@@ -166,7 +169,7 @@ def _scan(shared):
         for first, d in zip(firsts, documents):
             numbers[first:first + len(d)] = [get(w, 0) for w in d]
         change = np.zeros(len(numbers) + 1, np.int64)
-        items: list[set[str]] = [set() for _ in documents]
+        items: list[set[str] | None] = [None for _ in documents]  # None: no hit
         windows = {w.length: w for w in index.windows}
         for length, starts, at in matches(index, numbers):
             np.add.at(change, starts, 1)
@@ -175,18 +178,19 @@ def _scan(shared):
             owner = np.searchsorted(firsts, starts, side="right") - 1
             for document, window in set(zip(owner.tolist(), at.tolist())):
                 own = w.items[w.first_item[window]:w.first_item[window + 1]]
+                items[document] = items[document] or set()
                 items[document].update(index.names[i] for i in own)
         hit = np.cumsum(change[:-1]) > 0
         out = []
         for i, (first, count) in enumerate(zip(firsts, counts)):
             found = {"n_words": int(count), "n_hit": 0, "items": [], "spans": []}
-            if items[i]:
+            if items[i] is not None:
                 text = raw[i].decode("utf-8", "replace")
                 found["spans"] = _char_spans(text, hit[first:first + count])
                 found["items"] = sorted(items[i])
                 found["n_hit"] = int(hit[first:first + count].sum())
             old = before[i]
-            if old is not None and old["items"]:  # of an earlier block of items
+            if old is not None and old["n_hit"]:  # of an earlier block of items
                 found["items"] = sorted({*found["items"], *old["items"]})
                 found["spans"] = _united(found["spans"], old["spans"])
                 text = raw[i].decode("utf-8", "replace").translate(_LOWER_TEXT)
@@ -207,10 +211,10 @@ def _scan(shared):
     return run
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, n: int, most_bytes: int):
+def _blocks(benchmark: DataFrame, item_id: str, text: str, n: int, most_bytes: int, unnamed: bool):
     items = benchmark.select(
         F.col(item_id).cast("string").alias("id"), F.col(text).alias("text")
-    ).dropna()
+    ).dropna(subset=["text"] if unnamed else None)
     # A window costs its words' numbers, a hash and a share of the lists.
     size = items.agg(F.sum(F.octet_length("text") * F.lit(n * 2) + F.lit(100))).first()[0] or 0
     blocks = max(1, -(-int(size) // most_bytes))
@@ -222,9 +226,10 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, n: int, most_bytes: i
 
 def match_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                     item_id: str = "item_id", item_text: str = "text", n: int = 13,
-                    most_bytes: int = 256 << 20) -> DataFrame:
+                    most_bytes: int = 256 << 20, unnamed: bool = False) -> DataFrame:
     """`row` (all columns of docs), `text` and `match`: word counts, hit words, item ids in order,
-    and the code points of the hit passages (runs of neighbouring hit words)."""
+    and the code points of the hit passages (runs of neighbouring hit words). With `unnamed`, items
+    without an id count as well; the ids lack only them."""
     spark = docs.sparkSession
     bounded(spark)
     rows = docs.select(
@@ -235,7 +240,9 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text",
         F.lit(None).cast(f"struct<{MATCH}>").alias("match"),
     )
     store = None
-    for number, index in enumerate(_blocks(benchmark, item_id, item_text, n, most_bytes)):
+    for number, index in enumerate(
+        _blocks(benchmark, item_id, item_text, n, most_bytes, unnamed)
+    ):
         if number:  # one pass's memory at a time
             store = store or Store(spark, "benchmark")
             rows = store.hold(rows, f"pass-{number}")
@@ -266,8 +273,8 @@ def report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **opti
 def remove(docs: DataFrame, benchmark: DataFrame, what: str = "documents", text: str = "text",
            **options) -> DataFrame:
     """The documents without contaminated ones, or (`what="spans"`) all with their hit passages
-    cut out, each leaving a space. Columns stay as they are."""
-    found = match_benchmark(docs, benchmark, text=text, **options)
+    cut out, each leaving a space. Columns stay as they are. Items without an id count."""
+    found = match_benchmark(docs, benchmark, text=text, **{"unnamed": True, **options})
     if what == "documents":
         kept, cleaned = found.filter(~is_contaminated()), F.col("text")
     elif what == "spans":
