@@ -57,6 +57,19 @@ def test_least_size(spark):
     assert sorted(map(tuple, found.collect()), key=repr) == brute(ROWS, 5)
 
 
+def test_archives_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 640_000, raising=False)
+    rows = [(i, "http://a", f"{i} " * (i * 60)) for i in range(250)] + [(900, "u", "x" * 700_000)]
+    rows += [(i + 300, "http://a", "same " * 4000) for i in range(40)]
+    store = Store(spark, "test")
+    warc.write_archives(frame(spark, rows), store.path("archives"), store, records_per_file=64)
+    for f in spark.read.format("binaryFile").load(store.path("archives")).collect():
+        blocks = [len(block) for _, block in warc.records(bytes(f.content))]
+        assert len(blocks) == 1 or sum(blocks) <= 640_000 and len(blocks) <= 64
+    found = warc.resolve(warc.read_archives(spark, store.path("archives")))
+    assert sorted(map(tuple, found.collect()), key=repr) == brute(rows)
+
+
 def test_empty_table(spark):
     assert warc.archive_pages(frame(spark, [])).collect() == []
 

@@ -93,11 +93,21 @@ def revisits(pages: DataFrame, store: Store, page_id: str = "page_id", url: str
     )
 
 
+FILE_BYTES = 64 << 20  # of an archive, about; one record may be larger
+
+
+def _file_sizes(most_records: int) -> list[tuple[int, int | None]]:
+    """(records per file, most bytes of a record in it) of archives for small and larger records."""
+    counts = sorted({max(1, most_records // n) for n in (1, 8, 64)} | {1}, reverse=True)
+    return [(n, FILE_BYTES // n if n > 1 else None) for n in counts]
+
+
 def write_archives(pages: DataFrame, path: str, store: Store, page_id: str = "page_id",
                    url: str = "url", payload: str = "html", least_bytes: int = 0,
                    date: str = "2024-01-01T00:00:00Z", records_per_file: int = 1000) -> None:
     """One record per page. Payloads move only if the revisits are too many for Spark to broadcast
-    by their measured size."""
+    by their measured size. Archives hold `records_per_file` records at most and about `FILE_BYTES`:
+    larger records go to archives of fewer, in a pass of their own, if there are any."""
     marks = revisits(pages, store, page_id, url, payload, least_bytes)
     body = F.coalesce(F.col("body"), F.lit(""))
     # A repeated id may have several payloads, so the digest is part of the key.
@@ -129,13 +139,26 @@ def write_archives(pages: DataFrame, path: str, store: Store, page_id: str = "pa
         _field("Content-Length", F.octet_length(block)),
         F.lit(CRLF), block,
     )
-    (
-        rows.select(record.alias("value"))
-        .write.mode("overwrite")
-        .option("lineSep", RECORD_END)
-        .option("maxRecordsPerFile", records_per_file)
-        .text(path)
-    )
+    size = F.octet_length(body) + F.octet_length(F.coalesce(F.col("url"), F.lit("")))
+    sizes = _file_sizes(records_per_file)
+    largest = pages.select(F.col(url).alias("url"), F.col(payload).alias("body")).agg(
+        F.max(size)
+    ).first()[0] or 0
+    least = -1  # bytes of the records written so far
+    for count, most in sizes:
+        if least >= largest and least >= 0:
+            break
+        part = rows if least < 0 else rows.filter(size > least)
+        if most is not None and most < largest:
+            part = part.filter(size <= most)
+        (
+            part.select(record.alias("value"))
+            .write.mode("overwrite" if least < 0 else "append")
+            .option("lineSep", RECORD_END)
+            .option("maxRecordsPerFile", count)
+            .text(path)
+        )
+        least = largest if most is None else most
 
 
 # ---- reading ---------------------------------------------------------------------------------
