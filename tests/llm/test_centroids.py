@@ -1,0 +1,115 @@
+import hashlib
+
+import numpy as np
+import pytest
+
+from tillmark.llm import centroids
+
+SCHEMA = "vec_id long, embedding array<double>, cluster string, distance string, vector int, id int"
+
+
+def frame(spark, rows, parts=3):
+    return spark.createDataFrame(
+        [(i, v, "c", "d", 1, 2) for i, v in rows], SCHEMA
+    ).repartition(parts)
+
+
+def brute(rows, width, scale, k, rounds):
+    """Plain integers, all distances from scratch."""
+    kept = [
+        (i, [int(np.floor(scale * x)) for x in v]) for i, v in rows
+        if v is not None and len(v) == width and all(x is not None and np.isfinite(x) for x in v)
+    ]
+
+    def code(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    seeded = sorted((code(f"1:{i}"), v) for i, v in kept if i is not None)[:k]
+    middle = [v for _, v in seeded]
+
+    def assign():
+        found = []
+        for i, v in kept:
+            far = [sum((a - b) ** 2 for a, b in zip(v, c)) for c in middle]
+            best = min(range(len(far)), key=lambda c: (far[c], c))
+            found.append((i, v, best, far[best]))
+        return found
+
+    for _ in range(rounds):
+        found = assign()
+        for c in range(len(middle)):
+            own = [v for _, v, best, _ in found if best == c]
+            if own:
+                middle[c] = [sum(x) // len(own) for x in zip(*own)]
+    found = assign() if middle else []
+    whole = sum(d for *_, d in found)
+    return sorted(
+        (i is not None, i or 0, c, d, sum(e for *_, b, e in found if b == c), whole,
+         code(",".join(map(str, middle[c]))))
+        for i, _, c, d in found
+    )
+
+
+def got(df):
+    return sorted(
+        (r.vec_id is not None, r.vec_id or 0, r.cluster, r.distance, r.cluster_inertia, r.inertia,
+         r.centroid_sha256)
+        for r in df.collect()
+    )
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_equals_brute_force(spark, seed):
+    random = np.random.default_rng(seed)
+    rows = [(i, random.normal(size=8).round(2).tolist()) for i in range(300)]
+    found = centroids.report(frame(spark, rows), width=8, k=5, rounds=4)
+    assert got(found) == brute(rows, 8, 64, 5, 4)
+
+
+def test_odd_rows(spark):
+    """Nulls, other widths, repeated ids and vectors, and one group that holds most rows."""
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, None), (2, []), (3, [1.0]), (4, [1.0, None]), (5, [nan, 1.0]), (6, [inf, 1.0]),
+        (7, [1.0, 2.0, 3.0]), (None, [0.5, 0.5]), (8, [-0.01, 0.0]), (8, [3.0, 3.0]), (9, [-2.0, 5.0]),
+        *[(10, [0.25, 0.25])] * 40, (11, [0.25, 0.25]), (12, [100.0, -100.0]),
+    ]
+    for k in (1, 3, 16):
+        found = centroids.report(frame(spark, rows), width=2, k=k)
+        assert got(found) == brute(rows, 2, 64, k, 3)
+
+
+def test_nothing_to_cluster(spark):
+    for rows in ([], [(1, None), (2, [1.0])], [(None, [1.0, 2.0])]):
+        found = centroids.report(frame(spark, rows), width=2)
+        assert found.collect() == []
+        assert found.columns[:3] == ["vec_id", "cluster", "distance"]
+
+
+def test_values_beyond_exact_distances_are_an_error(spark):
+    with pytest.raises(Exception, match="beyond"):
+        centroids.report(frame(spark, [(1, [1e30, 0.0])]), width=2)
+
+
+def test_large_values_stay_exact(spark):
+    random = np.random.default_rng(7)
+    rows = [(i, (random.integers(-(2**27), 2**27, 4) / 64).tolist()) for i in range(60)]
+    assert got(centroids.report(frame(spark, rows), width=4, k=4)) == brute(rows, 4, 64, 4, 3)
+
+
+def test_a_round_multiplies_changed_components_only(monkeypatch):
+    random = np.random.default_rng(1)
+    vectors = random.integers(-99, 99, (50, 6))
+    before = random.integers(-99, 99, (4, 6))
+    after = before.copy()
+    after[1, 2] += 3
+    after[3, [0, 5]] -= 7
+    moves = centroids.changes(before, after)
+    assert [(c, p.tolist(), b.tolist()) for c, p, b in moves] == [(1, [2], [3]), (3, [0, 5], [-7, -7])]
+    widths = []
+    product = centroids.product
+    monkeypatch.setattr(
+        centroids, "product", lambda a, b: (widths.append(a.shape[1]), product(a, b))[1]
+    )
+    dots = centroids.moved_dots(vectors, vectors @ before.T, moves)
+    assert (dots == vectors @ after.T).all() and widths == [1, 2]
