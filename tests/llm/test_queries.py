@@ -24,7 +24,8 @@ def database():
 def test_names():
     assert list(QUERIES) == [
         "op1_topk", "op2_sharding", "op3_packing", "op4_decontaminate", "op5_html_text", "op6_pii",
-        "op7_warc", "op8_near_dup", "op9_quality", "op10_url_rules", "pipeline",
+        "op7_warc", "op8_near_dup", "op9_quality", "op10_url_rules", "op11_centroids", "op12_lexical",
+        "op13_line_dedup", "pipeline",
     ]
     assert set(SQL) <= set(QUERIES)
 

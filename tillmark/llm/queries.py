@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.llm import (
+    centroids,
     decontaminate,
     html_text,
+    lexical,
+    line_dedup,
     near_dup,
     packing,
     pii,
@@ -91,12 +94,26 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(
+        table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), k=10
+    )
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"), least_docs=10, least_chars=1)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     own = [
         op1_topk, op2_sharding, op3_packing, op4_decontaminate, op5_html_text, op6_pii, op7_warc,
-        op8_near_dup, op9_quality, op10_url_rules,
+        op8_near_dup, op9_quality, op10_url_rules, op11_centroids, op12_lexical, op13_line_dedup,
     ]
     return {f.__name__: _shipped(f) for f in own} | {"pipeline": corpus_pipeline.run}
 
@@ -233,6 +250,95 @@ WITH urls AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fitting WHERE place = 1
 """
 
+CENTROIDS_ROUND = """, a{n} AS MATERIALIZED (
+    SELECT row_, vec_id, v, min([d, c]) AS best
+    FROM (SELECT k.*, c.c, (list_inner_product(k.v, k.v) - 2 * list_inner_product(k.v, c.v)
+                            + list_inner_product(c.v, c.v))::BIGINT AS d
+          FROM kept k, c{n} c)
+    GROUP BY row_, vec_id, v
+), c{next} AS MATERIALIZED (
+    SELECT c, coalesce(m, v) AS v
+    FROM c{n} LEFT JOIN (
+        SELECT c, list(x ORDER BY i) AS m
+        FROM (SELECT c, i, floor(sum(x) / count(*)) AS x
+              FROM (SELECT best[2] AS c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{n})
+              GROUP BY c, i)
+        GROUP BY c) USING (c)
+)"""
+
+CENTROIDS_SQL = (
+    """
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_, vec_id,
+           list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) = 64
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR), v) - 1 AS c, v
+    FROM kept WHERE vec_id IS NOT NULL QUALIFY c < 16
+)"""
+    + "".join(CENTROIDS_ROUND.format(n=n, next=n + 1) for n in range(4))
+    + """
+SELECT vec_id, best[2]::INTEGER AS cluster, best[1] AS distance,
+       (sum(best[1]) OVER (PARTITION BY best[2]))::BIGINT AS cluster_inertia,
+       (sum(best[1]) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(list_transform(c3.v, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a3 JOIN c3 ON c3.c = best[2]
+"""
+)
+
+LEXICAL_SQL = r"""
+WITH words AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '(?:[0-9a-z]|[^\x00-\x7F])+') AS w
+    FROM documents
+), totals AS MATERIALIZED (
+    SELECT count(*) AS docs, sum(len(w))::BIGINT AS terms FROM words WHERE len(w) > 0
+), tf AS MATERIALIZED (
+    SELECT row_, doc_id, n, t, count(*) AS tf
+    FROM (SELECT row_, doc_id, len(w)::BIGINT AS n, unnest(w) AS t FROM words)
+    GROUP BY row_, doc_id, n, t
+), weights AS MATERIALIZED (
+    SELECT t, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+    FROM tf, totals GROUP BY t
+), asked AS (
+    SELECT item_id, t, count(*) AS times
+    FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz'), '(?:[0-9a-z]|[^\x00-\x7F])+')) AS t FROM benchmark)
+    GROUP BY item_id, t
+), scored AS (
+    SELECT item_id, row_, doc_id, sum(times * weight * ((1000000000 * tf)
+               // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))))::BIGINT AS score
+    FROM asked JOIN tf USING (t) JOIN weights USING (t), totals
+    GROUP BY item_id, row_, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank,
+       doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+LINES_SQL = r"""
+WITH split_ AS MATERIALIZED (
+    SELECT row_, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place
+    FROM (SELECT row_number() OVER () AS row_, doc_id,
+                 string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
+), keyed AS MATERIALIZED (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM split_
+), repeated AS (
+    SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT row_) >= 10
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(r.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (r.key IS NULL), ''))
+           AS kept_sha256
+FROM keyed LEFT JOIN repeated r ON r.key = keyed.key
+GROUP BY row_
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -241,4 +347,7 @@ def oracle_sql() -> dict[str, str]:
         "op7_warc": WARC_SQL,
         "op8_near_dup": NEAR_DUP_SQL,
         "op10_url_rules": URL_RULES_SQL,
+        "op11_centroids": CENTROIDS_SQL,
+        "op12_lexical": LEXICAL_SQL,
+        "op13_line_dedup": LINES_SQL,
     }
