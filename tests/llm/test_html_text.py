@@ -1,3 +1,4 @@
+import random
 import time
 
 import pytest
@@ -55,6 +56,153 @@ def test_article_wins_over_a_little_more_text_beside_it():
     assert main_text(page) == "One, two, three."
 
 
+PROSE = "A sentence, with a comma or two, that goes on for quite a while before it ends. " * 11
+AROUND = {
+    "sidebar": "<div class=sidebar><p>Other, pages, of, this, site</p></div>",
+    "menu": "<div id=mainMenu><p>Home, about, news</p></div>",
+    "comments": "<div class='comment-list'><p>Yes, indeed, so, it, is</p></div>",
+    "search": "<form action=/s><p>Search, all, of, it</p><input name=q><button>Go</button></form>",
+}
+
+
+@pytest.mark.parametrize("wrapper", [
+    "<div class='layout has-sidebar'>{}</div>", "<div id=page class='site header-fixed'>{}</div>",
+    "<div class='social-science'>{}</div>", "<div class='no-comments'>{}</div>",
+    "<form id=aspnetForm><input type=hidden name=a><input type=hidden name=b>{}</form>",
+    "<div class=header>{}</div>", "<div id=comments-open><section class=menu>{}</section></div>",
+    "<body class='with-sidebar'><form class=search><input name=q>{}</form>",
+])
+@pytest.mark.parametrize("body", [
+    "<article><h1>Title</h1><p>{}</p></article>", "<h1>Title</h1><p>{}</p>",
+    "<div class=post><h1>Title</h1><div><p>{}</p></div></div>",
+])
+def test_no_page_is_lost_by_a_name(wrapper, body):
+    text = f"Title {PROSE.strip()}"
+    inner = body.format(PROSE)
+    assert main_text(wrapper.format(inner)) == text
+    for part in AROUND.values():
+        if "<article>" not in body and "<div class=post>" not in body:
+            continue  # without a container of its own there is nothing to tell them apart by
+        assert main_text(wrapper.format(part + inner)) == text
+        assert main_text(wrapper.format(inner + part)) == text
+
+
+def test_long_comments_do_not_beat_a_short_article():
+    comments = "<p>I, too, think, so, and, so, on, and, on, really, yes, I, do</p>" * 5
+    page = f"<div class=post><p>{PROSE[:160]}</p></div><div id=comments>{comments}</div>"
+    assert main_text(page) == PROSE[:160].strip()
+
+
+@pytest.mark.parametrize("name,part", [
+    ("sidebar", True), ("sidebar-left", True), ("siteNav", True), ("ad-slot", True), ("ad-300x250", True),
+    ("cookie-banner", True), ("post-comments", True), ("comment-list", True), ("share_buttons", True),
+    ("has-sidebar", False), ("no-comments", False), ("header-fixed", False), ("social-science", False),
+    ("comments-open", False), ("badge", False), ("", False), ("related-work", False),
+])
+def test_names_of_parts(name, part):
+    assert html_text._part(html_text._words(name)) is part
+
+
+def test_forms_count_by_their_fields():
+    form = "<form><p>Name, address, telephone</p>{}</form>"
+    beside = f"<div><p>{PROSE}</p></div>"
+    assert "Name" not in main_text(form.format("<input name=q>") + beside)
+    assert main_text(form.format("<input name=q>")) == ""
+    assert main_text(form.format("<input type='hidden'>")) == "Name, address, telephone"
+    long = f"<form><p>{PROSE}</p><input name=q></form>"
+    assert main_text(long) == PROSE.strip()
+    assert main_text(long.replace("<input name=q>", "<input name=q>" * 20)) == ""
+
+
+def page_of(draw, depth=0):
+    """A random page of wanted and unwanted parts."""
+    tags = ["div", "div", "section", "p", "span", "a", "ul", "article", "main", "nav", "form"]
+    names = ["", "", "", " class=menu", " class='post has-menu'", " id=comments", " class=box"]
+    parts = []
+    for _ in range(draw.randint(1, 4)):
+        if depth > 5 or draw.random() < 0.4:
+            parts.append(" ".join(draw.choice(["word", "longer words", "a, b", "x"]) for _ in range(draw.randint(1, 30))))
+        else:
+            tag = draw.choice(tags)
+            field = "<input name=q>" if draw.random() < 0.1 else ""
+            parts.append(f"<{tag}{draw.choice(names)}>{field}{page_of(draw, depth + 1)}</{tag}>")
+    return "".join(parts)
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_scores_equal_plain_recursion(seed):
+    """Names, points, links and sums of every element by their definitions, one element at a time."""
+    draw = random.Random(seed)
+    page = page_of(draw)
+    if seed % 2:
+        page = page.replace("article", "div").replace("main", "div")
+    root = html_text.parse(page)
+    hard = {id(e) for e in every(root) if e.unwanted}
+
+    def text(e):
+        """Characters outside of links."""
+        linked = any(a.tag == "a" for a in up(e, None))
+        return sum(
+            (0 if linked else len(c.strip())) if isinstance(c, str)
+            else 0 if id(c) in hard else text(c) for c in e.children
+        )
+
+    def inside(e):
+        return [c for c in every(e) if c is not e and not any(id(a) in hard for a in up(c, e))]
+
+    page_text, gone, weight = text(root), set(hard), {}
+    for e in every(root):
+        semantic = any(c.tag in ("article", "main") and not c.named for c in inside(e))
+        if id(e) in hard or any(id(a) in hard for a in up(e, None)) or semantic:
+            continue
+        fields = sum(c.field for c in every(e) if c is not e and not any(
+            id(a) in hard for a in up(c.parent, e)))
+        if e.named:
+            if text(e) > page_text * (0.95 if e.named > 0.9 else 0.5):
+                weight[id(e)] = 0.1
+            else:
+                gone.add(id(e))
+        elif e.tag == "form" and fields and text(e) < fields * (200 if 2 * text(e) > page_text else 1000):
+            gone.add(id(e))
+    html_text.judge(root)
+    assert {id(e) for e in every(root) if e.unwanted} == gone
+
+    found = html_text.blocks(root)
+    html_text.score(found)
+    for e in every(root):
+        score = whole = chars = linked = 0
+        for b in found:
+            near = b.holder.parent or b.holder if b.holder.tag in html_text.PARAGRAPHS else b.holder
+            above = [near, *up(near, None)[1:]]
+            if b.dropped or e not in above:
+                continue
+            points = 1 + b.text.count(",") + min(len(b.text) / 100, 3)
+            for a in above:
+                points *= weight.get(id(a), 1)
+            articles = [a for a in above if a.tag == "article"] or [a for a in above if a.tag == "main"]
+            level = above.index(e)
+            less = 1 if level == 0 or articles and articles[-1] is e else 2 if level == 1 else 3 * level
+            score += points / less
+            whole += points * (1 - b.linked / len(b.text))
+            chars += len(b.text)
+            linked += b.linked
+        assert (e.chars, e.linked) == (chars, linked)
+        assert e.score == pytest.approx(score) and e.whole == pytest.approx(whole)
+
+
+def every(element):
+    return [element] + [x for c in element.children if not isinstance(c, str) for x in every(c)]
+
+
+def up(element, top):
+    """The element and its ancestors below `top`."""
+    found = []
+    while element is not None and element is not top:
+        found.append(element)
+        element = element.parent
+    return found
+
+
 PARTS = ["Text, that, goes, on.", "More.", "A, b, c, d, e, f, g, h, i, j, k, l, m, n, o.",
          "Words without any comma that go on for a while, or two.", "The end, of, it."]
 

@@ -10,12 +10,21 @@ between, and kept together with those siblings that score well or read like pros
 container everything stays but what by tag, role or name is a menu, header, footer, sidebar, notice,
 advert, form or comment, and lists of links in a container that was lifted to.
 
+Tags and roles drop an element with all it holds. A class or id does so only if one of its names is
+that of such a part (`site-header` and `sidebar-left`, but neither `has-sidebar` nor `header-fixed`),
+and never if the element holds an article or main, or more than half of the page's text outside links
+(nearly all of it, if it is named for comments, which are often longer than their article): then it
+stays, and what lies in it counts a tenth.
+A form is one by its fields: with none, or with much text to each, it is a wrapper like others.
+
 White space within a block is one space; blocks follow in page order, joined by one space.
 
 The parser takes any input: unclosed, misnested and unknown tags, and documents that break off. It
 is linear in the page: elements nested deeper than `DEEPEST`, as in browsers, become siblings.
 
-Defined cases: a null page is an empty one and has an empty text; so has a page without blocks.
+Defined cases: a null page is an empty one and has an empty text; so has a page without blocks. Very
+long pages are read whole. Repeated rows give repeated rows, an empty table none. Other columns stay as
+they are, but one of the text's name is replaced.
 """
 
 from __future__ import annotations
@@ -39,9 +48,10 @@ INLINE = frozenset(
     " s samp small span strike strong sub sup time tt u var wbr".split()
 )
 DROPPED = frozenset(
-    "head nav header footer aside form button select option menu dialog fieldset input object"
+    "head nav header footer aside button select option menu dialog fieldset input object"
     " audio video canvas map".split()
 ) | RAW
+FIELDS = frozenset("input select textarea button".split())
 KEPT_CONTAINERS = frozenset(("article", "main", "body", "html"))
 # An open element that a new one of these closes.
 CLOSES = {
@@ -61,7 +71,7 @@ UNWANTED_ROLES = frozenset(
     "navigation banner contentinfo complementary search menu menubar dialog alert alertdialog"
     " form toolbar".split()
 )
-# Words of class names and ids, split at anything but letters.
+# Names that say what a part of a page is, and words that may follow one in a class or id.
 UNWANTED_WORDS = frozenset(
     "ad ads adsense adslot advert adverts advertisement advertising banner sponsor sponsored promo"
     " promotion nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer"
@@ -70,6 +80,16 @@ UNWANTED_WORDS = frozenset(
     " subscribe subscription signup login share sharing social related recommended recommendations"
     " pagination pager form search toolbar skip tags".split()
 )
+COMMENT_WORDS = frozenset("comment comments disqus respond reply replies discussion".split())
+PART_WORDS = frozenset(
+    "area bar body bottom box button buttons column container content field footer header icons inner"
+    " item items left link links list main outer panel right section slot text thread title top unit"
+    " wrap wrapper".split()
+)
+# A name that begins so tells of a page's state: it holds no such part, or more than one.
+STATES = frozenset("has have with without no not is hide hides show shows".split())
+
+MOST, NEARLY_ALL = 0.5, 0.95  # of a page's text outside links
 
 # ---- parser ----------------------------------------------------------------------------------
 
@@ -82,6 +102,7 @@ _MARKUP = re.compile(
 _ATTRIBUTE = re.compile(r"(?i)(?<![\w-])(class|id|role|hidden|aria-hidden|style)\s*"
                         r"(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _LETTERS = re.compile(r"[a-z]+")
+_NO_FIELD = re.compile(r"(?i)(?<![\w-])type\s*=\s*[\"']?hidden")
 _HIDDEN = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden")
 
 
@@ -89,12 +110,18 @@ DEEPEST = 512  # the limit that browsers have
 
 
 class Element:
-    __slots__ = ("tag", "parent", "children", "unwanted", "score", "whole", "chars", "linked")
+    __slots__ = (
+        "tag", "parent", "children", "unwanted", "named", "field", "weight", "score", "whole", "chars",
+        "linked",
+    )
 
-    def __init__(self, tag: str, parent: Element | None, unwanted: bool):
-        self.tag, self.parent, self.unwanted = tag, parent, unwanted
+    def __init__(self, tag: str, parent: Element | None, rest: str = ""):
+        self.tag, self.parent = tag, parent
+        self.unwanted = _unwanted(tag, rest)
+        self.named = 0.0 if self.unwanted else _named(tag, rest)
+        self.field = tag in FIELDS and not _NO_FIELD.search(rest)
         self.children: list[Element | str] = []
-        self.score, self.whole, self.chars, self.linked = 0.0, 0.0, 0, 0
+        self.weight, self.score, self.whole, self.chars, self.linked = 1.0, 0.0, 0.0, 0, 0
 
 
 def _words(name: str) -> list[str]:
@@ -103,9 +130,10 @@ def _words(name: str) -> list[str]:
 
 
 def _unwanted(tag: str, rest: str) -> bool:
+    """Whether tag, role or style drop an element with all it holds."""
     if tag in DROPPED:
         return True
-    if not rest or tag in KEPT_CONTAINERS and "comment" not in rest.lower():
+    if not rest or tag in KEPT_CONTAINERS:
         return False
     for name, *values in _ATTRIBUTE.findall(rest):
         name, value = name.lower(), "".join(values)
@@ -115,13 +143,37 @@ def _unwanted(tag: str, rest: str) -> bool:
             return True
         if name == "role" and value.strip().lower() in UNWANTED_ROLES:
             return True
-        if name in ("class", "id") and not UNWANTED_WORDS.isdisjoint(_words(value)):
-            return True
     return False
 
 
+def _named(tag: str, rest: str) -> float:
+    """The share of a page's text that an element must hold to stay although a class or id says that
+    it is an unwanted part; 0 if none does."""
+    if not rest or tag in KEPT_CONTAINERS and "comment" not in rest.lower():
+        return 0.0
+    parts = [
+        words
+        for name, *values in _ATTRIBUTE.findall(rest) if name.lower() in ("class", "id")
+        for token in "".join(values).split() if _part(words := _words(token))
+    ]
+    if not parts:
+        return 0.0
+    return MOST if all(COMMENT_WORDS.isdisjoint(words) for words in parts) else NEARLY_ALL
+
+
+def _part(words: list[str]) -> bool:
+    if not words or words[0] in STATES:
+        return False
+    if words[-1] in UNWANTED_WORDS:
+        return True
+    first = next((i for i, w in enumerate(words) if w in UNWANTED_WORDS), None)
+    return first is not None and all(
+        w in PART_WORDS or w in UNWANTED_WORDS or len(w) == 1 for w in words[first:]
+    )
+
+
 def parse(page: str) -> Element:
-    root = Element("html", None, False)
+    root = Element("html", None)
     now, depth_of = root, {"html": 1}  # open elements by tag
     at = depth = 0
 
@@ -147,7 +199,7 @@ def parse(page: str) -> Element:
             continue
         if m["close"] or m["close2"]:
             if tag == "br":
-                now.children.append(Element("br", now, False))
+                now.children.append(Element("br", now))
             elif tag != "html" and depth_of.get(tag) and _within_reach(now, tag):
                 close(tag)
             continue
@@ -158,7 +210,7 @@ def parse(page: str) -> Element:
                 close(other)
         if tag in ENDS_PARAGRAPH and depth_of.get("p") and _within_reach(now, "p"):
             close("p")
-        element = Element(tag, now, _unwanted(tag, m["rest"] or ""))
+        element = Element(tag, now, m["rest"] or "")
         now.children.append(element)
         if tag in RAW:  # no markup inside
             end = _end_of(page, tag, at)
@@ -190,6 +242,48 @@ def _end_of(page: str, tag: str, at: int) -> int:
     return m.end() if m else len(page)
 
 
+# ---- parts by name ---------------------------------------------------------------------------
+
+PER_FIELD, WHATEVER_ELSE = 200, 1000  # characters to a field that make a form a wrapper
+NAMED_WEIGHT = 0.1
+
+
+def judge(root: Element) -> None:
+    """Drops the elements that by name, or as a form, are unwanted parts. `chars` is for this while
+    the text outside of links."""
+    order, stack = [], [(root, False)]
+    while stack:
+        element, in_link = stack.pop()
+        in_link = in_link or element.tag == "a"
+        order.append(element)
+        for child in () if element.unwanted else element.children:
+            if isinstance(child, str):
+                element.chars += 0 if in_link else len(child.strip())
+            elif not child.unwanted or child.field:
+                stack.append((child, in_link))
+    fields: dict[int, int] = {}
+    holds: set[int] = set()  # elements with an article or main inside
+    for element in reversed(order):
+        above = element.parent
+        if above is not None:
+            above.chars += element.chars
+            n = fields.get(id(element), 0) + element.field
+            if n:
+                fields[id(above)] = fields.get(id(above), 0) + n
+            if id(element) in holds or element.tag in SEMANTIC and not element.named:
+                holds.add(id(above))
+    for element in order:
+        if id(element) not in holds:
+            if element.named:
+                element.unwanted = element.chars <= element.named * root.chars
+                element.weight = NAMED_WEIGHT
+            elif element.tag == "form" and (n := fields.get(id(element))):
+                most = element.chars > MOST * root.chars
+                element.unwanted = element.chars < n * (PER_FIELD if most else WHATEVER_ELSE)
+    for element in order:
+        element.chars = 0
+
+
 # ---- blocks and scores -----------------------------------------------------------------------
 
 
@@ -293,6 +387,8 @@ def score(found: list[Block]) -> None:
         sums[4] += points * (1 - block.linked / len(block.text))
     for near, points, chars, linked, unlinked in at.values():
         semantic = _semantic(near)
+        for ancestor in _ancestors(near):
+            points, unlinked = points * ancestor.weight, unlinked * ancestor.weight
         for level, ancestor in enumerate(_ancestors(near)):
             ancestor.chars += chars
             ancestor.linked += linked
@@ -422,7 +518,9 @@ def main_containers(found: list[Block]) -> tuple[list[Element], list[Element]]:
 
 
 def main_text(page: str) -> str:
-    found = blocks(parse(page))
+    root = parse(page)
+    judge(root)
+    found = blocks(root)
     containers, left_out = main_containers(found)
     kept = {id(e) for e in containers}
     if not kept:
