@@ -1,8 +1,10 @@
 import re
+from collections import Counter
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from tests.conftest import by, frame, rows
 from tillmark.operators.incremental import (
@@ -10,15 +12,22 @@ from tillmark.operators.incremental import (
     items_after,
     latest_day,
     orders_after,
+    orders_since,
     silver_delta,
     upsert_by_key,
 )
 from tillmark.operators.silver import by_month
-from tillmark.sources import tables
-from tillmark.sources.paths import remove_path
-from tillmark.sources.tables import merge_table, read_table, table_schema
+from tillmark.sources import paths, published, tables
+from tillmark.sources.tables import (
+    append_partitions,
+    merge_table,
+    read_table,
+    replace_table,
+    table_schema,
+)
 
 ORDERS = "order_id string, order_date date"
+PARTITIONS = ("order_year", "order_month")
 
 
 @pytest.fixture
@@ -42,6 +51,19 @@ def test_without_a_mark_everything_is_loaded(orders):
     assert ids(orders_after(orders, None)) == ["a", "b", "c", "d"]
 
 
+def test_the_marks_own_day_may_grow(spark, orders):
+    more = orders.unionByName(spark.createDataFrame(
+        [("late", date(2024, 3, 2)), ("older", date(2024, 3, 1)), (None, date(2024, 3, 2)),
+         (None, date(2024, 3, 4))], ORDERS))
+    loaded = orders.filter("order_id = 'b'")
+    assert ids(orders_since(more, "2024-03-02", loaded)) == ["None", "c", "late"]
+    assert ids(orders_since(more, date(2024, 3, 2), loaded.limit(0))) == ["None", "b", "c", "late"]
+    assert orders_since(more, None, loaded).count() == 8
+    # a load of its own takes nothing more
+    again = loaded.unionByName(more.filter("order_id = 'late'"))
+    assert ids(orders_since(more, "2024-03-02", again)) == ["None", "c"]
+
+
 def test_items_follow_their_order(spark, orders):
     items = spark.createDataFrame(
         [("1", "a"), ("2", "c"), ("3", "zz"), ("4", None), ("5", "d")],
@@ -112,7 +134,7 @@ def stored(spark, path):
 
 
 def data_files(path):
-    return sorted(str(p) for p in path.glob("order_year=*/order_month=*/*.parquet"))
+    return sorted(str(p) for p in path.glob("written=*/order_year=*/order_month=*/*.parquet"))
 
 
 def test_merge_appends_without_rewriting(spark, tmp_path):
@@ -176,55 +198,146 @@ def test_merge_matches_the_plain_upsert(spark, tmp_path):
     assert stored(spark, path) == expected
 
 
-def test_merge_survives_a_rewrite_that_broke_off(spark, tmp_path, monkeypatch):
+class Lost(Exception):
+    """The run is lost."""
+
+
+def lost_at(monkeypatch, step, half):
+    """The run is lost at its n-th change to storage, before it or after it; returns the counter."""
+    seen = {"changes": 0}
+
+    def counting(change):
+        def run(*arguments, **options):
+            seen["changes"] += 1
+            if seen["changes"] == step and half == "before":
+                raise Lost
+            result = change(*arguments, **options)
+            if seen["changes"] == step and half == "after":
+                raise Lost
+            return result
+
+        return run
+
+    for owner, name in [
+        (DataFrameWriter, "parquet"), (published, "publish_text"), (published, "remove_path"),
+        (tables, "remove_path"), (paths, "move"),
+    ]:
+        monkeypatch.setattr(owner, name, counting(getattr(owner, name)))
+    return seen
+
+
+@pytest.mark.parametrize("half", ["before", "after"])
+def test_a_merge_lost_anywhere_leaves_the_old_table_or_the_new_one(spark, tmp_path, monkeypatch, half):
+    """The key moves to another month, its old month is left without rows; another key is new."""
+    batch = table(spark, ("a", 2, 2024, 2), ("d", 2, 2024, 3))
+    old = [("a", 1, 2024, 1), ("b", 1, 2024, 2)]
+    new = [("a", 2, 2024, 2), ("b", 1, 2024, 2), ("d", 2, 2024, 3)]
+    for step in range(1, 99):
+        path = str(tmp_path / f"t{step}")
+        merge_table(spark, path, table(spark, *old))
+        with monkeypatch.context() as m:
+            seen = lost_at(m, step, half)
+            try:
+                merge_table(spark, path, batch)
+            except Lost:
+                pass
+        if seen["changes"] < step:
+            break
+        assert stored(spark, path) in (old, new)
+        merge_table(spark, path, table(spark, ("c", 3, 2024, 5)))
+        assert ("c", 3, 2024, 5) in stored(spark, path)
+        merge_table(spark, path, batch)
+        assert stored(spark, path) == sorted([*new, ("c", 3, 2024, 5)])
+    assert step > 5
+
+
+@pytest.mark.parametrize("half", ["before", "after"])
+def test_a_rebuild_lost_anywhere_leaves_the_old_rows_or_the_new_ones(spark, tmp_path, monkeypatch, half):
+    for step in range(1, 99):
+        path = str(tmp_path / f"t{step}")
+        replace_table(spark.range(3), path)
+        with monkeypatch.context() as m:
+            seen = lost_at(m, step, half)
+            try:
+                replace_table(spark.range(5), path)
+            except Lost:
+                pass
+        if seen["changes"] < step:
+            break
+        assert read_table(spark, path).count() in (3, 5)
+        replace_table(spark.range(7), path)
+        assert read_table(spark, path).count() == 7
+    assert step > 2
+
+
+def test_a_rebuild_that_fails_halfway_leaves_the_previous_table(spark, tmp_path):
     path = str(tmp_path / "t")
-    merge_table(spark, path, table(spark, ("a", 1, 2024, 1), ("b", 1, 2024, 2), ("c", 1, 2024, 2)))
-    batch = table(spark, ("b", 2, 2024, 2), ("d", 2, 2024, 3))
-    write = tables._write_partitions
-
-    def breaks_off(df, where, partitions, mode):
-        if mode == "overwrite":  # the old folder is gone, the new one is not there yet
-            remove_path(spark, f"{where}/order_year=2024/order_month=2")
-            raise RuntimeError("lost")
-        return write(df, where, partitions, mode)
-
-    with monkeypatch.context() as m:
-        m.setattr(tables, "_write_partitions", breaks_off)
-        with pytest.raises(RuntimeError, match="lost"):
-            merge_table(spark, path, batch)
-    merge_table(spark, path, batch)
-    assert stored(spark, path) == [
-        ("a", 1, 2024, 1), ("b", 2, 2024, 2), ("c", 1, 2024, 2), ("d", 2, 2024, 3)
-    ]
+    replace_table(spark.range(100), path)
+    bad = spark.range(100, numPartitions=4).select(
+        F.when(F.col("id") < 99, F.col("id")).otherwise(F.raise_error(F.lit("halfway"))).alias("id")
+    )
+    with pytest.raises(Exception, match="halfway"):
+        replace_table(bad, path)
+    assert read_table(spark, path).count() == 100
 
 
-def breaking(spark, monkeypatch, when, lost_partition=None):
-    """merge_table breaks off at the first write of a mode."""
-    write = tables._write_partitions
+def test_a_reader_keeps_the_version_that_it_began_with(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(3), path)
+    began = read_table(spark, path)
+    replace_table(spark.range(5), path)
+    assert began.count() == 3 and read_table(spark, path).count() == 5
 
-    def breaks_off(df, where, partitions, mode):
-        if mode == when:
-            if lost_partition:
-                remove_path(spark, f"{where}/{lost_partition}")
-            raise RuntimeError("lost")
-        return write(df, where, partitions, mode)
 
-    monkeypatch.setattr(tables, "_write_partitions", breaks_off)
+def test_old_versions_are_cleared(spark, tmp_path):
+    path = tmp_path / "t"
+    for n in range(8):
+        replace_table(spark.range(n), str(path))
+        merge_table(spark, f"{path}m", table(spark, ("a", n, 2024, 1 + n % 2), (f"b{n}", n, 2024, 3)))
+    assert len(list(path.glob("written=*"))) == published.KEEP
+    assert len(list((path / "_log").glob("*.json"))) == published.KEEP
+    assert len(stored(spark, f"{path}m")) == 9
+    # Of the key that moved to and fro, the last versions are left; the months beside it stay.
+    months = list((tmp_path / "tm").glob("written=*/order_year=2024/order_month=*"))
+    assert len([m for m in months if m.name == "order_month=3"]) == 8
+    assert len([m for m in months if m.name != "order_month=3"]) == published.KEEP
+
+
+def test_two_writers_do_not_overwrite_each_other(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(3), path)
+    now = published.current(spark, path)
+    replace_table(spark.range(5), path)
+    with pytest.raises(published.Conflict):
+        published.publish(spark, path, now, now.schema, now.folders)
+    assert read_table(spark, path).count() == 5
 
 
-@pytest.mark.parametrize("when", ["overwrite", "append"])
-def test_the_next_batch_completes_a_merge_that_broke_off(spark, tmp_path, monkeypatch, when):
-    """The key moves to a month that is not rewritten, its old month is left without rows; then
-    another batch comes."""
+def test_a_partition_in_many_folders_is_written_again(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "MOST_FOLDERS", 3)
     path = str(tmp_path / "t")
-    merge_table(spark, path, table(spark, ("a", 1, 2024, 1), ("b", 1, 2024, 2)))
-    with monkeypatch.context() as m:
-        breaking(spark, m, when)
-        with pytest.raises(RuntimeError, match="lost"):
-            merge_table(spark, path, table(spark, ("a", 2, 2024, 2)))
-    merge_table(spark, path, table(spark, ("c", 3, 2024, 5)))
-    assert stored(spark, path) == [("a", 2, 2024, 2), ("b", 1, 2024, 2), ("c", 3, 2024, 5)]
-    assert not (tmp_path / "t" / "_stage").exists()
+    for n in range(7):
+        merge_table(spark, path, table(spark, (f"k{n}", n, 2024, 1), (f"m{n}", n, 2024, 2 + n % 2)))
+        folders = Counter(f.split("/", 1)[1] for f in published.current(spark, path).folders)
+        assert max(folders.values()) <= 3
+    assert len(stored(spark, path)) == 14
+    for n in range(5):
+        append_partitions(table(spark, ("x", n, 2024, 1)), path, PARTITIONS, "s", n)
+    assert [r[1] for r in stored(spark, path) if r[0] == "x"] == [0, 1, 2, 3, 4]
+    assert Counter(f.split("/", 1)[1] for f in published.current(spark, path).folders).most_common()[0][1] <= 3
+
+
+def test_a_numbered_delivery_is_taken_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    delivery = table(spark, ("a", 1, 2024, 1))
+    assert append_partitions(delivery, path, PARTITIONS, "s", 0) == 1
+    assert append_partitions(delivery, path, PARTITIONS, "s", 0) == 0
+    assert append_partitions(delivery, path, PARTITIONS, "other", 0) == 1
+    merge_table(spark, path, table(spark, ("b", 1, 2024, 1)))
+    assert append_partitions(delivery, path, PARTITIONS, "s", 0) == 0
+    assert append_partitions(delivery.withColumn("w", F.lit(5)), path, PARTITIONS, "s", 4) == 1
+    assert [r[0] for r in stored(spark, path)] == ["a", "a", "a", "b"]
+    assert "w" in table_schema(spark, path).names
 
 
 def test_keys_without_rows_lose_theirs(spark, tmp_path):

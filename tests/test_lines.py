@@ -1,0 +1,91 @@
+"""Lines by order and by line: what is read, what is new, which version counts."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import frame, line, rows
+from tillmark.sources import lines as lines_module
+from tillmark.sources.lines import LineStore
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return LineStore(spark, str(tmp_path / "lines"), buckets=8)
+
+
+def found(store, spark, *orders):
+    ids = spark.createDataFrame([(o,) for o in orders], "order_id string")
+    return sorted(
+        (str(r["order_item_id"]), r["order_id"], r["quantity"]) for r in rows(store.lines_of(ids))
+    )
+
+
+def test_the_last_version_counts_in_its_last_order(spark, store):
+    store.add(frame(spark, [line(1, 1), line(2, 1), line(3, 2)]), 0)
+    store.add(frame(spark, [line(2, 2, quantity="5"), line(3, 2, quantity="7")]), 1)
+    assert found(store, spark, "O1") == [("L1", "O1", "1")]
+    assert found(store, spark, "O2", "O2", None, "O9") == [("L2", "O2", "5"), ("L3", "O2", "7")]
+    again = frame(spark, [line(2, 3), line(9, 1)])
+    assert {r.order_id for r in store.orders_before(again).collect()} == {"O2"}
+
+
+def test_a_delivery_that_broke_off_is_taken_once(spark, store, monkeypatch):
+    store.add(frame(spark, [line(1, 1)]), 0)
+    unnamed = [line(2, 1) | {"order_item_id": None}] * 2
+    delivery = frame(spark, [line(1, 1, quantity="2"), *unnamed],
+                     ", ".join(f"`{c}` string" for c in line(1, 1)))
+    append = lines_module.append_partitions
+
+    def only_lines(df, path, *rest):
+        if path.endswith("by_line"):
+            raise RuntimeError("lost")
+        return append(df, path, *rest)
+
+    with monkeypatch.context() as m:
+        m.setattr(lines_module, "append_partitions", only_lines)
+        with pytest.raises(RuntimeError, match="lost"):
+            store.add(delivery, 1)
+    assert store.taken("lines") == 0
+    for _ in range(2):
+        store.add(delivery, 1)
+        assert found(store, spark, "O1") == [("L1", "O1", "2"), ("None", "O1", "1"), ("None", "O1", "1")]
+
+
+def test_unseen_lines(spark, store):
+    first = frame(spark, [line(1, 1), line(2, 2), line(3, 3)])
+    assert store.unseen(first).count() == 3
+    store.add(first, 0)
+    assert store.unseen(first).count() == 0
+    more = frame(spark, [line(1, 1), line(2, 2, quantity="9"), line(3, 4), line(5, 1)])
+    assert {r.order_item_id for r in store.unseen(more).collect()} == {"L2", "L3", "L5"}
+    store.add(store.unseen(more), 1)
+    # what a line was before its last version is new again
+    assert {r.order_item_id for r in store.unseen(first).collect()} == {"L2", "L3"}
+    # an id that comes twice is known by either line
+    assert store.unseen(frame(spark, [line(1, 1), line(1, 5)])).count() == 0
+    odd = [line(7, 7) | {"order_item_id": None}, line(8, 8) | {"order_id": None}]
+    odd = frame(spark, odd, ", ".join(f"`{c}` string" for c in line(1, 1)))
+    assert store.unseen(odd).count() == 2
+    store.add(odd, 2)
+    assert store.unseen(odd).count() == 0
+    assert found(store, spark, "O7") == [("None", "O7", "1")]
+
+
+def test_only_the_buckets_of_the_ids_are_read(spark, store):
+    store.add(frame(spark, [line(i, i) for i in range(200)]), 0)
+    store.add(frame(spark, [line(i, i) for i in range(200, 300)]), 1)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        ids = spark.createDataFrame([("O7",), ("O150",)], "order_id string")
+        wanted = {r[0] for r in ids.select(store.bucket("order_id")).collect()}
+        text = store.lines_of(ids)._jdf.queryExecution().executedPlan().toString()
+        near = store._near(store.lines, ids, "order_id")
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = re.findall(r"PartitionFilters: \[(.*?)\], Pushed", text)
+    assert scans and all("bucket" in s for s in scans)
+    files = {f for f in near.select(F.input_file_name()).distinct().toPandas().iloc[:, 0]}
+    assert {int(re.search(r"bucket=(\d+)", f)[1]) for f in files} == wanted
+    assert found(store, spark, "O7", "O150") == [("L150", "O150", "1"), ("L7", "O7", "1")]

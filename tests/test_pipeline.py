@@ -73,8 +73,8 @@ def test_two_nights(spark, tmp_path):
     for table in ("stg_orders", "stg_order_items"):
         assert silver(spark, root, table) == silver(spark, whole, table)
     for mart in GOLD:
-        assert content(spark.read.parquet(Warehouse(root).gold(mart))) == content(
-            spark.read.parquet(Warehouse(whole).gold(mart))
+        assert content(read_table(spark, Warehouse(root).gold(mart))) == content(
+            read_table(spark, Warehouse(whole).gold(mart))
         )
     for report in ("menu_performance", "location_comparison", "revenue_trends", "time_analysis"):
         path = f"{Warehouse(root).reports}/{report}_20240402"
@@ -100,7 +100,7 @@ def test_a_night_recomputes_its_months_only(spark, tmp_path, monkeypatch):
     pipeline.run(spark, write_exports(tmp_path / "one", **NIGHT_ONE), root, RULES, DAY)
 
     def files():
-        found = (tmp_path / "w" / "gold" / "monthly").glob("*/order_year=*/order_month=*/*.parquet")
+        found = (tmp_path / "w" / "gold" / "monthly").glob("*/written=*/order_year=*/order_month=*/*.parquet")
         return {str(f) for f in found}
 
     march = {f for f in files() if "order_month=3" in f}
@@ -121,11 +121,11 @@ def test_a_night_recomputes_its_months_only(spark, tmp_path, monkeypatch):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     # and the figures are those of a rebuild
     again = {name: content(read_table(spark, where.monthly(name))) for name in figures}
-    marts = {name: content(spark.read.parquet(where.gold(name))) for name in GOLD}
+    marts = {name: content(read_table(spark, where.gold(name))) for name in GOLD}
     remove_path(spark, f"{root}/gold")
     pipeline.build_gold(spark, where)
     assert again == {name: content(read_table(spark, where.monthly(name))) for name in figures}
-    assert marts == {name: content(spark.read.parquet(where.gold(name))) for name in GOLD}
+    assert marts == {name: content(read_table(spark, where.gold(name))) for name in GOLD}
 
 
 def test_months_stay_noted_until_gold_is_done(spark, tmp_path, monkeypatch):
@@ -140,7 +140,7 @@ def test_months_stay_noted_until_gold_is_done(spark, tmp_path, monkeypatch):
     assert set(pipeline.touched_months(spark, where)) == {(2024, 3), (2024, 5)}
     pipeline.build_gold(spark, where)
     assert pipeline.touched_months(spark, where) == []
-    trends = rows(spark.read.parquet(where.gold("mart_revenue_trends")))
+    trends = rows(read_table(spark, where.gold("mart_revenue_trends")))
     assert {(r["order_month"], str(r["total_revenue"])) for r in trends} == {(3, "10.00"), (5, "30.00")}
 
 
@@ -244,3 +244,102 @@ def test_broken_assertion_stops_before_the_mark(spark, tmp_path):
 def test_missing_export_stops_the_run(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="promotions.csv"):
         pipeline.run(spark, str(tmp_path / "nothing"), str(tmp_path / "w"), RULES, DAY)
+
+
+# ---- late rows ---------------------------------------------------------------------------------
+
+
+def late_run(spark, tmp_path, root, name, **tables):
+    return pipeline.run(spark, write_exports(tmp_path / name, **tables), root, RULES, DAY, late=True)
+
+
+def silver_ids(spark, root):
+    orders = read_table(spark, Warehouse(root).silver("stg_orders"))
+    items = read_table(spark, Warehouse(root).silver("stg_order_items"))
+    return (sorted(r.order_id for r in orders.collect()),
+            sorted((r.order_item_id, r.order_id) for r in items.collect()))
+
+
+def test_two_loads_on_one_day_lose_none_and_repeat_none(spark, tmp_path):
+    root = str(tmp_path / "w")
+    late_run(spark, tmp_path, root, "one", **NIGHT_ONE)
+    same_day = {
+        "orders": NIGHT_ONE["orders"] + [order(5, "2024-03-09", total="99.00", subtotal="87.61", tax="11.39")],
+        "order_items": NIGHT_ONE["order_items"] + [line(6, 5)],
+    }
+    second = late_run(spark, tmp_path, root, "two", **same_day)
+    assert second.audit["bronze_orders"] == 1 and second.audit["bronze_order_items"] == 1
+    assert second.marks["orders"] == date(2024, 3, 9)
+    third = late_run(spark, tmp_path, root, "three", **same_day)
+    assert third.audit["bronze_orders"] == third.audit["bronze_order_items"] == 0
+    more = same_day | {"orders": same_day["orders"] + [order(7, "2024-03-09"), order(8, "2024-03-08")]}
+    fourth = late_run(spark, tmp_path, root, "four", **more)
+    assert fourth.audit["bronze_orders"] == 1  # an older day stays closed
+    assert silver_ids(spark, root)[0] == ["O1", "O2", "O3", "O5", "O7"]
+    loaded = bronze.read_bronze(spark, Warehouse(root).bronze, "orders")
+    assert sorted(r.order_id for r in loaded.collect()) == ["O1", "O2", "O3", "O5", "O7"]
+    lines = bronze.read_bronze(spark, Warehouse(root).bronze, "order_items")
+    assert sorted(r.order_item_id for r in lines.collect()) == ["L1", "L2", "L3", "L4", "L6"]
+
+
+def test_late_and_early_lines_reach_silver(spark, tmp_path):
+    root = str(tmp_path / "w")
+    early = NIGHT_ONE["order_items"][:2] + [line(7, 4, item=1)]  # its order comes on the second night
+    late_run(spark, tmp_path, root, "one", **(NIGHT_ONE | {"order_items": early}))
+    assert silver_ids(spark, root)[1] == [("L1", "O1"), ("L2", "O1")]
+    # an export of that night alone, without what was sent before
+    night_two = {
+        "orders": [order(4, "2024-04-01", site=1, total="60.00", subtotal="53.10", tax="6.90")],
+        "order_items": [line(3, 2, item=2), line(2, 1, item=1, quantity="6"), line(8, 99)],
+    }
+    late_run(spark, tmp_path, root, "two", **night_two)
+    assert silver_ids(spark, root)[1] == [("L1", "O1"), ("L2", "O1"), ("L3", "O2"), ("L7", "O4")]
+    items = {r.order_item_id: r for r in read_table(spark, Warehouse(root).silver("stg_order_items")).collect()}
+    assert items["L2"].quantity == 6
+    # Gold follows: March is computed again with the line that came late
+    mart = read_table(spark, Warehouse(root).gold("mart_menu_performance"))
+    assert {r.item_id: r.total_units_sold for r in mart.collect()} == {"M1": 2, "M2": 7, "M3": 1}
+
+
+def test_the_same_orders_and_lines_in_time_or_late(spark, tmp_path):
+    strict, late = str(tmp_path / "strict"), str(tmp_path / "late")
+    pipeline.run(spark, write_exports(tmp_path / "all", **NIGHT_TWO), strict, RULES, DAY)
+    first = {
+        "orders": [NIGHT_TWO["orders"][0], NIGHT_TWO["orders"][4]],
+        "order_items": NIGHT_TWO["order_items"][1:],
+    }
+    late_run(spark, tmp_path, late, "first", **first)
+    late_run(spark, tmp_path, late, "second", **NIGHT_TWO)
+    for table in ("stg_orders", "stg_order_items"):
+        assert silver(spark, strict, table) == silver(spark, late, table)
+
+
+@pytest.mark.parametrize("lost", ["after_silver", "advance_marks"])
+def test_a_late_night_that_breaks_off_can_be_started_again(spark, tmp_path, monkeypatch, lost):
+    root = str(tmp_path / "w")
+    late_run(spark, tmp_path, root, "one", **NIGHT_ONE)
+    others = [i for i in NIGHT_TWO["order_items"] if i["order_item_id"] != "L2"]
+    two = NIGHT_TWO | {"order_items": others + [line(9, 1), line(2, 4, item=1)]}
+
+    def breaks(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        if lost in ("record_night", "advance_marks"):
+            m.setattr(state, lost, breaks)
+        elif lost == "after_silver":
+            merge = pipeline.merge_table
+            m.setattr(pipeline, "merge_table", lambda spark_, path, *a, **o: breaks()
+                      if path.endswith("items") else merge(spark_, path, *a, **o))
+        with pytest.raises(RuntimeError, match="lost"):
+            late_run(spark, tmp_path, root, "two", **two)
+    late_run(spark, tmp_path, root, "two", **two)
+    orders, items = silver_ids(spark, root)
+    assert orders == ["O1", "O2", "O3", "O4", "O5"]
+    assert items == [("L1", "O1"), ("L2", "O4"), ("L3", "O2"), ("L5", "O4"), ("L6", "O5"), ("L9", "O1")]
+    for table, column, expected in [
+        ("orders", "order_id", orders),
+        ("order_items", "order_item_id", ["L1", "L2", "L2", "L3", "L4", "L5", "L6", "L9"]),
+    ]:
+        kept = bronze.read_bronze(spark, Warehouse(root).bronze, table)
+        assert sorted(r[column] for r in kept.collect()) == expected

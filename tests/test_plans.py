@@ -9,7 +9,7 @@ from tests.conftest import rows
 from tillmark.config import QualityRules
 from tillmark.operators import gold, quality, silver
 from tillmark.plans.registry import Tables
-from tillmark.sources.tables import _around, _write_partitions, merge_table, read_table
+from tillmark.sources.tables import around, _write_partitions, merge_table, read_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -67,7 +67,7 @@ def test_months_prune_the_scan(stored):
 def test_key_search_of_a_merge_reads_keys_only_and_skips_by_their_bounds(stored, conf):
     conf(maxMetadataStringLength="10000")
     keys = stored[0].filter("order_month = 3").select("order_id").distinct()
-    text = plan(_around(stored[0], keys, "order_id").select("order_id", "order_year"))
+    text = plan(around(stored[0], keys, "order_id").select("order_id", "order_year"))
     assert "GreaterThanOrEqual(order_id," in text and "LessThanOrEqual(order_id," in text
     assert "ReadSchema: struct<order_id:string>" in text
 

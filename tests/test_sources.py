@@ -9,7 +9,7 @@ from tillmark.operators.incremental import high_water_mark
 from tillmark.sources import bronze, exports, state
 from tillmark.sources.csv_export import check_columns, read_export, scan_csv
 from tillmark.sources.paths import check_arrival
-from tillmark.sources.tables import replace_table
+from tillmark.sources.tables import read_table, replace_table
 
 
 def test_arrival_names_the_missing_files(spark, tmp_path):
@@ -116,7 +116,7 @@ def test_full_rebuild_replaces_and_counts(spark, tmp_path):
     assert replace_table(spark.range(5), path) == 5
     assert replace_table(spark.range(2), path) == 2
     assert replace_table(spark.range(0), str(tmp_path / "none")) == 0
-    assert spark.read.parquet(path).count() == 2
+    assert read_table(spark, path).count() == 2
 
 
 def test_load_state(spark, tmp_path):

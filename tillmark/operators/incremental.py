@@ -1,7 +1,8 @@
 """Batch selection by high-water mark, and keyed upserts as DataFrame operations.
 
 The mark is a date. A batch holds what is dated strictly after it; rows that arrive later than
-their day's batch are not picked up, as the mark has passed them.
+their day's batch are not picked up, as the mark has passed them. Where the mark's own day may still
+grow, `orders_since` takes that day too, but for the orders that a ledger says are loaded.
 """
 
 from __future__ import annotations
@@ -32,6 +33,23 @@ def orders_after(orders: DataFrame, mark: date | str | Column | None) -> DataFra
     return orders.filter(F.col("order_date").cast("date") > bound)
 
 
+def orders_since(orders: DataFrame, mark: date | str | None, loaded: DataFrame) -> DataFrame:
+    """Orders dated after the mark, and those of the mark's own day that are not in `loaded`.
+
+    `loaded` needs the order ids of the mark's day alone, so only that day's orders are compared: an
+    anti-join of a day with a day, whatever the history. An order of that day without an id can't be
+    told from a loaded one and stays out.
+    """
+    if mark is None:
+        return orders
+    day = F.lit(str(mark)).cast("date")
+    same_day = orders.filter(F.col("order_date").cast("date") == day)
+    late = same_day.filter(F.col("order_id").isNotNull()).join(
+        loaded.select("order_id").distinct(), "order_id", "left_anti"
+    )
+    return orders_after(orders, mark).unionByName(late.select(*orders.columns))
+
+
 def items_after(items: DataFrame, orders: DataFrame, mark: date | str | Column | None) -> DataFrame:
     """Lines whose order is dated after the mark; all lines where no mark is known yet.
 

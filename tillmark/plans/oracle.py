@@ -440,6 +440,10 @@ def oracle_sql() -> dict[str, str]:
         "incremental_order_items": f"""
             SELECT * FROM src_order_items
             WHERE order_id IN (SELECT order_id FROM src_orders WHERE order_date > {mark})""",
+        "boundary_day_orders": f"""
+            SELECT * FROM src_orders
+            WHERE order_date > {mark} OR order_date = {mark} AND order_time >= '12:00:00'""",
+        "late_rows": "SELECT * FROM stg_order_items",
         "high_water_mark": """
             SELECT t AS "table", d AS high_water
             FROM (SELECT max(order_date) AS d FROM raw_orders),

@@ -15,15 +15,17 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.config import RAW_COLUMNS, SILVER_PARTITIONS, QualityRules
+from tillmark.config import INCREMENTAL_TABLES, RAW_COLUMNS, SILVER_PARTITIONS, QualityRules
 from tillmark.operators import gold, quality, reports, silver, typed
 from tillmark.operators.incremental import high_water_mark
 from tillmark.session import configure
 from tillmark.sources import bronze, exports, state
 from tillmark.sources.csv_export import read_export
+from tillmark.sources.lines import LineStore
 from tillmark.sources.paths import check_arrival, path_exists, remove_path
 from tillmark.sources.tables import (
     Merged,
+    around,
     merge_table,
     read_table,
     replace_partitions,
@@ -69,6 +71,20 @@ class Warehouse:
     def state(self) -> str:
         return f"{self.root}/state/high_water"
 
+    @property
+    def nights(self) -> str:
+        return f"{self.root}/state/nights"
+
+    @property
+    def last_day(self) -> str:
+        """Orders loaded of the mark's own day."""
+        return f"{self.root}/state/last_day"
+
+    @property
+    def lines(self) -> str:
+        """All lines by order, where late ones count."""
+        return f"{self.root}/bronze/lines"
+
     @property
     def reports(self) -> str:
         return f"{self.root}/reports"
@@ -80,6 +96,34 @@ class RunResult:
     marks: dict[str, date] = field(default_factory=dict)
 
 
+@dataclass(frozen=True)
+class Night:
+    """What a night goes on from: the marks, and the names of its batches in Bronze.
+
+    Strictly, a batch is named by the mark. With late rows several nights may start from one mark, so
+    the night's number is part of the name."""
+
+    number: int
+    marks: dict[str, date]
+    late: bool = False
+
+    @property
+    def names(self) -> dict[str, date | str]:
+        if not self.late:
+            return self.marks
+        return {
+            t: f"{self.marks.get(t, bronze.FIRST_BATCH)}.{self.number}" for t in INCREMENTAL_TABLES
+        }
+
+
+def night_of(spark: SparkSession, where: Warehouse, late: bool) -> Night:
+    if not late:
+        return Night(0, state.read_marks(spark, where.state))
+    done, mark = state.last_night(spark, where.nights)
+    marks = {} if mark is None else {t: mark for t in INCREMENTAL_TABLES}
+    return Night(done + 1, marks, late)
+
+
 REPORTS = {
     "menu_performance": ("mart_menu_performance", reports.report_menu_performance),
     "location_comparison": ("mart_location_comparison", reports.report_location_comparison),
@@ -99,6 +143,25 @@ def load_bronze(
     }
 
 
+def load_bronze_late(
+    spark: SparkSession, export: Callable[[str], DataFrame], where: Warehouse, night: Night
+) -> dict[str, int]:
+    """The night's batches with late rows: orders of the mark's own day, and lines of any order."""
+    loaded = state.loaded_on(spark, where.last_day, night.marks.get("orders"))
+    lines = LineStore(spark, where.lines)
+    tables = list(RAW_COLUMNS)
+    if lines.taken("nights") >= night.number:
+        # An earlier try of this night got as far as Silver: its lines are seen, its batch stays.
+        tables.remove("order_items")
+    return {
+        f"bronze_{table}": bronze.load_late(
+            spark, export(table), where.bronze, table,
+            night.marks.get("orders"), night.names.get(table), loaded, lines,
+        )
+        for table in tables
+    }
+
+
 def quality_gate(
     spark: SparkSession, where: Warehouse, marks: dict[str, date], rules: QualityRules, day: date,
     own: Iterable[quality.Check] = (),
@@ -145,6 +208,47 @@ def build_silver(
     return audit
 
 
+def build_silver_late(spark: SparkSession, where: Warehouse, night: Night) -> dict[str, int]:
+    """Merges the batch into Silver, and with it all lines of the orders that it touches.
+
+    These are the batch's orders, those of its lines, and those that earlier versions of its lines were
+    in. Their lines come from the buckets they fall into, so a line finds its order whichever of them
+    came first, and however many nights ago.
+    """
+    batch = {
+        t: bronze.read_batch(spark, where.bronze, t, night.names.get(t))
+        for t in ("orders", "order_items", "menu")
+    }
+    store = LineStore(spark, where.lines)
+    ids = batch["orders"].select("order_id").union(batch["order_items"].select("order_id"))
+    if store.exists():
+        ids = ids.union(store.orders_before(batch["order_items"]))
+    # As first found: once the lines are in the store, their own version is the last one.
+    path = f"{where.lines}/touched/night={night.number}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        ids.filter("order_id is not null").distinct().write.mode("overwrite").parquet(path)
+    ids = spark.read.schema("order_id string").parquet(path)
+
+    orders = silver.stg_orders(typed.src_orders(batch["orders"]))
+    audit = {"stg_orders": merge_silver(
+        spark, where, "stg_orders", silver.stamped(orders), "order_id"
+    )}
+    store.add(batch["order_items"].drop(bronze.INGESTED), night.number, "nights")
+    # The batch's own orders are at hand; for those that came before, Silver is searched.
+    before = ids.join(orders.select("order_id"), "order_id", "left_anti")
+    earlier = around(read_table(spark, where.silver("stg_orders")), before, "order_id").join(
+        before, "order_id", "left_semi"
+    )
+    known = orders.unionByName(earlier.select(*orders.columns))
+    items = silver.stg_order_items(
+        typed.src_order_items(store.lines_of(ids)), known, typed.src_menu(batch["menu"])
+    )
+    audit["stg_order_items"] = merge_silver(
+        spark, where, "stg_order_items", silver.stamped(silver.by_month(items)), "order_id", ids
+    )
+    return audit
+
+
 def merge_silver(
     spark: SparkSession, where: Warehouse, table: str, batch: DataFrame, key: str,
     keys: DataFrame | None = None,
@@ -201,7 +305,7 @@ def build_gold(spark: SparkSession, where: Warehouse) -> dict[str, int]:
     replace_table(gold.item_stats(monthly["items"]), where.gold("_item_stats"))
     marts = {
         "mart_menu_performance": gold.mart_menu_performance(
-            spark.read.parquet(where.gold("_item_stats"))
+            read_table(spark, where.gold("_item_stats"))
         ),
         "mart_location_comparison": gold.mart_location_comparison(monthly["locations"]),
         "mart_revenue_trends": gold.mart_revenue_trends(monthly["revenue"]),
@@ -230,7 +334,7 @@ def all_assertions(spark: SparkSession, where: Warehouse, marks: dict[str, date]
                 raw["orders"].select("order_id"),
                 raw["order_items"].select("order_item_id"),
             ),
-            quality.gold_assertions(spark.read.parquet(where.gold("mart_menu_performance"))),
+            quality.gold_assertions(read_table(spark, where.gold("mart_menu_performance"))),
         ]
     )
 
@@ -245,7 +349,7 @@ def check_assertions(spark: SparkSession, where: Warehouse, marks: dict[str, dat
 def write_reports(spark: SparkSession, where: Warehouse, day: date) -> None:
     for name, (mart, query) in REPORTS.items():
         exports.write_report(
-            query(spark.read.parquet(where.gold(mart))), where.reports, name, day
+            query(read_table(spark, where.gold(mart))), where.reports, name, day
         )
 
 
@@ -269,6 +373,23 @@ def read_audit(spark: SparkSession, where: Warehouse) -> DataFrame:
     ).json(where.audit)
 
 
+def complete(spark: SparkSession, where: Warehouse, night: Night, day: date) -> dict[str, date]:
+    """Moves the marks on."""
+    loaded = bronze.read_batch(spark, where.bronze, "orders", night.names.get("orders"))
+    mark = high_water_mark(loaded)
+    if not night.late:
+        state.advance_marks(mark, where.state)
+        return state.read_marks(spark, where.state)
+    newest = mark.agg(F.max("high_water")).first()[0]
+    if newest is not None:
+        # The ledger goes first: the mark must not be without its day's orders.
+        state.record_loaded(loaded, where.last_day, newest)
+    state.record_night(spark, where.nights, night.number, day, newest)
+    state.advance_marks(mark, where.state)  # for whoever reads the marks; late nights have their own
+    remove_path(spark, f"{where.lines}/touched")
+    return night_of(spark, where, late=True).marks
+
+
 STEPS = ("ingest", "gate", "silver", "gold", "reports")
 
 
@@ -280,13 +401,20 @@ def run(
     day: date | None = None,
     steps: Iterable[str] = STEPS,
     checks: Iterable[quality.Check] = (),
+    late: bool = False,
 ) -> RunResult:
     """The given steps of a night. The mark moves on with the last one, so that steps which are
-    run one by one work on the same batch."""
+    run one by one work on the same batch.
+
+    Strictly, a batch is what is dated after the mark, with the lines of these orders. With `late` it
+    also takes orders of the mark's own day that came after the last load, and lines that came after
+    their order or before it. A warehouse is kept one way or the other from its first night on.
+    """
     configure(spark)
     steps = set(steps)
     where, day = Warehouse(root.rstrip("/")), day or date.today()
-    marks = state.read_marks(spark, where.state)
+    night = night_of(spark, where, late)
+    marks, names = night.marks, night.names
     result = RunResult(marks=marks)
 
     def wrote(counts: dict[str, int]) -> None:
@@ -295,17 +423,18 @@ def run(
 
     if "ingest" in steps:
         check_arrival(spark, raw_dir)
-        wrote(load_bronze(spark, raw_dir, where, marks))
+        if late:
+            wrote(load_bronze_late(spark, lambda t: read_export(spark, raw_dir, t), where, night))
+        else:
+            wrote(load_bronze(spark, raw_dir, where, marks))
     if "gate" in steps:
-        quality_gate(spark, where, marks, rules, day, checks)
+        quality_gate(spark, where, names, rules, day, checks)
     if "silver" in steps:
-        wrote(build_silver(spark, where, marks))
+        wrote(build_silver_late(spark, where, night) if late else build_silver(spark, where, marks))
     if "gold" in steps:
         wrote(build_gold(spark, where))
-        check_assertions(spark, where, marks)
+        check_assertions(spark, where, names)
     if "reports" in steps:
         write_reports(spark, where, day)
-        loaded = bronze.read_batch(spark, where.bronze, "orders", marks.get("orders"))
-        state.advance_marks(high_water_mark(loaded), where.state)
-        result.marks = state.read_marks(spark, where.state)
+        result.marks = complete(spark, where, night, day)
     return result

@@ -1,7 +1,8 @@
-"""Path checks through the Hadoop file system, so that any storage Spark reads will do."""
+"""Paths through the Hadoop file system, so that any storage Spark reads will do."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
@@ -25,6 +26,46 @@ def remove_path(spark: SparkSession, path: str) -> None:
     files.delete(located, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none, if it isn't there."""
+    files, located = _file_system(spark, path)
+    if not files.exists(located):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(located))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    files, located = _file_system(spark, path)
+    stream = files.open(located)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def move(spark: SparkSession, path: str, to: str) -> bool:
+    """One rename; False, if there is something already."""
+    files, source = _file_system(spark, path)
+    _, target = _file_system(spark, to)
+    return not files.exists(target) and files.rename(source, target)
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file aside and puts it in place by one rename; False, if one is there."""
+    aside = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
+    files, located = _file_system(spark, aside)
+    stream = files.create(located, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if move(spark, aside, path):
+        return True
+    remove_path(spark, aside)
+    return False
+
+
 def export_path(raw_dir: str, table: str) -> str:
     return f"{raw_dir.rstrip('/')}/{table}.csv"
 

@@ -1,8 +1,12 @@
-"""Parquet tables: counted writes, full rebuilds, and keyed merges into partitioned tables."""
+"""Parquet tables: counted writes, full rebuilds, and keyed merges into partitioned tables.
+
+All three publish what they wrote as a whole (`published`): readers see the table before or after.
+"""
 
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
@@ -12,7 +16,11 @@ from pyspark.sql.types import StructType
 
 from tillmark.config import SILVER_PARTITIONS
 from tillmark.operators.incremental import append_new_columns
+from tillmark.sources import published
 from tillmark.sources.paths import path_exists, remove_path
+from tillmark.sources.published import Version
+
+MOST_FOLDERS = 32  # in which one partition may lie
 
 
 def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
@@ -27,28 +35,40 @@ def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
 
 
 def replace_table(df: DataFrame, path: str) -> int:
-    """Full rebuild; returns the number of rows."""
-    return counted(df, lambda out: out.write.mode("overwrite").parquet(path))
+    """Full rebuild; returns the number of rows. Readers have the previous rows until it is done."""
+    spark = df.sparkSession
+    now = published.current(spark, path)
+    folder = published.new_folder(now)
+    rows = counted(df, lambda out: out.write.mode("overwrite").parquet(f"{path}/{folder}"))
+    published.publish(spark, path, now, df.schema, [folder])
+    return rows
 
 
-# ---- partitioned tables whose columns may grow -----------------------------------------------
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return published.exists(spark, path)
 
 
-def _schema_path(path: str) -> str:
-    return f"{path}/_schema"  # Spark skips names with an underscore when it lists a table
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table as last published, with all its columns; older files give null for newer ones."""
+    return published.read(spark, path, _current(spark, path))
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, _schema_path(path))
+def table_schema(spark: SparkSession, path: str) -> StructType:
+    return _current(spark, path).schema
 
 
-def table_schema(spark: SparkSession, path: str) -> StructType:
-    """The newest schema on record. Columns are only ever added, so that is the widest."""
-    known = [
-        StructType.fromJson(json.loads(row.value))
-        for row in spark.read.text(_schema_path(path)).collect()
-    ]
-    return max(known, key=len)
+def _current(spark: SparkSession, path: str) -> Version:
+    version = published.current(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return version
+
+
+# ---- columns of folders that are only ever added to --------------------------------------------
+
+
+def _schema_path(path: str) -> str:
+    return f"{path}/_schema"  # Spark skips names with an underscore when it lists a table
 
 
 def union_schema(spark: SparkSession, path: str) -> StructType:
@@ -60,17 +80,9 @@ def union_schema(spark: SparkSession, path: str) -> StructType:
     return StructType(list(columns.values()))
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The table with all columns on record; older files give null for newer columns.
-
-    The schema on record spares a look into the footer of every file.
-    """
-    return spark.read.schema(table_schema(spark, path)).parquet(path)
-
-
 def record_schema(spark: SparkSession, path: str, schema: StructType) -> None:
     """Notes columns that are not on record yet."""
-    known = union_schema(spark, path).names if table_exists(spark, path) else []
+    known = union_schema(spark, path).names if path_exists(spark, _schema_path(path)) else []
     if not set(schema.names) <= set(known):
         _record_schema(spark, path, schema)
 
@@ -85,6 +97,9 @@ def _record_schema(spark: SparkSession, path: str, schema: StructType) -> None:
     )
 
 
+# ---- partitioned tables whose columns may grow -----------------------------------------------
+
+
 def _partition_key(partitions: tuple[str, ...]) -> Column:
     return F.concat_ws("/", *[F.coalesce(F.col(p).cast("string"), F.lit("-")) for p in partitions])
 
@@ -104,14 +119,11 @@ def _write_partitions(df: DataFrame, path: str, partitions: tuple[str, ...], mod
     splits the tasks of a partition that is too large for one."""
     return counted(
         df.hint("rebalance", *partitions),
-        lambda out: out.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path),
+        lambda out: out.write.mode(mode).partitionBy(*partitions).parquet(path),
     )
 
 
-def _around(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+def around(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows between the lowest and the highest of the keys: no match lies outside.
 
     The bounds reach the Parquet scan as literals. Ids that grow over time then skip nearly all
@@ -141,112 +153,100 @@ def merge_table(
     """Upserts a batch into a partitioned table.
 
     All rows with a key of the batch are replaced, and those with one of `keys`: a key that the
-    batch brings no rows for loses the rows it had. Only partitions that hold such a key are
-    rewritten, wherever the new row of that key belongs (a corrected order may have changed
-    month). All other batch rows are appended, which on a normal night is the whole batch.
-
-    The batch is staged inside the table's folder, which any later run finds. A merge that broke
-    off is completed first: staged partitions are put in place, and the staged batch is merged
-    once more, which leaves the same table however far it had come. `before` is told the
-    partitions of an existing table that are about to change.
+    batch brings no rows for loses the rows it had. The batch is written once, into partitions of a new
+    folder. Partitions that hold a key to remove, wherever the new row of that key belongs (a corrected
+    order may have changed month), are written again without it; on a normal night there are none.
+    Then the new folders are published in place of the old ones: a run that breaks off before has
+    changed nothing, and whoever ran it runs it again. `before` is told the partitions of an existing
+    table that are about to change.
+
+    A partition that has come to lie in `MOST_FOLDERS` folders is written again as well.
     """
-    if not table_exists(spark, path):
-        _record_schema(spark, path, batch.schema)
-        rows = _write_partitions(batch, path, partitions, "append")
-        return Merged(rows, tuple(map(tuple, _partitions_of(read_table(spark, path), partitions))))
-
-    stage = _stage(path)
-    if path_exists(spark, f"{stage}/keys/_SUCCESS"):
-        _finish_rewrite(spark, path, partitions)
-        _merge_staged(spark, path, key, partitions, before)
-    remove_path(spark, stage)
-    # The batch is read for its keys and for its rows; held once, it is computed once.
-    rows = counted(batch, lambda out: out.write.mode("overwrite").parquet(f"{stage}/batch"))
-    staged = spark.read.schema(batch.schema).parquet(f"{stage}/batch")
-    gone = staged.select(key) if keys is None else staged.select(key).union(keys.select(key))
-    gone.distinct().write.mode("overwrite").parquet(f"{stage}/keys")
-    changed = _merge_staged(spark, path, key, partitions, before)
+    now = published.current(spark, path)
+    folder = published.new_folder(now)
+    # The batch is read for its keys and for its rows; written first, it is computed once.
+    rows = _write_partitions(batch, f"{path}/{folder}", partitions, "append")
+    added = published.partitions_in(spark, path, folder, len(partitions))
+    fresh = {published.values_of(f, batch.schema) for f in added}
+    if now is None:
+        published.publish(spark, path, None, batch.schema, added)
+        return Merged(rows, tuple(fresh))
+
+    stage = f"{path}/_stage-{folder.partition('=')[2]}"  # hidden from readers of the table
+    written = published.read(spark, path, Version(now.number + 1, batch.schema, tuple(added)))
+    gone = written.select(key) if keys is None else written.select(key).union(keys.select(key))
+    gone.distinct().write.parquet(f"{stage}/keys")
+    removed = spark.read.schema(gone.schema).parquet(f"{stage}/keys")
+    target = published.read(spark, path, now)
+    found = around(target, removed, key).join(removed, key, "left_semi")
+    hit = {*map(tuple, _partitions_of(found, partitions))}
+    changed = tuple(hit | fresh)
+    if changed:
+        before(changed)
+        again = hit | _crowded(now)
+        survivors = target.filter(within(partitions, again)).join(removed, key, "left_anti")
+        kept = _written_again(survivors.select(*target.columns), path, now, partitions) if again else []
+        folders = [f for f in now.folders if published.values_of(f, now.schema) not in again]
+        schema = append_new_columns(target, written).schema
+        published.publish(spark, path, now, schema, [*folders, *kept, *added])
     remove_path(spark, stage)
     return Merged(rows, changed)
 
 
-def _stage(path: str) -> str:
-    return f"{path}/_stage"  # hidden from readers of the table
+def _crowded(version: Version) -> set[tuple]:
+    """Partitions that lie in many folders, and so in many small files."""
+    folders = Counter(published.values_of(f, version.schema) for f in version.folders)
+    return {values for values, n in folders.items() if n >= MOST_FOLDERS}
 
 
-def _merge_staged(
-    spark: SparkSession,
-    path: str,
-    key: str,
-    partitions: tuple[str, ...],
-    before: Callable[[tuple[tuple, ...]], None],
-) -> tuple[tuple, ...]:
-    stage = _stage(path)
-    batch, keys = (spark.read.parquet(f"{stage}/{part}") for part in ("batch", "keys"))
-    target = read_table(spark, path)
-    combined = append_new_columns(target, batch).schema
-    if len(combined) > len(target.schema):
-        _record_schema(spark, path, combined)
-
-    hit = _partitions_of(_around(target, keys, key).join(keys, key, "left_semi"), partitions)
-    changed = tuple({*map(tuple, hit), *map(tuple, _partitions_of(batch, partitions))})
-    if not changed:
-        return changed
-    before(changed)
-    touched = within(partitions, hit)
-    if hit:
-        # The keys to remove are all of them, the rows to add those that belong here.
-        survivors = target.filter(touched).join(keys, key, "left_anti").select(*target.columns)
-        kind = StructType([target.schema[p] for p in partitions])
-        spark.createDataFrame(hit, kind).write.mode("overwrite").parquet(f"{stage}/hit")
-        append_new_columns(survivors, batch.filter(touched)).write.mode("overwrite").parquet(
-            f"{stage}/rewritten"
-        )
-        _finish_rewrite(spark, path, partitions)
-    _write_partitions(batch.filter(~touched), path, partitions, "append")
-    return changed
-
-
-def _finish_rewrite(spark: SparkSession, path: str, partitions: tuple[str, ...]) -> None:
-    """Puts fully staged partitions in place of the old ones and clears those left without rows.
-
-    Replacing folders is not atomic. The staged copy goes last, so after a run that broke off in
-    between the next merge finds it, and puts it in place again.
-    """
-    staged = f"{_stage(path)}/rewritten"
-    if not path_exists(spark, f"{staged}/_SUCCESS"):
-        return
-    rewritten = spark.read.schema(table_schema(spark, path)).parquet(staged)
-    kept = _partitions_of(rewritten, partitions)
-    hit = spark.read.parquet(f"{_stage(path)}/hit").collect()  # at most the stored partitions
-    _write_partitions(rewritten, path, partitions, "overwrite")
-    _clear(spark, path, partitions, {*map(tuple, hit)} - {*map(tuple, kept)})
-    remove_path(spark, staged)
-
-
-def _clear(
-    spark: SparkSession, path: str, partitions: tuple[str, ...], emptied: Iterable[tuple]
-) -> None:
-    """Overwriting skips partitions that get no rows; these go by their folder."""
-    for values in emptied:
-        remove_path(spark, _partition_path(path, partitions, values))
+def _written_again(
+    rows: DataFrame, path: str, now: Version, partitions: tuple[str, ...]
+) -> list[str]:
+    """Writes what some partitions keep of their rows; returns the new folders."""
+    folder = published.new_folder(now)
+    _write_partitions(rows, f"{path}/{folder}", partitions, "overwrite")
+    return published.partitions_in(rows.sparkSession, path, folder, len(partitions))
 
 
-def replace_partitions(
-    df: DataFrame, path: str, partitions: tuple[str, ...], replaced: Iterable[tuple]
-) -> None:
-    """Writes rows of the `replaced` partitions in place of what these hold.
+def append_partitions(
+    df: DataFrame, path: str, partitions: tuple[str, ...], source: str, number: int
+) -> int:
+    """Adds a numbered delivery, once: one that is in already, or an earlier one, is left out.
 
-    Not atomic: a caller that breaks off has to replace the same partitions again.
+    Returns the rows added. The delivery is in as a whole or not at all, so a run that broke off can
+    deliver it again.
     """
-    record_schema(df.sparkSession, path, df.schema)
-    _clear(df.sparkSession, path, partitions, replaced)
-    _write_partitions(df, path, partitions, "overwrite")
+    spark = df.sparkSession
+    now = published.current(spark, path)
+    if now is not None and number <= now.taken.get(source, -1):
+        return 0
+    folder = published.new_folder(now)
+    rows = _write_partitions(df, f"{path}/{folder}", partitions, "append")
+    added = published.partitions_in(spark, path, folder, len(partitions))
+    others, kept, schema = [], [], df.schema
+    if now is not None:
+        target, again = published.read(spark, path, now), _crowded(now)
+        schema = append_new_columns(target, df).schema
+        others = [f for f in now.folders if published.values_of(f, now.schema) not in again]
+        if again:
+            again_rows = target.filter(within(partitions, again))
+            kept = _written_again(again_rows, path, now, partitions)
+    published.publish(spark, path, now, schema, [*others, *kept, *added], {source: number})
+    return rows
 
 
-def _partition_path(path: str, partitions: tuple[str, ...], values: tuple) -> str:
-    named = [
-        f"{p}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}"
-        for p, v in zip(partitions, values)
-    ]
-    return "/".join([path, *named])
+def replace_partitions(
+    df: DataFrame, path: str, partitions: tuple[str, ...], replaced: Iterable[tuple]
+) -> None:
+    """Publishes rows of the `replaced` partitions in place of what these hold."""
+    spark = df.sparkSession
+    now = published.current(spark, path)
+    folder = published.new_folder(now)
+    _write_partitions(df, f"{path}/{folder}", partitions, "overwrite")
+    added = published.partitions_in(spark, path, folder, len(partitions))
+    gone = {*map(tuple, replaced)} | {published.values_of(f, df.schema) for f in added}
+    others, schema = [], df.schema
+    if now is not None:
+        others = [f for f in now.folders if published.values_of(f, now.schema) not in gone]
+        schema = append_new_columns(published.read(spark, path, now), df).schema
+    published.publish(spark, path, now, schema, [*others, *added])
