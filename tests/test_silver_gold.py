@@ -1,5 +1,7 @@
 import hashlib
-from datetime import date
+import random
+import time
+from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
@@ -337,3 +339,53 @@ def test_promotions(spark, menu):
     assert got["P2"]["lines"] == 0 and got["P2"]["discount_pct"] is None 
     unknown = got["P9"]
     assert (unknown["promo_name"], unknown["lines"]) == (None, 1) and set(got) == {"P1", "P2", "P9"}
+
+
+HISTORY = ("price_history_id string, item_id string, selling_price int, cost_price int,"
+           " effective_from date, effective_to date")
+
+
+def test_random_periods_equal_a_plain_search(spark):
+    """Touching, nested, crossing and endless periods, and such that end before they begin."""
+    draw = random.Random(5)
+    first = date(2024, 1, 1)
+    periods = []
+    for n in range(120):
+        since = first + timedelta(days=draw.randint(0, 150))
+        until = None if draw.random() < 0.15 else since + timedelta(days=draw.randint(-2, 60))
+        item = draw.choice(["M1", "M2", "M3", None])
+        periods.append((f"P{n:03}", item, n, n, since if draw.random() < 0.95 else None, until))
+    lines = [(f"M{i}", first + timedelta(days=d)) for i in range(1, 5) for d in range(-3, 240, 3)]
+    lines += [(None, first), ("M1", None)]
+    got = pricing.price_as_of_order(
+        spark.createDataFrame(lines, "item_id string, order_date date"),
+        spark.createDataFrame(periods, HISTORY),
+    )
+
+    def searched(item, day):
+        around = [p for p in periods if day and p[1] == item and item and p[4] and p[4] <= day
+                  and (p[5] is None or day <= p[5])]
+        return max(((p[4], p[0], p[2]) for p in around), default=(None, None, None))[2]
+
+    found = [(r.item_id, r.order_date, r.price_then) for r in got.collect()]
+    expected = [(i, d, searched(i, d)) for i, d in lines]
+    assert sorted(map(repr, found)) == sorted(map(repr, expected))
+
+
+def test_a_line_meets_few_steps_of_a_long_history(spark):
+    """An item whose price changes daily for 10,000 days, and which all lines are of."""
+    days = spark.range(10_000).select(
+        F.format_string("P%06d", "id").alias("price_history_id"), F.lit("M1").alias("item_id"),
+        F.col("id").cast("int").alias("selling_price"), F.col("id").cast("int").alias("cost_price"),
+        F.date_add(F.lit("1990-01-01").cast("date"), F.col("id").cast("int")).alias("effective_from"),
+    )
+    history = days.withColumn("effective_to", F.col("effective_from"))
+    lines = spark.range(50_000).select(
+        F.lit("M1").alias("item_id"),
+        F.date_add(F.lit("1990-01-01").cast("date"), (F.col("id") % 10_000).cast("int")).alias("order_date"),
+        (F.col("id") % 10_000).cast("int").alias("expected"),
+    )
+    start = time.monotonic()
+    got = pricing.price_as_of_order(lines, history)
+    assert got.filter("price_then = expected").count() == 50_000
+    assert time.monotonic() - start < 60  # half a billion comparisons, were it the whole history
