@@ -77,7 +77,7 @@ def test_two_nights(spark, tmp_path):
             read_table(spark, Warehouse(whole).gold(mart))
         )
     for report in ("menu_performance", "location_comparison", "revenue_trends", "time_analysis"):
-        path = f"{Warehouse(root).reports}/{report}_20240402"
+        path = f"{Warehouse(root).reports}/{report}_20240402.csv"
         assert spark.read.option("header", True).csv(path).count() > 0
 
     audit = {(r["table"], r["rows"]) for r in rows(pipeline.read_audit(spark, Warehouse(root)))}

@@ -1,4 +1,5 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,8 +138,42 @@ def test_load_state(spark, tmp_path):
 def test_report_files(spark, tmp_path):
     df = spark.sql("select * from values (2, 'b'), (1, 'a, \"x\"'), (3, null) t(n, s)").orderBy("n")
     path = exports.write_report(df, str(tmp_path), "numbers", date(2024, 3, 1))
-    assert path.endswith("numbers_20240301")
-    text = "".join(p.read_text() for p in sorted((tmp_path / "numbers_20240301").glob("*.csv")))
-    assert text == 'n,s\n1,"a, ""x"""\n2,b\n3,\n'
+    assert path == str(tmp_path / "numbers_20240301.csv")
+    assert (tmp_path / "numbers_20240301.csv").read_text() == 'n,s\n1,"a, ""x"""\n2,b\n3,\n'
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["numbers_20240301.csv"]
     back = spark.read.option("header", True).option("escape", '"').csv(path)
     assert back.orderBy(F.col("n").cast("int")).first().s == 'a, "x"'
+
+
+def test_a_report_of_many_parts_is_one_file_in_order(spark, tmp_path):
+    df = spark.range(1000, numPartitions=7).withColumnRenamed("id", 'a "b", c').repartition(5)
+    path = exports.write_report(df.orderBy(F.desc('a "b", c')), str(tmp_path), "r", date(2024, 3, 1))
+    lines = Path(path).read_text().splitlines()
+    assert lines == ['"a ""b"", c"', *map(str, reversed(range(1000)))]
+    ranged = spark.range(1000, numPartitions=7)  # stays seven parts
+    path = exports.write_report(ranged, str(tmp_path), "r", date(2024, 3, 1))
+    assert Path(path).read_text().splitlines() == ["id", *map(str, range(1000))]
+    empty = exports.write_report(ranged.limit(0), str(tmp_path), "none", date(2024, 3, 1))
+    assert Path(empty).read_text() == "id\n"
+
+
+def test_the_old_report_stays_until_the_new_one_is_whole(spark, tmp_path, monkeypatch):
+    day = date(2024, 3, 1)
+    path = exports.write_report(spark.range(3), str(tmp_path), "r", day)
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    for step in ("join_files", "replace_file"):
+        with monkeypatch.context() as m:
+            m.setattr(exports, step, lost)
+            with pytest.raises(RuntimeError, match="lost"):
+                exports.write_report(spark.range(9), str(tmp_path), "r", day)
+        assert Path(path).read_text().splitlines() == ["id", "0", "1", "2"]
+    bad = spark.range(9).select(F.raise_error(F.lit("halfway")).cast("int").alias("id"))
+    with pytest.raises(Exception, match="halfway"):
+        exports.write_report(bad, str(tmp_path), "r", day)
+    assert Path(path).read_text().splitlines() == ["id", "0", "1", "2"]
+    exports.write_report(spark.range(1), str(tmp_path), "r", day)
+    assert Path(path).read_text().splitlines() == ["id", "0"]
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["r_20240301.csv"]

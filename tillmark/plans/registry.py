@@ -175,7 +175,7 @@ def rebuild_table(t: Tables) -> DataFrame:
 
 
 def report_files(t: Tables) -> DataFrame:
-    """The trends report, read back from its dated CSV folder."""
+    """The trends report, read back from its dated CSV file."""
     report = reports.report_revenue_trends(t.trends_mart)
     path = exports.write_report(
         report, scratch_path(t.spark, "reports"), "revenue_trends", date(2001, 12, 31)

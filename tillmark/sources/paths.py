@@ -51,6 +51,35 @@ def move(spark: SparkSession, path: str, to: str) -> bool:
     return not files.exists(target) and files.rename(source, target)
 
 
+def replace_file(spark: SparkSession, path: str, to: str) -> None:
+    """One rename that takes the place of whatever file is there."""
+    context = spark.sparkContext
+    java = context._jvm
+    files = java.org.apache.hadoop.fs.FileContext.getFileContext(
+        java.org.apache.hadoop.fs.Path(to).toUri(), context._jsc.hadoopConfiguration()
+    )
+    options = context._gateway.new_array(java.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = java.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files.rename(java.org.apache.hadoop.fs.Path(path), java.org.apache.hadoop.fs.Path(to), options)
+
+
+def join_files(spark: SparkSession, first: str, parts: list[str], to: str) -> None:
+    """Writes a text and after it the parts, one after the other, a buffer at a time."""
+    java = spark.sparkContext._jvm
+    files, located = _file_system(spark, to)
+    out = files.create(located, True)
+    try:
+        out.write(bytearray(first.encode()))
+        for part in parts:
+            source = files.open(java.org.apache.hadoop.fs.Path(part))
+            try:
+                java.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 16, False)
+            finally:
+                source.close()
+    finally:
+        out.close()
+
+
 def publish_text(spark: SparkSession, path: str, text: str) -> bool:
     """Writes a small file aside and puts it in place by one rename; False, if one is there."""
     aside = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
