@@ -1,3 +1,4 @@
+import random
 import re
 from datetime import date
 
@@ -5,11 +6,11 @@ import pytest
 
 from tests.conftest import default_exports, frame, line, order, rows, write_exports
 from tillmark.config import QualityRules
+from tillmark.operators import additive, gold, typed
 from tillmark.operators import silver as silver_operators
-from tillmark.operators import typed
 from tillmark.plans import pipeline
 from tillmark.plans.pipeline import QualityGateError, Warehouse
-from tillmark.sources import bronze, state
+from tillmark.sources import bronze, published, state
 from tillmark.sources.paths import remove_path
 from tillmark.sources.tables import read_table
 
@@ -94,38 +95,130 @@ def test_two_nights(spark, tmp_path):
     assert silver(spark, root, "stg_orders") == before
 
 
-def test_a_night_recomputes_its_months_only(spark, tmp_path, monkeypatch):
-    root = str(tmp_path / "w")
-    where = Warehouse(root)
-    pipeline.run(spark, write_exports(tmp_path / "one", **NIGHT_ONE), root, RULES, DAY)
-
-    def files():
-        found = (tmp_path / "w" / "gold" / "monthly").glob("*/written=*/order_year=*/order_month=*/*.parquet")
-        return {str(f) for f in found}
-
-    march = {f for f in files() if "order_month=3" in f}
-    seen = []
-    figures = dict(pipeline.MONTHLY)
+def spied_figures(monkeypatch):
+    """Has Gold's figures note what they are made of."""
+    seen, figures = [], dict(pipeline.MONTHLY)
     spied = {
         name: lambda orders, items, f=f: (seen.append((orders, items)), f(orders, items))[1]
         for name, f in figures.items()
     }
     monkeypatch.setattr(pipeline, "MONTHLY", spied)
+    return seen, figures
+
+
+def equals_a_rebuild(spark, where, names):
+    again = {name: content(read_table(spark, where.monthly(name))) for name in names}
+    marts = {name: content(read_table(spark, where.gold(name))) for name in GOLD}
+    remove_path(spark, f"{where.root}/gold")
+    pipeline.build_gold(spark, where)
+    assert again == {name: content(read_table(spark, where.monthly(name))) for name in names}
+    assert marts == {name: content(read_table(spark, where.gold(name))) for name in GOLD}
+
+
+def monthly_files(tmp_path):
+    found = (tmp_path / "w" / "gold" / "monthly").glob("*/written=*/order_year=*/order_month=*/*.parquet")
+    return {str(f) for f in found}
+
+
+def test_a_night_recomputes_its_months_only(spark, tmp_path, monkeypatch):
+    """Where the changes of Silver are not kept."""
+    root = str(tmp_path / "w")
+    pipeline.run(spark, write_exports(tmp_path / "one", **NIGHT_ONE), root, RULES, DAY)
+    march = {f for f in monthly_files(tmp_path) if "order_month=3" in f}
+    seen, figures = spied_figures(monkeypatch)
+    monkeypatch.setattr(published, "changes_since", lambda *_: None)
     pipeline.run(spark, write_exports(tmp_path / "two", **NIGHT_TWO), root, RULES, DAY)
-    assert march <= files() and {f for f in files() if "order_month=4" in f}
+    now = monthly_files(tmp_path)
+    assert march <= now and {f for f in now if "order_month=4" in f}
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    assert len(seen) == len(figures)
     for df in (df for pair in seen for df in pair):
         text = df._jdf.queryExecution().executedPlan().toString()
         (pruned,) = re.findall(r"PartitionFilters: \[(.*?)\], Pushed", text)
         assert "2024/4" in pruned and "2024/3" not in pruned
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     # and the figures are those of a rebuild
-    again = {name: content(read_table(spark, where.monthly(name))) for name in figures}
-    marts = {name: content(read_table(spark, where.gold(name))) for name in GOLD}
-    remove_path(spark, f"{root}/gold")
+    equals_a_rebuild(spark, Warehouse(root), figures)
+
+
+def test_gold_reads_the_rows_of_changed_orders_only(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "w")
+    where = Warehouse(root)
+    pipeline.run(spark, write_exports(tmp_path / "one", **NIGHT_ONE), root, RULES, DAY)
+    march = {f for f in monthly_files(tmp_path) if "order_month=3" in f}
+    seen, figures = spied_figures(monkeypatch)
+    pipeline.run(spark, write_exports(tmp_path / "two", **NIGHT_TWO), root, RULES, DAY)
+    assert march <= monthly_files(tmp_path)
+    assert len(seen) == len(figures)
+    assert {r.order_id for pair in seen for r in pair[0].collect()} == {"O4"}
+    # a correction: one order of March moves to May; its lines go with it
+    seen.clear()
+    orders = silver_operators.stg_orders(typed.src_orders(
+        frame(spark, [order(1, "2024-05-08", total="32.00", subtotal="28.55", tax="3.45")])))
+    items = silver_operators.by_month(silver_operators.stg_order_items(
+        typed.src_order_items(frame(spark, [line(1, 1, quantity="2", line_total="20.00"), line(2, 1, item=1)])),
+        orders, typed.src_menu(frame(spark, default_exports()["menu"]))))
+    pipeline.merge_silver(spark, where, "stg_orders", orders, "order_id")
+    pipeline.merge_silver(spark, where, "stg_order_items", items, "order_id", orders.select("order_id"))
     pipeline.build_gold(spark, where)
-    assert again == {name: content(read_table(spark, where.monthly(name))) for name in figures}
-    assert marts == {name: content(read_table(spark, where.gold(name))) for name in GOLD}
+    rows_read = [r for pair in seen for r in pair[0].collect()]
+    assert len(seen) == 2 * len(figures) and {r.order_id for r in rows_read} == {"O1"}
+    assert {r.order_month for r in rows_read} == {3, 5}
+    # run again, it counts nothing twice
+    before = content(read_table(spark, where.monthly("sales")))
+    pipeline.update_months(spark, where)
+    assert len(seen) == 2 * len(figures) and content(read_table(spark, where.monthly("sales"))) == before
+    equals_a_rebuild(spark, where, figures)
+
+
+def test_random_merges_between_two_golds(spark, tmp_path):
+    """Orders that change several times, move, become refunds; unknown amounts; empty months."""
+    where, draw = Warehouse(str(tmp_path / "w")), random.Random(3)
+    menu = typed.src_menu(frame(spark, default_exports()["menu"]))
+
+    def merge():
+        numbers = draw.sample(range(30), 12)
+        records = [
+            order(n, f"2024-0{draw.randint(1, 3)}-1{n % 10}", site=draw.randint(0, 1),
+                  kind=draw.choice(["Dine-In", "Takeout", "Other"]), refund=draw.choice(["False", "True"]),
+                  total=draw.choice(["11.30", "20.05", None]), time=f"{draw.randint(9, 23):02}:00:00",
+                  discount=draw.choice(["1.00", None]))
+            for n in numbers
+        ]
+        lines = [
+            line(100 * n + i, n, item=draw.randint(0, 2), quantity=str(draw.randint(0, 3)),
+                 line_total=draw.choice(["10.00", "0.00", "7.77"]))
+            for n in numbers for i in range(draw.randint(0, 3))
+        ] or [line(1, 99)]
+        schema = ", ".join(f"`{c}` string" for c in records[0])
+        orders = silver_operators.stg_orders(typed.src_orders(frame(spark, records, schema)))
+        items = silver_operators.by_month(silver_operators.stg_order_items(
+            typed.src_order_items(frame(spark, lines)), orders, menu))
+        pipeline.merge_silver(spark, where, "stg_orders", orders, "order_id")
+        pipeline.merge_silver(
+            spark, where, "stg_order_items", items, "order_id", orders.select("order_id"))
+
+    merge()
+    pipeline.update_months(spark, where)
+    for merges in (1, 2, 4):  # changes of the last are not all kept any more
+        for _ in range(merges):
+            merge()
+        pipeline.update_months(spark, where)
+        tables = [read_table(spark, where.silver(t)) for t in ("stg_orders", "stg_order_items")]
+        for name, figures in pipeline.MONTHLY.items():
+            kept = read_table(spark, where.monthly(name))
+            fresh = figures(*tables).select(*kept.columns)
+            assert content(kept) == content(fresh), (name, merges)
+        # and what is made of them equals the figures of all rows
+        monthly = {n: read_table(spark, where.monthly(n)) for n in pipeline.MONTHLY}
+        for made, plain in [
+            (additive.monthly_revenue(monthly["sales"]), gold.monthly_revenue(tables[0])),
+            (additive.mart_time_analysis(monthly["hours"]), gold.mart_time_analysis(tables[0])),
+            (additive.monthly_locations(monthly["sales"], monthly["profits"]),
+             gold.monthly_locations(*tables)),
+            (additive.monthly_items(monthly["items"]), gold.monthly_items(tables[1])),
+        ]:
+            assert content(made) == content(plain) and made.dtypes == plain.dtypes
 
 
 def test_months_stay_noted_until_gold_is_done(spark, tmp_path, monkeypatch):

@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.config import INCREMENTAL_TABLES, RAW_COLUMNS, SILVER_PARTITIONS, QualityRules
-from tillmark.operators import gold, quality, reports, silver, typed
+from tillmark.operators import additive, gold, quality, reports, silver, typed
 from tillmark.operators.incremental import high_water_mark
 from tillmark.session import configure
-from tillmark.sources import bronze, exports, state
+from tillmark.sources import bronze, exports, published, state
 from tillmark.sources.csv_export import read_export
 from tillmark.sources.lines import LineStore
 from tillmark.sources.paths import check_arrival, path_exists, remove_path
@@ -263,11 +263,18 @@ def merge_silver(
     return merged.rows
 
 
+# Figures by month that add up, of which the marts are made, from Silver orders and costed lines.
 MONTHLY: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
-    "items": lambda orders, items: gold.monthly_items(items),
-    "locations": gold.monthly_locations,
-    "revenue": lambda orders, items: gold.monthly_revenue(orders),
-    "hours": lambda orders, items: gold.mart_time_analysis(orders),
+    "sales": lambda orders, items: additive.sales(orders),
+    "hours": lambda orders, items: additive.hours(orders),
+    "profits": lambda orders, items: additive.profits(items),
+    "items": lambda orders, items: additive.items(items),
+}
+# The one Silver table that each of them reads, and what it is grouped by.
+FOLLOWS = {
+    "sales": ("stg_orders", gold.MONTH_KEYS), "hours": ("stg_orders", gold.HEATMAP_KEYS),
+    "profits": ("stg_order_items", gold.MONTH_KEYS),
+    "items": ("stg_order_items", (*gold.ITEM_KEYS, "order_year", "order_month")),
 }
 
 
@@ -282,34 +289,88 @@ def touched_months(spark: SparkSession, where: Warehouse) -> list[tuple] | None:
 
 
 def update_months(spark: SparkSession, where: Warehouse) -> None:
-    """Recomputes the monthly figures of the touched months, from these months only."""
+    """Brings the monthly figures up to Silver.
+
+    Each follows its Silver table by the rows that the versions since brought and removed, and reads no
+    others. Where these are not kept, since many merges came in between, the touched months are
+    computed again. With its rows a version's number is published, so none is counted twice.
+    """
     months = touched_months(spark, where)
-    if months == []:
-        return
-    orders, items = (
-        read_table(spark, where.silver(t)) for t in ("stg_orders", "stg_order_items")
-    )
-    if months is not None:
-        orders, items = (df.filter(within(SILVER_PARTITIONS, months)) for df in (orders, items))
-    for name, figures in MONTHLY.items():
-        replace_partitions(
-            figures(orders, items), where.monthly(name), SILVER_PARTITIONS, months or ()
-        )
+    silver_now = {t: published.current(spark, where.silver(t)) for t in ("stg_orders", "stg_order_items")}
+    for name in MONTHLY:
+        source = FOLLOWS[name][0]
+        now, done = silver_now[source], published.current(spark, where.monthly(name))
+        last = done.taken.get(source) if done else None
+        if now is None or last == now.number:
+            continue
+        changes = None
+        if last is not None:
+            changes = published.changes_since(spark, where.silver(source), last)
+        if changes is None:
+            recompute(spark, where, name, months)
+        else:
+            follow(spark, where, name, changes)
     remove_path(spark, where.touched)
 
 
+def recompute(
+    spark: SparkSession, where: Warehouse, name: str, months: list[tuple] | None
+) -> None:
+    """Computes one of the monthly figures again for some months, or for all (None)."""
+    source = FOLLOWS[name][0]
+    now = published.current(spark, where.silver(source))
+    tables = [read_table(spark, where.silver(t)) for t in ("stg_orders", "stg_order_items")]
+    if months is not None:
+        tables = [df.filter(within(SILVER_PARTITIONS, months)) for df in tables]
+    replace_partitions(
+        MONTHLY[name](*tables), where.monthly(name), SILVER_PARTITIONS, months or (),
+        {source: now.number},
+    )
+
+
+def follow(
+    spark: SparkSession, where: Warehouse, name: str, changes: list[published.Version]
+) -> None:
+    """Adds to monthly figures what the changes of a Silver table brought, less what they removed.
+
+    An order may change several times: each version is counted for itself, as within one every order is
+    whole.
+    """
+    source, keys = FOLLOWS[name]
+    path, figures = where.silver(source), MONTHLY[name]
+    months = {
+        published.values_of(f, v.schema) for v in changes for f in (*v.change.added, *v.change.removed)
+    }
+    known = read_table(spark, where.monthly(name))
+    parts = [known.filter(within(SILVER_PARTITIONS, months))]
+    for version in changes:
+        for folders, sign in ((version.change.added, 1), (version.change.removed, -1)):
+            if folders:
+                rows = published.read_folders(spark, path, version.schema, folders)
+                part = figures(rows, rows)
+                parts.append(part if sign > 0 else additive.less(part, keys))
+    replace_partitions(
+        additive.together(parts, keys), where.monthly(name), SILVER_PARTITIONS, months,
+        {source: changes[-1].number},
+    )
+
+
 def build_gold(spark: SparkSession, where: Warehouse) -> dict[str, int]:
-    """The marts, from monthly figures; only those of touched months are computed anew."""
+    """The marts, from monthly figures, which follow Silver by its changes."""
     update_months(spark, where)
     monthly = {name: read_table(spark, where.monthly(name)) for name in MONTHLY}
-    replace_table(gold.item_stats(monthly["items"]), where.gold("_item_stats"))
+    replace_table(
+        gold.item_stats(additive.monthly_items(monthly["items"])), where.gold("_item_stats")
+    )
     marts = {
         "mart_menu_performance": gold.mart_menu_performance(
             read_table(spark, where.gold("_item_stats"))
         ),
-        "mart_location_comparison": gold.mart_location_comparison(monthly["locations"]),
-        "mart_revenue_trends": gold.mart_revenue_trends(monthly["revenue"]),
-        "mart_time_analysis": monthly["hours"],
+        "mart_location_comparison": gold.mart_location_comparison(
+            additive.monthly_locations(monthly["sales"], monthly["profits"])
+        ),
+        "mart_revenue_trends": gold.mart_revenue_trends(additive.monthly_revenue(monthly["sales"])),
+        "mart_time_analysis": additive.mart_time_analysis(monthly["hours"]),
     }
     return {name: replace_table(mart, where.gold(name)) for name, mart in marts.items()}
 

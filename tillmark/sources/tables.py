@@ -18,7 +18,7 @@ from tillmark.config import SILVER_PARTITIONS
 from tillmark.operators.incremental import append_new_columns
 from tillmark.sources import published
 from tillmark.sources.paths import path_exists, remove_path
-from tillmark.sources.published import Version
+from tillmark.sources.published import Change, Version
 
 MOST_FOLDERS = 32  # in which one partition may lie
 
@@ -157,7 +157,8 @@ def merge_table(
     folder. Partitions that hold a key to remove, wherever the new row of that key belongs (a corrected
     order may have changed month), are written again without it; on a normal night there are none.
     Then the new folders are published in place of the old ones: a run that breaks off before has
-    changed nothing, and whoever ran it runs it again. `before` is told the partitions of an existing
+    changed nothing, and whoever ran it runs it again. The rows removed are kept beside, for whoever
+    follows the table by its changes. `before` is told the partitions of an existing
     table that are about to change.
 
     A partition that has come to lie in `MOST_FOLDERS` folders is written again as well.
@@ -169,7 +170,8 @@ def merge_table(
     added = published.partitions_in(spark, path, folder, len(partitions))
     fresh = {published.values_of(f, batch.schema) for f in added}
     if now is None:
-        published.publish(spark, path, None, batch.schema, added)
+        change = Change(tuple(added))
+        published.publish(spark, path, None, batch.schema, added, change=change)
         return Merged(rows, tuple(fresh))
 
     stage = f"{path}/_stage-{folder.partition('=')[2]}"  # hidden from readers of the table
@@ -183,12 +185,19 @@ def merge_table(
     changed = tuple(hit | fresh)
     if changed:
         before(changed)
-        again = hit | _crowded(now)
-        survivors = target.filter(within(partitions, again)).join(removed, key, "left_anti")
-        kept = _written_again(survivors.select(*target.columns), path, now, partitions) if again else []
+        again, gone_rows, kept = hit | _crowded(now), [], []
+        if hit:
+            rows_of = target.filter(within(partitions, hit)).join(removed, key, "left_semi")
+            gone_rows = _written_again(
+                rows_of.select(*target.columns), path, now, partitions, published.REMOVED
+            )
+        if again:
+            survivors = target.filter(within(partitions, again)).join(removed, key, "left_anti")
+            kept = _written_again(survivors.select(*target.columns), path, now, partitions)
         folders = [f for f in now.folders if published.values_of(f, now.schema) not in again]
         schema = append_new_columns(target, written).schema
-        published.publish(spark, path, now, schema, [*folders, *kept, *added])
+        change = Change(tuple(added), tuple(gone_rows))
+        published.publish(spark, path, now, schema, [*folders, *kept, *added], change=change)
     remove_path(spark, stage)
     return Merged(rows, changed)
 
@@ -200,10 +209,11 @@ def _crowded(version: Version) -> set[tuple]:
 
 
 def _written_again(
-    rows: DataFrame, path: str, now: Version, partitions: tuple[str, ...]
+    rows: DataFrame, path: str, now: Version, partitions: tuple[str, ...],
+    kind: str = published.WRITTEN,
 ) -> list[str]:
-    """Writes what some partitions keep of their rows; returns the new folders."""
-    folder = published.new_folder(now)
+    """Writes what some partitions keep of their rows, or lose; returns the new folders."""
+    folder = published.new_folder(now, kind)
     _write_partitions(rows, f"{path}/{folder}", partitions, "overwrite")
     return published.partitions_in(rows.sparkSession, path, folder, len(partitions))
 
@@ -231,12 +241,15 @@ def append_partitions(
         if again:
             again_rows = target.filter(within(partitions, again))
             kept = _written_again(again_rows, path, now, partitions)
-    published.publish(spark, path, now, schema, [*others, *kept, *added], {source: number})
+    published.publish(
+        spark, path, now, schema, [*others, *kept, *added], {source: number}, Change(tuple(added))
+    )
     return rows
 
 
 def replace_partitions(
-    df: DataFrame, path: str, partitions: tuple[str, ...], replaced: Iterable[tuple]
+    df: DataFrame, path: str, partitions: tuple[str, ...], replaced: Iterable[tuple],
+    taken: dict[str, int] | None = None,
 ) -> None:
     """Publishes rows of the `replaced` partitions in place of what these hold."""
     spark = df.sparkSession
@@ -249,4 +262,4 @@ def replace_partitions(
     if now is not None:
         others = [f for f in now.folders if published.values_of(f, now.schema) not in gone]
         schema = append_new_columns(published.read(spark, path, now), df).schema
-    published.publish(spark, path, now, schema, [*others, *added])
+    published.publish(spark, path, now, schema, [*others, *added], taken)
