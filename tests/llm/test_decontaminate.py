@@ -22,14 +22,15 @@ def brute(docs, items, n=13):
         for item, item_text in items:
             own = WORD.findall(lower(item_text))
             size = min(n, len(own))
-            if item is None or not size:
+            if item_text is None or not size:
                 continue
             windows = {tuple(own[i:i + size]) for i in range(len(own) - size + 1)}
             for i in range(len(words) - size + 1):
                 if tuple(words[i:i + size]) in windows:
                     hit.update(range(i, i + size))
-                    found.add(str(item))
-        ids = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+                    found.add(item)
+        names = sorted(str(i) for i in found if i is not None)
+        ids = hashlib.sha256(",".join(names).encode()).hexdigest()
         out.append((doc, len(words), len(hit), len(found), ids,
                     len(hit) > 0 and 20 * len(hit) >= len(words)))
     return sorted(out, key=repr)
@@ -107,9 +108,9 @@ def test_items_without_an_id_leave_no_document(spark, most_bytes):
     docs, items = frames(spark, rows, bench)
     kept = decontaminate.remove(docs, items, most_bytes=most_bytes)
     assert [r.doc_id for r in kept.collect()] == [2]
-    found = decontaminate.report(docs, items, unnamed=True, most_bytes=most_bytes).collect()
+    found = decontaminate.report(docs, items, most_bytes=most_bytes).collect()
     assert {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in found} == {
-        1: (40, 0, True), 2: (0, 0, False), 3: (2, 1, True), 4: (4, 1, True)}
+        1: (40, 1, True), 2: (0, 0, False), 3: (2, 1, True), 4: (4, 2, True)}
     assert run(spark, rows, bench, most_bytes=most_bytes) == brute(rows, bench)
 
 

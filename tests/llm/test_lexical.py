@@ -125,8 +125,8 @@ def test_a_stage_adds_to_what_a_bundle_carries():
     ])
     asker = {"item": 1, "weight": 2, "cutoff": 30, "after": 0, "opens": False}
     postings = pa.Table.from_pylist([
-        {"bundle": 0, "block": 7, "places": ints([5, 9], np.int32), "times": ints([1, 1]),
-         "lengths": ints([1, 1]), "askers": [asker]},
+        {"bundle": 0, "block": 7, "places": ints([5, 9], np.int32), "times": ints([1, 1], np.int32),
+         "lengths": ints([1, 1], np.int32), "askers": [asker]},
     ])
     (row,) = lexical.carry(10, 10, 2)(carried, postings).to_pylist()
     value = 1_000_000_000 // (1000 + 8 * 100)

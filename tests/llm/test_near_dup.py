@@ -171,3 +171,19 @@ def test_components_of_long_paths_and_stars(spark):
 def test_rows_from_an_expression(spark):
     rows = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("a b c d e f").alias("text"))
     assert near_dup.report(rows).filter("kept").count() == 1
+
+
+def test_no_register_of_a_small_set_is_cut_off():
+    ends = np.array([0, 1, 2**32 - 1, 2**63, 2**64 - 1], np.uint64)
+    for value in ends:
+        found = near_dup.registers(np.array([value], np.uint64))
+        assert found.min() > 0 and found.max() < 2**16 - 1
+
+
+def test_unlike_texts_of_one_word_share_no_band():
+    sketches = np.array([
+        near_dup.registers(near_dup.shingles(f"word{i}".encode())) for i in range(20000)
+    ])
+    for band in range(near_dup.BANDS):
+        part = sketches[:, near_dup.ROWS * band: near_dup.ROWS * (band + 1)]
+        assert len(np.unique(part, axis=0)) == len(part)

@@ -90,3 +90,18 @@ def test_written_shards(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 1000
     assert back.filter(sharding.rendezvous(F.col("doc_id"), 4) != F.col("shard")).count() == 0
+
+
+def test_slots_keep_columns_of_other_names(spark):
+    from tillmark.llm.store import Store
+
+    rows = spark.range(50).select(
+        "id", (F.col("id") % 3).alias("shard"), F.lit("c").alias("chunk"), F.lit(7).alias("first_slot"),
+        F.lit(8).alias("size_of_chunk"), F.lit(-1).alias("slot"),
+    ).repartition(4)
+    found = sharding.with_slots(Store(spark, "test"), rows)
+    assert set(found.columns) == set(rows.columns)
+    got = found.collect()
+    assert {(r.chunk, r.first_slot, r.size_of_chunk) for r in got} == {("c", 7, 8)}
+    for shard in range(3):
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))

@@ -81,3 +81,35 @@ def test_columns_with_clashing_names_stay(spark):
     found = url_rules.judge(pages, rules)
     assert found.columns == ["page_id", "url", "key", "row", "host", "path", "rule", "verdict"]
     assert tuple(found.first()) == (1, "http://org/", "k", 2, "org", "/", "org/", "allow")
+
+
+def test_paths_equal_a_plain_search():
+    import random
+
+    draw = random.Random(4)
+    for _ in range(200):
+        rules = [
+            (draw.choice(["allow", "block"]), "h", "".join(draw.choice("/ab") for _ in range(draw.randint(0, 6))))
+            for _ in range(draw.randint(0, 25))
+        ]
+        paths = url_rules.Paths(rules)
+        for _ in range(20):
+            path = "".join(draw.choice("/ab") for _ in range(draw.randint(0, 8)))
+            fits = [(len(r[2]), r[0] == "block", r) for r in rules if path.startswith(r[2])]
+            best = max(fits)[2] if fits else None
+            assert paths.longest(path) == best
+
+
+def test_time_does_not_grow_with_the_rules_of_a_host():
+    import time
+
+    def seconds(n):
+        rules = [("block", "h", f"/{i:06}/x") for i in range(n)]
+        paths = url_rules.Paths(rules)
+        urls = [f"/{i * 7919 % n:06}/x/y" for i in range(20000)]
+        start = time.process_time()
+        assert all(paths.longest(u) is not None for u in urls)
+        return time.process_time() - start
+
+    few = seconds(10)
+    assert seconds(100_000) < 20 * few + 0.2

@@ -20,7 +20,7 @@ def brute(rows, least=0):
         size = len((body or "").encode())
         same = [p for p, _, b in rows if p is not None and (b or "") == (body or "")]
         first = min(same) if same and size >= least else page
-        again = page is not None and page != first
+        again = page != first
         out.append((page, size, digest(body), "revisit" if again else "response",
                     first if again else None))
     return sorted(out, key=repr)
@@ -104,3 +104,15 @@ def test_digest(spark):
     df = spark.createDataFrame([("a",), ("",), ("é" * 1000,)], "t string")
     for row in df.select("t", warc.payload_digest(F.col("t")).alias("d")).collect():
         assert row.d == digest(row.t)
+
+
+def test_the_date_is_the_callers(spark):
+    store = Store(spark, "test")
+    pages = frame(spark, ROWS)
+    warc.write_archives(pages, store.path("a"), store, date="2020-02-03T04:05:06Z")
+    text = "\n".join(r.value for r in spark.read.text(store.path("a")).collect())
+    dates = {line.split(": ", 1)[1] for line in text.splitlines() if line.startswith(("WARC-Date", "WARC-Refers-To-Date"))}
+    assert dates == {"2020-02-03T04:05:06Z"}
+    warc.write_archives(pages, store.path("b"), store)
+    text = "\n".join(r.value for r in spark.read.text(store.path("b")).collect())
+    assert "WARC-Date: 20" in text and "2024-01-01" not in text

@@ -30,7 +30,8 @@ def pieces(
 
 def bounded(spark: SparkSession, most_bytes: int = 8 << 20) -> None:
     """From now on Arrow batches stop at about `most_bytes`, so that rows with long texts don't
-    come by the ten thousand. A single row may be larger."""
+    come by the ten thousand. A single row may be larger. It stays so: results are lazy, and the setting
+    counts when they are run."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most_bytes))
 
 

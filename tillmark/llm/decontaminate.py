@@ -9,9 +9,11 @@ matched window are hit.
 The benchmark's size is taken first; beyond `most_bytes` it goes in blocks of items, each broadcast
 for a pass of its own over a written table, and the hits of the passes are united.
 
-Defined cases: a null text has no words. An item without words matches nothing. An item without an
-id matches nothing in the report, as in its SQL; for removal its windows are hits without a name.
-A document without words is not contaminated. Repeated items count once by id.
+Defined cases: a null text has no words. An item without words matches nothing. The windows of an item
+without an id are hits like others; all such items count as one, which the list of ids leaves out.
+A document without words is not contaminated. Repeated items count once by id. Very long texts are
+searched whole. Without items nothing is hit; an empty table gives no rows. Columns that clash with the
+operator's own stay as they are.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ _WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER_TEXT = {c: c + 32 for c in range(65, 91)}
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
+WINDOW_BYTES = 600  # of one window while an index is built, as measured
 MATCH = (
     "n_words:bigint,n_hit:bigint,items:array<string>,spans:array<struct<start:int,stop:int>>"
 )
@@ -70,12 +73,14 @@ class Windows:
 class Index:
     vocabulary: dict[bytes, int]  # numbers from 1; 0 is any other word
     windows: list[Windows]
-    names: list[str]  # item ids as strings
+    names: list[str | None]  # item ids as strings; items without one come last
 
 
 def build_index(items: list[tuple[str | None, bytes]], n: int) -> Index:
     vocabulary: dict[bytes, int] = {}
-    names = sorted({name for name, _ in items if name is not None})
+    names: list[str | None] = sorted({name for name, _ in items if name is not None})
+    if any(name is None for name, _ in items):
+        names.append(None)
     place = {name: i for i, name in enumerate(names)}
     by_length: dict[int, dict[tuple, set[int]]] = {}
     for name, text in items:
@@ -84,9 +89,7 @@ def build_index(items: list[tuple[str | None, bytes]], n: int) -> Index:
         if length:
             found = by_length.setdefault(length, {})
             for start in range(len(numbers) - length + 1):
-                owners = found.setdefault(tuple(numbers[start:start + length]), set())
-                if name is not None:
-                    owners.add(place[name])
+                found.setdefault(tuple(numbers[start:start + length]), set()).add(place[name])
     windows = []
     for length, found in by_length.items():
         matrix = np.array(list(found), np.int64).reshape(-1, length)
@@ -151,6 +154,10 @@ def _united(a: list[dict], b: list[dict]) -> list[dict]:
     return out
 
 
+def _sorted(names: set[str | None]) -> list[str | None]:
+    return sorted(names, key=lambda name: (name is None, name))
+
+
 def _scan(shared):
     kind = pa.struct([
         ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
@@ -187,11 +194,11 @@ def _scan(shared):
             if items[i] is not None:
                 text = raw[i].decode("utf-8", "replace")
                 found["spans"] = _char_spans(text, hit[first:first + count])
-                found["items"] = sorted(items[i])
+                found["items"] = _sorted(items[i])
                 found["n_hit"] = int(hit[first:first + count].sum())
             old = before[i]
             if old is not None and old["n_hit"]:  # of an earlier block of items
-                found["items"] = sorted({*found["items"], *old["items"]})
+                found["items"] = _sorted({*found["items"], *old["items"]})
                 found["spans"] = _united(found["spans"], old["spans"])
                 text = raw[i].decode("utf-8", "replace").translate(_LOWER_TEXT)
                 found["n_hit"] = sum(
@@ -211,12 +218,14 @@ def _scan(shared):
     return run
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, n: int, most_bytes: int, unnamed: bool):
+def _blocks(benchmark: DataFrame, item_id: str, text: str, n: int, most_bytes: int):
     items = benchmark.select(
         F.col(item_id).cast("string").alias("id"), F.col(text).alias("text")
-    ).dropna(subset=["text"] if unnamed else None)
-    # A window costs its words' numbers, a hash and a share of the lists.
-    size = items.agg(F.sum(F.octet_length("text") * F.lit(n * 2) + F.lit(100))).first()[0] or 0
+    ).dropna(subset=["text"])
+    # While it is built, a window costs its words' numbers as Python objects, a hash and a set of owners;
+    # a word has three bytes or more with the blank after it, mostly.
+    size = items.agg(F.sum(F.octet_length("text") * F.lit(WINDOW_BYTES // 4 + n) + F.lit(100)))
+    size = size.first()[0] or 0
     blocks = max(1, -(-int(size) // most_bytes))
     part = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
     for block in range(blocks):
@@ -226,10 +235,9 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, n: int, most_bytes: i
 
 def match_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                     item_id: str = "item_id", item_text: str = "text", n: int = 13,
-                    most_bytes: int = 256 << 20, unnamed: bool = False) -> DataFrame:
-    """`row` (all columns of docs), `text` and `match`: word counts, hit words, item ids in order,
-    and the code points of the hit passages (runs of neighbouring hit words). With `unnamed`, items
-    without an id count as well; the ids lack only them."""
+                    most_bytes: int = 256 << 20) -> DataFrame:
+    """`row` (all columns of docs), `text` and `match`: word counts, hit words, item ids in order
+    (null last), and the code points of the hit passages (runs of neighbouring hit words)."""
     spark = docs.sparkSession
     bounded(spark)
     rows = docs.select(
@@ -241,11 +249,12 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     )
     store = None
     for number, index in enumerate(
-        _blocks(benchmark, item_id, item_text, n, most_bytes, unnamed)
+        _blocks(benchmark, item_id, item_text, n, most_bytes)
     ):
         if number:  # one pass's memory at a time
             store = store or Store(spark, "benchmark")
             rows = store.hold(rows, f"pass-{number}")
+            store.drop(f"pass-{number - 1}")  # a copy of all texts; this pass has read it
         rows = rows.mapInArrow(_scan(spark.sparkContext.broadcast(index)), rows.schema)
     return rows
 
@@ -273,8 +282,8 @@ def report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **opti
 def remove(docs: DataFrame, benchmark: DataFrame, what: str = "documents", text: str = "text",
            **options) -> DataFrame:
     """The documents without contaminated ones, or (`what="spans"`) all with their hit passages
-    cut out, each leaving a space. Columns stay as they are. Items without an id count."""
-    found = match_benchmark(docs, benchmark, text=text, **{"unnamed": True, **options})
+    cut out, each leaving a space. Columns stay as they are."""
+    found = match_benchmark(docs, benchmark, text=text, **options)
     if what == "documents":
         kept, cleaned = found.filter(~is_contaminated()), F.col("text")
     elif what == "spans":

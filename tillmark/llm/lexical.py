@@ -115,7 +115,7 @@ class _Block:
         rows = [
             ("term", block, name[int(number[s])], int(e - s), int(times[s:e].max()),
              int(held[s:e].min()), place[s:e].astype(np.int32).tobytes(),
-             times[s:e].astype(np.int64).tobytes(), held[s:e].tobytes(), None, None)
+             times[s:e].astype(np.int32).tobytes(), held[s:e].astype(np.int32).tobytes(), None, None)
             for s, e in zip(starts, ends)
         ]
         rows.append(("documents", block, None, int((lengths > 0).sum()), None, None, None, None,
@@ -235,8 +235,10 @@ def carry(documents: int, all_terms: int, k: int):
         for batch in postings.select(columns).to_batches(max_chunksize=256):
             for row in batch.to_pylist():
                 places = np.frombuffer(row["places"], np.int32)
-                m = damped(np.frombuffer(row["lengths"], np.int64), documents, all_terms)
-                value = impact(np.frombuffer(row["times"], np.int64), m)
+                lengths, times = (
+                    np.frombuffer(row[c], np.int32).astype(np.int64) for c in ("lengths", "times")
+                )
+                value = impact(times, damped(lengths, documents, all_terms))
                 for asker in row["askers"]:
                     mine = state.get(asker["item"])
                     if mine is None:

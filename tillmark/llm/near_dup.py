@@ -5,7 +5,8 @@ shingles of `WORDS` words (the whole sequence, if it has fewer). Two documents a
 Jaccard similarity of their sets is at least 3/4, and classes are what links connect.
 
 1. Each text is read once: its set is hashed, and `REGISTERS` registers are kept, the minima of as
-   many hash functions on a logarithmic scale of base `BASE`, rounded. They merge by maximum. Rows
+   many hash functions on a logarithmic scale of base `BASE`, rounded, which `RATE` shifts so that
+   those of sets of any size, one shingle included, differ as they should. They merge by maximum. Rows
    and registers are written. Equal sets become one node, whatever their number.
 2. Registers are banded in threes. A pair at the threshold shares one of the bands but for a
    chance of 3e-8 (0.578 to the power 32), a closer pair still more surely.
@@ -23,7 +24,8 @@ No task holds a bucket, and no pair is sought between nodes that are already con
 between written tables, whose skewed sides Spark splits.
 
 Defined cases: null and empty texts, or such without words, have an empty set and are linked with
-nothing; their component is their own id. Repeated rows are copies. The component's id is the
+nothing; their component is their own id. Very long texts are read whole. An empty table gives no rows.
+Repeated rows are copies. The component's id is the
 smallest non-null id in it, null if there is none, and `kept` compares null-safely.
 """
 
@@ -47,6 +49,7 @@ LEAST, OF = 75, 100  # 100 * intersection >= 75 * union
 REGISTERS, ROWS = 96, 3
 BANDS = REGISTERS // ROWS
 BASE = 1.001
+RATE = 32.0  # the largest h, of the largest 32-bit hash, is 23
 TILE = 1024
 # Five standard errors of the estimate at the threshold.
 CUT = LEAST / OF - 5 * (LEAST / OF * (1 - LEAST / OF) / REGISTERS) ** 0.5
@@ -94,14 +97,15 @@ _FACTORS = (
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
-    """floor(1 - log_b(h)) of the least h per hash function, h exponentially distributed."""
+    """floor(1 - log_b(h / a)) of the least h per hash function, h exponentially distributed; a is
+    `RATE`, above all values of h, so no register of any set is cut off below."""
     values = (hashes >> _32).astype(np.uint32)
     least = np.full(REGISTERS, 2**32 - 1, np.uint32)
     for start in range(0, len(values), 2048):
         part = values[start:start + 2048, None] * _FACTORS
         np.minimum(least, part.min(axis=0), out=least)
     uniform = (least + 0.5) / 2.0**32
-    level = np.floor(1 - np.log(-np.log1p(-uniform)) / np.log(BASE))
+    level = np.floor(1 - np.log(-np.log1p(-uniform) / RATE) / np.log(BASE))
     return np.clip(level, 0, 2**16 - 1).astype(np.uint16)
 
 

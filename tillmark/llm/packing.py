@@ -11,7 +11,7 @@ A task packs what it reads, so nothing is shuffled and a lost task can be repeat
 windows of a task are numbered from its partition's number upwards. Memory: the open windows.
 
 Defined cases: a null or empty text is the end token alone. Repeated rows are packed each. Texts
-are taken whole, whatever their length.
+are taken whole, whatever their length. An empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -205,7 +205,7 @@ def _encoder(path: str):
 # ---- the operator ----------------------------------------------------------------------------
 
 
-def _packed(path: str, size: int, end: int):
+def _packed(path: str, size: int, end: int, most_open: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = _encoder(path)
         tail = np.array([end], np.uint32)
@@ -218,7 +218,7 @@ def _packed(path: str, size: int, end: int):
 
         number = TaskContext.get().partitionId() << 32
         rows: list[tuple] = []
-        for window in pack(documents(), size):
+        for window in pack(documents(), size, most_open):
             offset = 0
             for p in window:
                 rows.append((p.doc, p.start, len(p.ids), p.ids.astype("<u4").tobytes(), p.total,
@@ -246,12 +246,13 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end: int = 1,
-                   doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+                   doc_id: str = "doc_id", text: str = "text",
+                   most_open: int = MOST_OPEN) -> DataFrame:
     """The pieces of all documents; `ids` are little-endian unsigned 32-bit numbers.
 
     `tokenizer` is the path of a byte-level tokenizer file, the same on every machine; `end` is
-    the id appended to each document.
+    the id appended to each document. `most_open` bounds the windows that a task holds open.
     """
     bounded(docs.sparkSession)
     rows = docs.selectExpr(f"cast(`{doc_id}` as long) doc_id", f"`{text}` text")
-    return rows.mapInArrow(_packed(tokenizer, size, end), PIECES)
+    return rows.mapInArrow(_packed(tokenizer, size, end, most_open), PIECES)

@@ -8,7 +8,9 @@ find is mapped back to the source and added, unless a base span of its kind cove
 
 All passes are linear in the text's length. Spans count code points, ends exclusive.
 
-Defined cases: a null text is as an empty one. Base spans of different kinds may overlap.
+Defined cases: a null text is as an empty one. Base spans of different kinds may overlap. Very long
+texts are searched whole. Repeated rows give repeated rows, an empty table none. Other columns, whatever
+their names, stay as they are.
 """
 
 from __future__ import annotations

@@ -5,14 +5,14 @@ by what its characters and words look like and encoded by a hidden layer. Gated
 softmax of w . (tanh(V h) * sigmoid(U h)), weights the passages; the weighted sum of their encodings
 is scored by a logistic output. Everything is learned together, from labels of documents alone.
 
-The model is fitted on the driver on a bounded sample, those `SAMPLE` of the labelled documents that
-are there whose ids
-hash lowest, with at most `SAMPLE_PASSAGES` evenly spread passages each. Scoring takes every passage
-of every text, in one pass without a shuffle.
+The model is fitted on the driver on a bounded sample, those `most` (`SAMPLE`) of the labelled
+documents that are there whose ids hash lowest, with all their passages: a few bytes per word. Scoring
+takes every passage of every text, in one pass without a shuffle.
 
 Defined cases: a null or empty text is one passage without words. Rows whose label is null or not 0
 or 1 teach nothing; of several labels of an id the lowest counts. Without labels of both kinds every
-text scores the share of ones, and 0.5 where there are no labels.
+text scores the share of ones, and 0.5 where there are no labels. Repeated rows score alike, and teach
+once per id. Very long texts are described in pieces. An empty table gives no rows. Other columns stay.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ from tillmark.llm.batches import bounded, extended, pieces, utf8
 
 PASSAGE = 64
 SAMPLE = 3000
-SAMPLE_PASSAGES = 64
 
 # ---- passages --------------------------------------------------------------------------------
 
@@ -215,10 +214,7 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in pieces(batch, batch["text"]):
             bags = []
             for text in utf8(texts):
-                bag = passages(text)
-                if len(bag) > SAMPLE_PASSAGES:
-                    bag = bag[np.linspace(0, len(bag) - 1, SAMPLE_PASSAGES).astype(int)]
-                bags.append(bag.astype("<f8").tobytes())
+                bags.append(passages(text).astype("<f8").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [rows["id"], rows["quality"], pa.array(bags, pa.binary())],
                 names=["id", "quality", "bag"],
@@ -285,8 +281,8 @@ def score(docs: DataFrame, model: Model | float, text: str = "text") -> DataFram
 
 
 def report(docs: DataFrame, labels: DataFrame, least: float = 0.3, doc_id: str = "doc_id",
-           text: str = "text") -> DataFrame:
-    model = train(docs, labels, doc_id, text)
+           text: str = "text", most: int = SAMPLE) -> DataFrame:
+    model = train(docs, labels, doc_id, text, most=most)
     rows = score(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), model)
     return rows.select(
         "row.doc_id", (fold(F.col("row.doc_id")) == 0).alias("held_out"), "score",
@@ -295,9 +291,10 @@ def report(docs: DataFrame, labels: DataFrame, least: float = 0.3, doc_id: str =
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.3, doc_id: str = "doc_id",
-              text: str = "text") -> DataFrame:
+              text: str = "text", most: int = SAMPLE) -> DataFrame:
     """The documents that score `least` or more; columns stay as they are."""
-    rows = score(docs, train(docs, labels, doc_id, text), text).filter(F.col("score") >= least)
+    model = train(docs, labels, doc_id, text, most=most)
+    rows = score(docs, model, text).filter(F.col("score") >= least)
     return rows.select(
         *[F.col("text").alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns]
     )

@@ -153,7 +153,7 @@ WITH words AS (
     SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(text,
                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                '(?:[0-9a-z]|[^\x00-\x7F])+') AS w
-    FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+    FROM benchmark WHERE text IS NOT NULL
 ), item_windows AS (
     SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[s:s + least(13, len(w)) - 1], ' ') AS g
     FROM item_words, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS t(s)
@@ -193,8 +193,9 @@ SELECT page_id, payload_bytes,
            substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                ((('0x' || substr(code, (5 * (i // 4) + 1)::BIGINT, 5))::BIGINT
                    >> (15 - 5 * (i % 4))::BIGINT) & 31)::BIGINT + 1, 1)), '') AS payload_digest,
-       CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> original THEN original END AS refers_to
+       CASE WHEN page_id IS NOT DISTINCT FROM original THEN 'response' ELSE 'revisit' END
+           AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM original THEN original END AS refers_to
 FROM originals
 """
 

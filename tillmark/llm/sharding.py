@@ -4,7 +4,8 @@ Every shard draws a number for a record from the record's key and its own index
 goes to the shard whose weighted draw is best. Another shard can only win records, so growing from
 n to n + 1 shards moves about one record in n + 1, and only into the new shard.
 
-Nulls and repeats: the null key is a key like any other; rows with equal keys share a shard.
+Defined cases: the null key is a key like any other; rows with equal keys share a shard, each with a
+slot of its own. Texts of any length count whole; a null one has no bytes. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,30 +42,31 @@ def rendezvous(key: Column, shards: int, weights: Sequence[float] | None = None)
 
 
 def with_slots(store: Store, rows: DataFrame, shard: str = "shard", slot: str = "slot",
-               chunk: str = "chunk") -> DataFrame:
+               chunk: str = "__chunk") -> DataFrame:
     """Adds each row's place in its shard, 0, 1, 2, ... without gaps.
 
     Rows are numbered within (shard, chunk), where a chunk is what one task read, and shifted by
     the sizes of the shard's earlier chunks. No task holds more of a shard than one input split
     gave, whatever the keys. The rows are written first: chunks then stay as they are, also when
-    a lost task is run again.
+    a lost task is run again. A column named like `slot` is replaced; other columns stay, but for names
+    that begin with two underscores, which are the operator's own.
     """
     held = store.hold(
         rows.withColumn(chunk, F.spark_partition_id())
         .withColumn(slot, F.monotonically_increasing_id()),
         "chunks",
     )
-    sizes = held.groupBy(shard, chunk).agg(F.count(F.lit(1)).alias("size_of_chunk"))
+    sizes = held.groupBy(shard, chunk).agg(F.count(F.lit(1)).alias("__size"))
     before = W.partitionBy(shard).orderBy(chunk).rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select(
-        shard, chunk, F.coalesce(F.sum("size_of_chunk").over(before), F.lit(0)).alias("first_slot")
+        shard, chunk, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__first")
     )
     within = W.partitionBy(shard, chunk).orderBy(slot)
     return (
         held.withColumn(slot, F.row_number().over(within).cast("long") - 1)
         .join(starts, [shard, chunk])
-        .withColumn(slot, F.col(slot) + F.col("first_slot"))
-        .drop(chunk, "first_slot")
+        .withColumn(slot, F.col(slot) + F.col("__first"))
+        .drop(chunk, "__first")
     )
 
 

@@ -15,6 +15,8 @@ The lists of a row lie in one task, so totals need no exchange; what leaves a ta
 Defined cases: vectors that are null or hold a null or non-finite component take no part; a
 shorter vector counts as padded with zeros. A query isn't compared with rows of its own id. Of
 several rows with one query id the smallest vector that takes part asks. Totals are exact within 64 bits.
+Equal scores go to the smaller id; repeated candidates are rows of their own. An empty table gives no
+rows. Columns beside id and vector, whatever their names, are not looked at.
 """
 
 from __future__ import annotations

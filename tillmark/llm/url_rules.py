@@ -3,18 +3,22 @@
 `www.example.org` becomes `org/example/www/` (no host holds a slash). A rule's host and all its subdomains then form one
 interval of keys, and two such intervals are nested or disjoint. URLs are dealt out and sorted by
 key; a sweep passes through URLs and rule intervals in one order and keeps the stack of intervals
-that are open. Of the stack's rules whose path starts the URL's path the longest decides, by the
-characters of host and path together; between equal rules with different verdicts, block.
+that are open. The paths of a host's rules are prefixes in order, each with the longest one that starts
+it: a search for the URL's path and a climb from there finds the longest that starts it, however many
+rules a host has. Of the open hosts' rules found so the longest decides, by the characters of host and
+path together; between equal rules with different verdicts, block.
 
 A host's rows are split by the rest of the key and by row, so one host may hold any share of them.
 
 Defined cases: a null URL or one without `://` has empty host and path and, like every URL that no
 rule fits, gets the default verdict and a null rule. A rule with a null host or path is ignored; a
-rule with an empty host fits every URL that has a host.
+rule with an empty host fits every URL that has a host. Repeated rows are judged alike, very long URLs
+whole; without rules every URL gets the default; an empty table of URLs gives no rows.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -46,13 +50,40 @@ def _key_of(host: str) -> str:
     return "".join(f"{label}/" for label in reversed(host.split("."))) if host else ""
 
 
+class Paths:
+    """The rules of one host, by path."""
+
+    def __init__(self, rules: Sequence[Rule]):
+        chosen: dict[str, Rule] = {}
+        for rule in rules:  # between equal paths, block
+            if rule[2] not in chosen or rule[0] == "block":
+                chosen[rule[2]] = rule
+        self.paths = sorted(chosen)
+        self.rules = [chosen[path] for path in self.paths]
+        # Of each path the longest other one that starts it; in order, those that do are on a stack.
+        self.above: list[int] = []
+        open_: list[int] = []
+        for i, path in enumerate(self.paths):
+            while open_ and not path.startswith(self.paths[open_[-1]]):
+                open_.pop()
+            self.above.append(open_[-1] if open_ else -1)
+            open_.append(i)
+
+    def longest(self, path: str) -> Rule | None:
+        """The rule with the longest path that starts this one. The last path that isn't greater
+        either starts it, or shares with it all paths that do."""
+        i = bisect_right(self.paths, path) - 1
+        while i >= 0 and not path.startswith(self.paths[i]):
+            i = self.above[i]
+        return self.rules[i] if i >= 0 else None
+
+
 def sweep(rules: Sequence[Rule], urls: Iterator[tuple[str, str]]) -> Iterator[Rule | None]:
     """The deciding rule of each (key, path); keys must come in byte order."""
-    by_key: dict[bytes, list[Rule]] = {}
+    grouped: dict[bytes, list[Rule]] = {}
     for rule in rules:
-        by_key.setdefault(_key_of(rule[1]).encode(), []).append(rule)
-    for own in by_key.values():  # the rule to prefer first: longest path, then block
-        own.sort(key=lambda r: (-len(r[2]), r[0] != "block"))
+        grouped.setdefault(_key_of(rule[1]).encode(), []).append(rule)
+    by_key = {key: Paths(own) for key, own in grouped.items()}
     starts = sorted(by_key)
     position, open_ = 0, []
     for key, path in urls:
@@ -69,12 +100,11 @@ def sweep(rules: Sequence[Rule], urls: Iterator[tuple[str, str]]) -> Iterator[Ru
             open_.pop()
         best, best_rank = None, (-1, False)
         for start in open_:
-            for rule in by_key[start]:
-                if path.startswith(rule[2]):
-                    rank = (len(rule[1]) + len(rule[2]), rule[0] == "block")
-                    if rank > best_rank:
-                        best, best_rank = rule, rank
-                    break
+            rule = by_key[start].longest(path)
+            if rule is not None:
+                rank = (len(rule[1]) + len(rule[2]), rule[0] == "block")
+                if rank > best_rank:
+                    best, best_rank = rule, rank
         yield best
 
 
@@ -161,6 +191,7 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "a
         if number:  # one sweep's memory at a time
             store = store or Store(spark, "rules")
             rows = store.hold(rows, f"pass-{number}").sortWithinPartitions("key")
+            store.drop(f"pass-{number - 1}")  # a copy of all rows; this pass has read it
         rows = rows.mapInArrow(_swept(spark.sparkContext.broadcast(block)), rows.schema)
     own = ["host", "path", "rule", "verdict"]
     return rows.select(*[F.col(f"row.`{c}`") for c in columns if c not in own], *own)

@@ -10,8 +10,10 @@ A payload that makes up a large share of the rows is no hot key: originals come
 minima, and both joins are between written tables, whose skewed side Spark splits.
 
 Defined cases: a null payload is an empty one. Repeated rows of the smallest id are responses, each.
-Pages without an id are responses, but nothing revisits them. Line breaks in a URL are written
-percent-encoded, a null URL as an empty field.
+Pages without an id revisit the page that has their payload, and are responses where none with an id
+has it. Line breaks in a URL are written percent-encoded, a null URL as an empty field. Very long payloads
+are records of archives of their own. An empty table gives no records. Other columns, whatever their
+names, are not looked at.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,19 +77,20 @@ def revisits(pages: DataFrame, store: Store, page_id: str = "page_id", url: str
         pages.select(
             F.col(page_id).alias("page_id"), F.col(url).alias("url"),
             payload_digest(body).alias("digest"), F.octet_length(body).alias("bytes"),
-        ).filter((F.col("bytes") >= least_bytes) & F.col("page_id").isNotNull()),
+        ).filter(F.col("bytes") >= least_bytes),
         "headers",
     )
     originals = store.hold(
         headers.groupBy("digest", "bytes").agg(
             F.min("page_id").alias("refers_to"), F.max("page_id").alias("last"),
+            F.count_if(F.col("page_id").isNull()).alias("unnamed"),
             F.min_by("url", "page_id").alias("refers_to_url"),
-        ).filter("last > refers_to").drop("last"),
+        ).filter("last > refers_to or unnamed > 0 and refers_to is not null").drop("last", "unnamed"),
         "originals",
     )
     return store.hold(
         headers.drop("url").join(originals, ["digest", "bytes"])
-        .filter("page_id > refers_to")
+        .filter("page_id > refers_to or page_id is null")
         .select("page_id", "digest", "refers_to", "refers_to_url")
         .distinct(),
         "revisits",
@@ -104,17 +108,24 @@ def _file_sizes(most_records: int) -> list[tuple[int, int | None]]:
 
 def write_archives(pages: DataFrame, path: str, store: Store, page_id: str = "page_id",
                    url: str = "url", payload: str = "html", least_bytes: int = 0,
-                   date: str = "2024-01-01T00:00:00Z", records_per_file: int = 1000) -> None:
+                   date: str | None = None, records_per_file: int = 1000) -> None:
     """One record per page. Payloads move only if the revisits are too many for Spark to broadcast
     by their measured size. Archives hold `records_per_file` records at most and about `FILE_BYTES`:
-    larger records go to archives of fewer, in a pass of their own, if there are any."""
+    larger records go to archives of fewer, in a pass of their own, if there are any. `date` is the
+    records' WARC-Date, the time of this run if none is given."""
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     marks = revisits(pages, store, page_id, url, payload, least_bytes)
     body = F.coalesce(F.col("body"), F.lit(""))
     # A repeated id may have several payloads, so the digest is part of the key.
     rows = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(payload).alias("body"),
         payload_digest(F.coalesce(F.col(payload), F.lit(""))).alias("digest"),
-    ).join(marks, ["page_id", "digest"], "left")
+    )
+    marks = marks.select(
+        F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "refers_to", "refers_to_url"
+    )
+    same = F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest"))
+    rows = rows.join(marks, same, "left")
     again = F.col("refers_to").isNotNull()
     http = F.concat(
         F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "),
