@@ -14,6 +14,14 @@ from tillmark.config import RAW_COLUMNS  # noqa: E402
 from tillmark.session import configure  # noqa: E402
 
 
+def pytest_sessionstart(session):
+    """Test modules go by their bare names: two of one name would keep pytest from collecting."""
+    found = [p.name for p in Path(__file__).parent.rglob("test_*.py")]
+    repeated = sorted({n for n in found if found.count(n) > 1})
+    if repeated:
+        raise pytest.UsageError(f"test modules of one name: {repeated}")
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     os.environ.setdefault("PYSPARK_PYTHON", sys.executable)

@@ -19,13 +19,17 @@ def main(arguments: list[str] | None = None) -> None:
         "--steps", default=",".join(pipeline.STEPS),
         help="which steps to run, in this order whatever the order given; default: %(default)s",
     )
+    parser.add_argument(
+        "--late", action="store_true",
+        help="also take orders of the last loaded day and lines that come before or after their orders",
+    )
     given = parser.parse_args(arguments)
     steps = given.steps.split(",")
     unknown = set(steps) - set(pipeline.STEPS)
     if unknown:
         parser.error(f"unknown steps: {', '.join(sorted(unknown))}")
     spark = SparkSession.builder.appName("tillmark").getOrCreate()
-    result = pipeline.run(spark, given.raw_dir, given.root, day=given.day, steps=steps)
+    result = pipeline.run(spark, given.raw_dir, given.root, day=given.day, steps=steps, late=given.late)
     for table, rows in result.audit.items():
         print(f"{table}\t{rows}")
 

@@ -5,7 +5,7 @@ first meet on (keys, order_id), so a site or item that holds a third of all rows
 all tasks, and only one partial row per task and group moves on.
 
 Everything that reads orders or lines is by month; the marts are made from the monthly figures, as
-are all windows. So a night recomputes the months that it touched.
+are all windows. How the nightly run keeps those up to date is in `additive`.
 """
 
 from __future__ import annotations

@@ -2,8 +2,9 @@
 
 Arrival check, Bronze load, quality gate, Silver, Gold, assertions, reports; only then does the
 mark move on. A run that stops anywhere can be started again and picks up the same batch: Bronze
-overwrites the batch's folder, Silver replaces by key, and reports are rebuilt. Months are noted
-before Silver changes in them, and stay noted until Gold has been recomputed for them.
+overwrites the batch's folder, Silver replaces by key, and reports are rebuilt. Gold follows Silver
+by the rows that its versions brought and removed. Months are noted before Silver changes in them, and
+stay noted until Gold is done, for the case that these rows are not kept any more.
 """
 
 from __future__ import annotations
