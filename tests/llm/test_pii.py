@@ -183,3 +183,21 @@ def test_redact_keeps_columns(spark):
 
 def test_empty_table(spark):
     assert pii.report(frame(spark, [])).collect() == []
+
+
+def test_the_cheap_look_at_spelled_digits_loses_no_run():
+    import random
+
+    draw = random.Random(1)
+    words = [*pii.DIGIT_WORDS, *pii.PLUS_WORDS, "ſix", "prose", "5", "77", "+", "(one", "two.", "three)", "Six",
+             "FÜNF"]
+    for _ in range(20000):
+        text = "".join(
+            draw.choice(words) + draw.choice([" ", " ", ", ", "-", " - ", "\n", ".", "  ", ""])
+            for _ in range(draw.randint(1, 9))
+        )
+        if any(
+            sum(t.group().lower().replace("ſ", "s") in pii.DIGIT_WORDS for t in pii._TOKEN.finditer(run.group()))
+            >= pii.LEAST_SPELLED for run in pii._SPELLED.finditer(text)
+        ):
+            assert pii._may_be_spelled(text), text

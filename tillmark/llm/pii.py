@@ -192,13 +192,32 @@ _SPELLED = re.compile(
     rf"(?i)(?<![\w+])(?:{_NAME}|[0-9+]++)(?:[ ,-]{{1,2}}(?:{_NAME}|[0-9]++))+(?!\w)"
 )
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9+]+")
-_ANY_NAME = re.compile(rf"(?i)\b{_NAME}[ ,-]{{1,2}}(?:{_NAME}|[0-9])")
+_ENDS, _BEGINS = re.compile(rf"(?:{_NAME}|[0-9+])\Z"), re.compile(rf"{_NAME}|[0-9+]")
+_UNFOLDED = re.compile("[\u017f\u0130\u0131\u212a]")  # equal ASCII without case, but not in lower case
 LEAST_SPELLED = 3  # digit words in a run; fewer are prose
 
 
+def _may_be_spelled(text: str) -> bool:
+    """Whether there may be a run of three digit words; cheap, as "un", "dos" and "six" are in all prose.
+
+    A run's words lie between separators, but for the first and the last, which other signs may touch. So
+    one of three digit words is a word of its own, between two that end and begin as a run does.
+    """
+    if _UNFOLDED.search(text):
+        return True
+    words = text.lower().replace(",", " ").replace("-", " ").split()
+    if DIGIT_WORDS.keys().isdisjoint(words):
+        return False
+    last = len(words) - 1
+    return any(
+        0 < i < last and _ENDS.search(words[i - 1]) and _BEGINS.match(words[i + 1])
+        for i, word in enumerate(words) if word in DIGIT_WORDS
+    )
+
+
 def spelled_digits(text: str) -> list[tuple[int, int, str]]:
     """Runs of digit words, mixed with digits or not; "plus" is a plus sign."""
-    if not _ANY_NAME.search(text):
+    if not _may_be_spelled(text):
         return []
     edits = []
     for run in _SPELLED.finditer(text):
@@ -243,7 +262,8 @@ def bracketed(text: str) -> list[tuple[int, int, str]]:
 def spoken(text: str) -> list[tuple[int, int, str]]:
     """Bare words, only inside what reads as one address."""
     edits = []
-    if " dot " in (lower := text.lower()) or " at " in lower or " @ " in lower:
+    dotted = " dot " in text.lower()
+    if dotted or " @ " in text:  # a bare "at" needs a spoken dot as well
         free = 0
         for m in _SPOKEN_MAIL.finditer(text):
             start = m.start() + 1  # of the sign or its disguise
@@ -262,7 +282,7 @@ def spoken(text: str) -> list[tuple[int, int, str]]:
                 edits.append((at - 5, at, "."))
                 at -= 6
             free = m.end()
-        for m in _SPOKEN_IP.finditer(text):
+        for m in _SPOKEN_IP.finditer(text) if dotted else ():
             edits += [(*d.span(), ".") for d in _SPOKEN_DOT.finditer(text, *m.span())]
     out: list[tuple[int, int, str]] = []
     for edit in sorted(set(edits)):
