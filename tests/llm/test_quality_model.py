@@ -169,3 +169,40 @@ def test_copies_of_an_id_push_no_document_out(spark, monkeypatch):
         quality.train(df, labels(spark, [(i, i % 2, 0) for i in range(1, 40)]), most=60)
     kept = sum(r.fold != 0 for r in spark.range(1, 40).select(quality.fold(F.col("id")).alias("fold")).collect())
     assert seen == [(kept, [0.0, 1.0])] * 2
+
+
+def test_a_sampled_text_teaches_with_all_its_passages():
+    import pyarrow as pa
+
+    texts = [b"word " * 64 * 200, b"", b"a b"]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2, 3]), pa.array([1, 0, 1], pa.int32()), pa.array([t.decode() for t in texts])],
+        names=["id", "quality", "text"],
+    )
+    (out,) = quality._sampled(iter([batch]))
+    bags = [np.frombuffer(b).reshape(-1, quality.FEATURES) for b in out["bag"].to_pylist()]
+    assert [len(b) for b in bags] == [200, 1, 1]
+    assert all((b == quality.passages(t)).all() for b, t in zip(bags, texts))
+
+
+def test_the_sample_is_as_large_as_asked(spark):
+    docs = spark.range(400).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 2 == 0, F.lit("Plain words, as ever.")).otherwise(F.lit("### 7 $$$ %%%")).alias("text"),
+    )
+    labels = docs.select("doc_id", (1 - F.col("doc_id") % 2).cast("int").alias("quality"))
+    sizes = []
+    fit = quality.fit
+
+    def spy(bags, y, **options):
+        sizes.append(len(bags))
+        return fit(bags, y, **options)
+
+    quality.fit = spy
+    try:
+        found = quality.report(docs, labels, most=60)
+        kept = quality.keep_good(docs, labels, most=40)
+    finally:
+        quality.fit = fit
+    assert sizes == [60, 40]
+    assert found.filter("predicted = 1").count() == kept.count() == 200
