@@ -389,3 +389,18 @@ def test_a_line_meets_few_steps_of_a_long_history(spark):
     got = pricing.price_as_of_order(lines, history)
     assert got.filter("price_then = expected").count() == 50_000
     assert time.monotonic() - start < 60  # half a billion comparisons, were it the whole history
+
+
+def test_steps_are_never_broadcast(spark, tmp_path):
+    """A small file says little of the steps that come out of it."""
+    history = spark.createDataFrame([("a", "M1", 1, 1, date(2024, 1, 1), None)], HISTORY)
+    lines = spark.createDataFrame(
+        [("M1", date(2024, 1, 2)), ("M1", date(2023, 1, 2))], "item_id string, order_date date"
+    )
+    history.write.parquet(str(tmp_path / "history"))
+    lines.write.parquet(str(tmp_path / "lines"))
+    got = pricing.price_as_of_order(
+        *(spark.read.parquet(str(tmp_path / name)) for name in ("lines", "history"))
+    )
+    assert sorted(r.price_then or 0 for r in got.collect()) == [0, 1]
+    assert "BroadcastExchange" not in got._jdf.queryExecution().toString()

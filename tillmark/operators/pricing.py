@@ -44,6 +44,9 @@ def price_as_of_order(lines: DataFrame, history: DataFrame) -> DataFrame:
     every piece of the calendar that it reaches into, up to the piece after the history's last change,
     which stands for all days to come. A line meets the steps of its item and piece, so a hot item is
     split by date, with the step in force carried into each piece, and no line meets a long history.
+
+    Steps are always sorted and merged. Spark would broadcast them by the size of the history's files, which
+    says little: each period becomes several rows here, out of columns that compress well.
     """
     # One row, a scalar subquery: the piece after the last day on which any price changes.
     changes = F.greatest(F.max("effective_from"), F.max(F.date_add("effective_to", 1)))
@@ -59,7 +62,7 @@ def price_as_of_order(lines: DataFrame, history: DataFrame) -> DataFrame:
         & (F.col("_since") <= day) & (F.col("_until").isNull() | (F.col("_until") > day))
     )
     return lines.withColumn("_day_piece", F.least(_piece(day), last)).join(
-        steps, in_force, "left"
+        steps.hint("merge"), in_force, "left"
     ).drop("_item", "_since", "_until", "_piece", "_day_piece")
 
 
