@@ -89,3 +89,24 @@ def test_only_the_buckets_of_the_ids_are_read(spark, store):
     files = {f for f in near.select(F.input_file_name()).distinct().toPandas().iloc[:, 0]}
     assert {int(re.search(r"bucket=(\d+)", f)[1]) for f in files} == wanted
     assert found(store, spark, "O7", "O150") == [("L150", "O150", "1"), ("L7", "O7", "1")]
+
+
+def test_lines_are_shuffled_once_by_their_order(spark, store):
+    """Ids in every bucket: lines go by their order and no second time by their own ids."""
+    store.add(frame(spark, [line(i, i) for i in range(100)]), 0)
+    store.add(frame(spark, [line(1, 1, quantity="4"), line(2, 3)]), 1)
+    ids = spark.createDataFrame([(f"O{i}",) for i in range(100)], "order_id string")
+    assert len(store._buckets(ids, "order_id")) == store.buckets
+    got = store.lines_of(ids)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(line_id" not in text
+    lines = {(r.order_item_id, r.order_id, r.quantity) for r in got.collect()}
+    assert len(lines) == 100 and {("L1", "O1", "4"), ("L2", "O3", "1")} <= lines
+
+
+def test_unseen_lines_are_shuffled_once(spark, store):
+    store.add(frame(spark, [line(1, 1), line(2, 2)]), 0)
+    got = store.unseen(frame(spark, [line(1, 1), line(2, 2, quantity="9")]))
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert text.count("hashpartitioning(line_id") == 2  # the lines and the index
+    assert [r.order_item_id for r in got.collect()] == ["L2"]
