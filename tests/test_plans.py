@@ -9,6 +9,7 @@ from tests.conftest import rows
 from tillmark.config import QualityRules
 from tillmark.operators import gold, quality, silver
 from tillmark.plans.registry import Tables
+from tillmark.sources import tables
 from tillmark.sources.tables import around, _write_partitions, merge_table, read_table
 
 SF = "/root/testdata/sf0.001"
@@ -168,6 +169,24 @@ def test_writes_are_rebalanced_by_month(stored, tmp_path, monkeypatch):
     assert len(files) == len(months) > 12
 
 
+def test_derived_columns_are_computed_after_the_rows_are_dealt(stored, tmp_path, monkeypatch):
+    written = []
+    monkeypatch.setattr(
+        tables, "counted", lambda df, write: written.append(plan(df)) or write(df) or 0
+    )
+    _write_partitions(
+        stored[0], str(tmp_path / "t"), ("order_year", "order_month"), "append",
+        silver.derived("stg_orders"),
+    )
+    (text,) = written
+    assert "md5" in text.split("REBALANCE_PARTITIONS_BY_COL")[0]
+    got = stored[0].sparkSession.read.schema(stored[0].schema).parquet(str(tmp_path / "t"))
+    assert got.select("order_id", "surrogate_key").exceptAll(
+        stored[0].select("order_id", "surrogate_key")
+    ).isEmpty()
+    assert got.count() == stored[0].count()
+
+
 # ---- one key with a large share of all rows ----------------------------------------------------
 
 
