@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tillmark.config import QualityRules
-from tillmark.operators import gold, quality, silver
-from tillmark.plans.registry import Tables
-from tillmark.sources import tables
+from tillmark.operators import gold, incremental, quality, silver
+from tillmark.plans.registry import Tables, bronze_load
+from tillmark.session import sifted_joins
+from tillmark.sources import bronze, star, tables
 from tillmark.sources.tables import around, _write_partitions, merge_table, read_table
 
 SF = "/root/testdata/sf0.001"
@@ -160,6 +161,48 @@ def test_lines_are_counted_per_item_before_a_shuffled_anti_join(spark, conf):
     assert text.index("LeftAnti") < text.index("partial_count(1)")
 
 
+@pytest.fixture
+def loads(conf, monkeypatch):
+    """The plans of what is loaded into Bronze, while no join is broadcast."""
+    conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    written, counted = [], bronze.counted
+    monkeypatch.setattr(
+        bronze, "counted", lambda df, write: written.append(plan(df)) or counted(df, write)
+    )
+    return written
+
+
+def test_loads_shuffle_numbers_and_the_lines_of_the_batch(spark, loads):
+    before = dict(spark.conf.getAll)
+    bronze_load(Tables(spark, SF), "order_items")
+    assert dict(spark.conf.getAll) == before
+    _, known, _, batch = loads
+    texts, numbers = known.split("LeftSemi")
+    assert "concat_ws" in texts and "p_partkey" in texts and "concat_ws" not in numbers
+    shuffles, sifted = batch.split("might_contain", 1)
+    assert "hashpartitioning(order_id" in shuffles and "hashpartitioning(l_partkey" in shuffles
+    assert "FileScan" not in shuffles and "l_discount" in sifted
+
+
+@pytest.mark.parametrize("keys", [0, 1, 10**9])
+def test_sifting_loses_and_adds_no_line(spark, tmp_path, loads, monkeypatch, keys):
+    """Whatever the filter's size; with orders sent twice, orders and lines without an id."""
+    monkeypatch.setattr(bronze, "sifted_joins", lambda spark, _: sifted_joins(spark, keys))
+    t = Tables(spark, SF)
+    lines, orders = t.raw("order_items"), t.raw("orders")
+    unnamed = F.lit(None).cast("string")
+    lines = lines.unionByName(lines.limit(9).withColumn("order_id", unnamed))
+    again = orders.filter("order_date > '2001-01-01'")
+    orders = orders.unionByName(again).unionByName(again.withColumn("order_id", unnamed))
+    bronze.load_batch(spark, orders, str(tmp_path), "orders", star.MARK)
+    n = bronze.load_batch(spark, lines, str(tmp_path), "order_items", star.MARK)
+    assert "might_contain" in loads[1]
+    got = bronze.read_batch(spark, str(tmp_path), "order_items", star.MARK).drop(bronze.INGESTED)
+    wanted = incremental.items_after(lines, orders, star.MARK)
+    assert got.count() == wanted.count() == n > 0
+    assert got.exceptAll(wanted).isEmpty() and wanted.exceptAll(got).isEmpty()
+
+
 def test_writes_are_rebalanced_by_month(stored, tmp_path, monkeypatch):
     hinted = stored[0].hint("rebalance", "order_year", "order_month")
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(hinted)
