@@ -1,4 +1,5 @@
 import re
+import time
 from collections import Counter
 from datetime import date
 
@@ -340,6 +341,57 @@ def test_a_numbered_delivery_is_taken_once(spark, tmp_path):
     assert "w" in table_schema(spark, path).names
 
 
+def shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    found = manager.getAllFiles()
+    return {n for i in range(found.size()) if (n := found.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_shuffles_leave_the_disks_with_their_write(spark, tmp_path):
+    before, path = shuffle_files(spark), str(tmp_path / "t")
+    merge_table(spark, path, table(spark, ("a", 1, 2024, 1), ("b", 1, 2024, 2)))
+    merge_table(spark, path, table(spark, ("b", 2, 2024, 3)))
+    for _ in range(50):  # files go in the background
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert stored(spark, path) == [("a", 1, 2024, 1), ("b", 2, 2024, 3)]
+
+
+def test_a_batch_in_parts_is_the_whole_batch(spark, tmp_path, monkeypatch):
+    """Small parts: rows by key, and months that are written again one by one."""
+    monkeypatch.setattr(tables, "PART_BYTES", 1)
+    months, path = [(f"k{i}", i, 2024, 1 + i % 3) for i in range(20)], str(tmp_path / "t")
+    batch = table(spark, *months, (None, 7, 2024, 1), ("k1", 8, 2024, 2))
+    parts = tables.in_parts(batch, "surrogate_key", 4)
+    assert len(parts) == 4 and sum(part.count() for part in parts) == 22
+    assert merge_table(spark, path, parts).rows == 22
+    version = published.current(spark, path)
+    assert sorted(tables.partition_groups(spark, path, version, version.folders)) == [
+        [(2024, m)] for m in (1, 2, 3)
+    ]
+    moved = table(spark, ("k0", 50, 2024, 4), ("k2", 50, 2024, 1))
+    merged = merge_table(spark, path, tables.in_parts(moved, "surrogate_key", 2))
+    assert merged.rows == 2 and set(merged.partitions) == {(2024, 1), (2024, 3), (2024, 4)}
+    kept = [r for r in rows(batch) if r["surrogate_key"] not in ("k0", "k2")]
+    expected = [(str(r["surrogate_key"]), r["v"], 2024, r["order_month"]) for r in kept]
+    expected += [("k0", 50, 2024, 4), ("k2", 50, 2024, 1)]
+    got = [(str(r["surrogate_key"]), r["v"], 2024, r["order_month"]) for r in rows(read_table(spark, path))]
+    assert sorted(got) == sorted(expected)
+    change = published.current(spark, path).change
+    assert published.read_folders(spark, path, version.schema, change.removed).count() == 2
+
+
+def test_the_size_of_the_sources(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "n"))
+    files = sum(f.stat().st_size for f in (tmp_path / "n").glob("*.parquet"))
+    ids = spark.read.parquet(str(tmp_path / "n"))
+    assert tables.source_bytes(ids.filter("id > 3").select("id")) == files
+    assert tables.source_bytes(ids.join(spark.range(3), "id")) < 2 * files + 100
+
+
 def test_keys_without_rows_lose_theirs(spark, tmp_path):
     path = str(tmp_path / "t")
     merge_table(spark, path, table(spark, ("a", 1, 2024, 1), ("b", 1, 2024, 1), ("c", 1, 2024, 2)))

@@ -10,7 +10,7 @@ from tillmark.operators import additive, gold, typed
 from tillmark.operators import silver as silver_operators
 from tillmark.plans import pipeline
 from tillmark.plans.pipeline import QualityGateError, Warehouse
-from tillmark.sources import bronze, published, state
+from tillmark.sources import bronze, published, state, tables
 from tillmark.sources.paths import remove_path
 from tillmark.sources.tables import read_table
 
@@ -221,6 +221,50 @@ def test_random_merges_between_two_golds(spark, tmp_path):
             assert content(made) == content(plain) and made.dtypes == plain.dtypes
 
 
+def test_figures_month_by_month(spark, tmp_path, monkeypatch):
+    """Months that are too many for one job: computed anew and followed, each by itself."""
+    where = Warehouse(str(tmp_path / "w"))
+    menu = typed.src_menu(frame(spark, default_exports()["menu"]))
+    monkeypatch.setattr(tables, "PART_BYTES", 1)
+    written, write = [], tables.counted
+    monkeypatch.setattr(tables, "counted", lambda df, out: written.append(df) or write(df, out))
+    for day in ("2024-03-02", "2024-03-05"):
+        records = [order(n, f"2024-0{1 + n % 3}-08" if n % 4 else day) for n in range(12)]
+        orders = silver_operators.stg_orders(typed.src_orders(frame(spark, records)))
+        items = silver_operators.by_month(silver_operators.stg_order_items(
+            typed.src_order_items(frame(spark, [line(n, n % 12, item=n % 3) for n in range(30)])),
+            orders, menu))
+        pipeline.merge_silver(spark, where, "stg_orders", orders, "order_id")
+        pipeline.merge_silver(
+            spark, where, "stg_order_items", items, "order_id", orders.select("order_id"))
+        written.clear()
+        pipeline.update_months(spark, where)
+        assert len(written) == 4 * 3  # four figures, three months
+        silver_now = [read_table(spark, where.silver(t)) for t in ("stg_orders", "stg_order_items")]
+        for name, figures in pipeline.MONTHLY.items():
+            kept = read_table(spark, where.monthly(name))
+            assert content(kept) == content(figures(*silver_now).select(*kept.columns)), name
+
+
+@pytest.mark.parametrize("late", [False, True])
+def test_two_nights_in_parts(spark, tmp_path, monkeypatch, late):
+    """Batches that are too large for one job give the same tables."""
+    roots = [str(tmp_path / "whole"), str(tmp_path / "parts")]
+    for root, size in zip(roots, (tables.PART_BYTES, 3000)):
+        monkeypatch.setattr(tables, "PART_BYTES", size)
+        for name, night in (("one", NIGHT_ONE), ("two", NIGHT_TWO)):
+            pipeline.run(spark, write_exports(tmp_path / name, **night), root, RULES, DAY, late=late)
+    assert silver(spark, roots[0], "stg_orders") == silver(spark, roots[1], "stg_orders")
+    lines = [read_table(spark, Warehouse(r).silver("stg_order_items")) for r in roots]
+    assert content(lines[0]) == content(lines[1])
+    for mart in GOLD:
+        a, b = (content(read_table(spark, Warehouse(r).gold(mart))) for r in roots)
+        assert a == b
+    bronze_lines = [bronze.read_bronze(spark, Warehouse(r).bronze, "order_items") for r in roots]
+    a, b = (content(df.drop("_ingested_at")) for df in bronze_lines)
+    assert a == b
+
+
 def test_months_stay_noted_until_gold_is_done(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "w")
     where = Warehouse(root)
