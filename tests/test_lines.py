@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import frame, line, rows
 from tillmark.sources import lines as lines_module
+from tillmark.sources import tables
 from tillmark.sources.lines import LineStore
 
 
@@ -110,3 +111,24 @@ def test_unseen_lines_are_shuffled_once(spark, store):
     text = got._jdf.queryExecution().executedPlan().toString()
     assert text.count("hashpartitioning(line_id") == 2  # the lines and the index
     assert [r.order_item_id for r in got.collect()] == ["L2"]
+
+
+def test_lines_and_unseen_lines_in_parts(spark, store, tmp_path, monkeypatch):
+    store.add(frame(spark, [line(i, i % 20) for i in range(60)]), 0)
+    store.add(frame(spark, [line(i, i % 20 + 1, quantity="4") for i in range(0, 60, 7)]), 1)
+    ids = spark.createDataFrame([(f"O{i}",) for i in range(25)] + [(None,), ("O3",)], "order_id string")
+    export = frame(spark, [line(i, i % 20, quantity="9" if i % 5 else "1") for i in range(70)])
+    export.write.parquet(str(tmp_path / "export"))
+    export = spark.read.parquet(str(tmp_path / "export"))
+    whole, unseen = sorted(map(str, rows(store.lines_of(ids)))), sorted(map(str, rows(store.unseen(export))))
+    assert len(store.parts_of(ids)) == len(store.unseen_parts(export)) == 1
+    monkeypatch.setattr(tables, "PART_BYTES", 1)
+    parts = store.parts_of(ids)
+    assert len(parts) > 1
+    assert sorted(str(r) for part, _ in parts for r in rows(part)) == whole
+    for part, own in parts:  # and the orders that go with them
+        assert part.filter(~own).count() == 0
+    assert sum(ids.distinct().filter(own).count() for _, own in parts) <= 25
+    found = store.unseen_parts(export)
+    assert len(found) == store.buckets
+    assert sorted(str(r) for part in found for r in rows(part)) == unseen
